@@ -34,10 +34,16 @@ WILDER_LENGTH = 14
 KEY = ["symbol", "trade_date"]
 
 
-def _full_frame(aggregate, column: Column, length: int) -> Column:
-    """A row-frame aggregate, NULL unless the frame holds ``length`` values."""
+def _over_last(aggregate, column: str, length: int) -> Column:
+    """An aggregate of a price over the last ``length`` bars, NULL before there are as many."""
     frame = in_era().rowsBetween(-(length - 1), 0)
-    return F.when(F.count(column).over(frame) == length, aggregate(column).over(frame))
+    return F.when(F.col("n") >= length, aggregate(column).over(frame))
+
+
+def _mean_of_last(column: str, length: int) -> Column:
+    """The mean of a derived column, NULL unless all of its last ``length`` values exist."""
+    frame = in_era().rowsBetween(-(length - 1), 0)
+    return F.when(F.count(column).over(frame) == length, F.avg(column).over(frame))
 
 
 def _previous(column: str) -> Column:
@@ -52,26 +58,26 @@ def _own(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def sma_column(length: int) -> Column:
-    return _full_frame(F.avg, F.col("close"), length)
+    return _over_last(F.avg, "close", length)
 
 
 def band_columns(length: int = BAND_LENGTH, width: float = BAND_WIDTH) -> dict[str, Column]:
     middle = sma_column(length)
-    spread = _full_frame(F.stddev_pop, F.col("close"), length) * width
+    spread = _over_last(F.stddev_pop, "close", length) * width
     return {"bb_upper": middle + spread, "bb_middle": middle, "bb_lower": middle - spread}
 
 
 def _with_stochastic(rows: DataFrame, k: int, d: int, smooth_k: int) -> DataFrame:
-    low = _full_frame(F.min, F.col("low"), k)
-    high = _full_frame(F.max, F.col("high"), k)
+    low = _over_last(F.min, "low", k)
+    high = _over_last(F.max, "high", k)
     return (
         rows.withColumns({"_low": low, "_high": high})
         .withColumn(
             "_raw_k",
             100 * (F.col("close") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)),
         )
-        .withColumn("stoch_k", _full_frame(F.avg, F.col("_raw_k"), smooth_k))
-        .withColumn("stoch_d", _full_frame(F.avg, F.col("stoch_k"), d))
+        .withColumn("stoch_k", _mean_of_last("_raw_k", smooth_k))
+        .withColumn("stoch_d", _mean_of_last("stoch_k", d))
         .drop("_low", "_high", "_raw_k")
     )
 

@@ -2,13 +2,14 @@
 
 y[n] = q * y[n-1] + a * x[n] is recursive, which no built-in window expresses,
 but it is linear: inside a block the sum of x[j] * q**-j times q**k is exact
-once the value carried into the block is added as carry * q**(k+1). Blocks are
-two months long, so q**-k stays bounded. The carries are folded from one row a
+once the value carried into the block is added, times its decay. Blocks are two
+months long, so q**-k stays bounded. The carries are folded from one row a
 block, and joined back to the bars without moving them again.
 
 The seed of a series is the mean of its first ``length`` inputs. It needs no
-extra pass: giving those inputs the weight q**(m-length) / length makes the
-same recursion arrive at their mean on input number ``length``.
+extra pass: while the look-back fills, inputs are summed without decay, and the
+sum divided by ``length`` is the seed. States are kept as ``length`` times the
+output, so the first output is that plain mean.
 """
 
 from __future__ import annotations
@@ -45,12 +46,22 @@ class Smoother:
         return self.first + self.length - 1
 
     def weight(self, n: Column) -> Column:
-        m = n - (self.first - 1)
-        warm_up = F.pow(F.lit(self.decay), m - self.length) / F.lit(float(self.length))
+        """What one unit of input number ``n`` adds to the state."""
         return (
-            F.when(m < 1, F.lit(0.0)).when(m <= self.length, warm_up).otherwise(F.lit(self.gain))
+            F.when(n < self.first, F.lit(0.0))
+            .when(n <= self.defined_from, F.lit(1.0))
+            .otherwise(F.lit(self.gain * self.length))
         )
 
+    def decayed_over(self, rows: Column) -> Column:
+        """The factor by which the last ``rows`` bars up to ``n`` shrink a state."""
+
+        def steps(n: Column) -> Column:
+            return F.greatest(n - self.defined_from, F.lit(0))
+
+        n = F.col("n")
+        return F.pow(F.lit(self.decay), steps(n) - steps(n - rows))
+
 
 def ema(name: str, source: Column | dict[Smoother, float], length: int, first: int = 1) -> Smoother:
     return Smoother(name, source, length, 2.0 / (length + 1), first)
@@ -70,13 +81,12 @@ def smooth(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
     local = _within_blocks(rows, smoothers).where(~F.col("is_context"))
     carries = _carries(local, smoothers)
     joined = local.join(carries.hint("shuffle_hash"), ERA).withColumn("_carry", F.col("_carries")[F.col("block")])
-    k1 = F.col("_k") + 1
     outputs = []
     for s in smoothers:
-        y = F.col(f"_l_{s.name}") + F.pow(F.lit(s.decay), k1) * F.col(f"_carry.{s.name}")
+        state = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_carry.{s.name}")
         for read, factor in _reads(s):
-            y = y + F.col(f"_g_{s.name}_{read.name}") * F.lit(factor) * F.col(f"_carry.{read.name}")
-        outputs.append(F.when(F.col("n") >= s.defined_from, y).alias(s.name))
+            state = state + F.col(f"_g_{s.name}_{read.name}") * factor * F.col(f"_carry.{read.name}")
+        outputs.append(F.when(F.col("n") >= s.defined_from, state / s.length).alias(s.name))
     return joined.select(*rows.columns, *outputs).drop("is_context")
 
 
@@ -85,39 +95,37 @@ def _reads(s: Smoother) -> list[tuple[Smoother, float]]:
 
 
 def _within_blocks(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
-    """Outputs as if every block started from zero, plus what a carry adds."""
+    """States as if every block started from zero, and the factors for what is carried in."""
     run = in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    k, n = F.col("_k"), F.col("n")
 
     def scan(s: Smoother, term: Column) -> Column:
-        inflated = F.sum(s.weight(n) * term * F.pow(F.lit(s.decay), -k)).over(run)
-        return inflated * F.pow(F.lit(s.decay), k)
+        decay = F.col(f"_d_{s.name}")
+        return F.sum(s.weight(F.col("n")) * term / decay).over(run) * decay
 
     numbered = rows.withColumns(
         {
-            "_k": F.row_number().over(in_block()) - 1,
+            "_rows": F.row_number().over(in_block()),
             "_ends_block": F.lead("n").over(in_block()).isNull(),
         }
     )
     direct = [s for s in smoothers if not _reads(s)]
     chained = [s for s in smoothers if _reads(s)]
-    out = numbered.withColumns(
+    out = numbered.withColumns({f"_d_{s.name}": s.decayed_over(F.col("_rows")) for s in smoothers})
+    out = out.withColumns(
         {f"_l_{s.name}": scan(s, F.coalesce(s.source, F.lit(0.0))) for s in direct}
     )
     for s in chained:
-        mixed = sum(
-            (F.col(f"_l_{read.name}") * F.lit(factor) for read, factor in _reads(s)), F.lit(0.0)
-        )
-        echoes = {
-            f"_g_{s.name}_{read.name}": scan(s, F.pow(F.lit(read.decay), k + 1))
-            for read, _ in _reads(s)
-        }
+        mixed = F.lit(0.0)
+        echoes = {}
+        for read, factor in _reads(s):
+            mixed = mixed + F.col(f"_l_{read.name}") * (factor / read.length)
+            echoes[f"_g_{s.name}_{read.name}"] = scan(s, F.col(f"_d_{read.name}") / read.length)
         out = out.withColumns({f"_l_{s.name}": scan(s, mixed), **echoes})
     return out
 
 
 def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
-    """(symbol, era) -> map from block to the outputs at the end of the block before.
+    """(symbol, era) -> map from block to the states at the end of the block before.
 
     One row a block reaches the fold. A series has six blocks a year, so the
     folded array is bounded by the calendar, not by the number of bars.
@@ -128,12 +136,12 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
                 F.struct(
                     "block",
                     "era",
-                    (F.col("_k") + 1).alias("rows"),
                     *[
                         c
                         for s in smoothers
                         for c in (
                             f"_l_{s.name}",
+                            f"_d_{s.name}",
                             *[f"_g_{s.name}_{read.name}" for read, _ in _reads(s)],
                         )
                     ],
@@ -151,10 +159,10 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
         state = acc["state"]
 
         def advance(s: Smoother) -> Column:
-            y = end[f"_l_{s.name}"] + F.pow(F.lit(s.decay), end["rows"]) * state[s.name]
+            after = end[f"_l_{s.name}"] + end[f"_d_{s.name}"] * state[s.name]
             for read, factor in _reads(s):
-                y = y + end[f"_g_{s.name}_{read.name}"] * F.lit(factor) * state[read.name]
-            return y.alias(s.name)
+                after = after + end[f"_g_{s.name}_{read.name}"] * factor * state[read.name]
+            return after.alias(s.name)
 
         here = F.struct(end["block"].alias("block"), end["era"].alias("era"), state.alias("carry"))
         return F.struct(

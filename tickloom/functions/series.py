@@ -14,6 +14,8 @@ The bars themselves are shuffled once, on (symbol, era).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,10 +52,13 @@ def in_order(bars: DataFrame, values: Sequence[str], lookback: int = 0) -> DataF
     earlier era; they serve the frames of this one and must be dropped after.
     Bars with a NULL key or value are left out. (symbol, trade_date) is unique.
     """
+    # Filters and the era are spelled out so that neither join side gets further
+    # NOT NULL filters of its own: both then read the same shuffle.
+    complete = reduce(and_, [F.col(c).isNotNull() for c in ("symbol", "trade_date", *values)])
     placed = (
         bars.select("symbol", "trade_date", *values)
-        .dropna()
-        .withColumn("era", _era())
+        .where(complete)
+        .withColumn("era", F.coalesce(_era(), F.lit(0)))
         .repartition(*ERA)
         .withColumn("block", _block())
     )
