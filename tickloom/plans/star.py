@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tickloom.operators.dimensions import (
     STAR_KEY,
@@ -19,9 +18,9 @@ from tickloom.operators.dimensions import (
     upsert,
 )
 from tickloom.operators.relational import directory_projection, listing_universe
+from tickloom.plans.ingest import staged
 from tickloom.schemas import PRICE_KEY, schema_for
 from tickloom.sources import tables as t
-from tickloom.plans.ingest import staged
 
 STAR_TABLES = ["trading_days", "symbols", "stock_prices", "etf_prices", "metadata"]
 
@@ -42,7 +41,7 @@ class Star:
         for table in ("trading_days", "symbols"):
             t.create_table(self.spark, self.name(table), schema_for(table))
         for table in ("stock_prices", "etf_prices"):
-            fact = StructType(schema_for(f"{table}_star").fields).add(t.YEAR, "int")
+            fact = t.with_year(schema_for(f"{table}_star"))
             t.create_table(self.spark, self.name(table), fact, partitioned_by=[t.YEAR])
         t.create_table(self.spark, self.name("metadata"), schema_for("symbol_listing"))
         return self
@@ -54,8 +53,8 @@ def load_star(star: Star, directory: DataFrame, bars: DataFrame) -> None:
     ``directory`` may carry an ``arrival`` column; the last row of a symbol wins.
     """
     listing = listing_universe(directory)
-    kept = dedupe_bars(bars.dropna(subset=PRICE_KEY).join(listing.select("symbol").distinct(), "symbol", "left_semi"))
-    batch = staged(kept, "star-bars")
+    listed = bars.dropna(subset=PRICE_KEY).join(listing.select("symbol"), "symbol", "left_semi")
+    batch = staged(dedupe_bars(listed), "star-bars")
     t.append(new_trading_days(batch, star.table("trading_days")), star.name("trading_days"))
     t.append(new_symbols(listing.select("symbol", "is_etf"), star.table("symbols")), star.name("symbols"))
     days = star.table("trading_days")

@@ -41,7 +41,8 @@ def metadata_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = schema_for("metadata")
     raw = StructType.fromDDL("symbol string, last_update string, sector string")
     try:
-        rows = spark.read.csv(path, header=True, schema=raw, nullValue="", emptyValue="")
+        # Only with a null mark of its own does Spark tell "" from an empty field.
+        rows = spark.read.csv(path, header=True, schema=raw, nullValue="\\N", emptyValue="")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

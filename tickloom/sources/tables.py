@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom.schemas import PRICE_COLUMNS
 from tickloom.sources.files import empty
@@ -53,11 +53,15 @@ def create_table(
     spark.sql(" ".join(parts))
 
 
+def with_year(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(YEAR, IntegerType())])
+
+
 def create_price_table(spark: SparkSession, name: str, schema: StructType) -> None:
     create_table(
         spark,
         name,
-        StructType(schema.fields).add(YEAR, "int"),
+        with_year(schema),
         partitioned_by=[YEAR],
         comment="Daily price bars",
     )
@@ -121,12 +125,16 @@ def append_nonempty(df: DataFrame, name: str) -> int:
 
 def overwrite_partitions(df: DataFrame, name: str) -> int:
     """Replace the partitions that occur in ``df`` and keep all others."""
+    spark = df.sparkSession
     counted, seen = _counted(df)
-    (
-        counted.select(*df.sparkSession.table(name).columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
-    )
+    # insertInto takes the mode from the session only, not from a write option.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        counted.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
     return seen.get["rows"]
 
 

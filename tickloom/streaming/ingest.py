@@ -44,8 +44,10 @@ def ingest_stream(
     touched_path = f"{checkpoint.rstrip('/')}-touched/{run_date.isoformat()}"
 
     def take(rows: DataFrame, batch_id: int) -> None:
+        # A stream runs in a session of its own: only there are its writes seen at once.
+        own = Store(rows.sparkSession, store.namespace)
         batch = staged(batch_bars(rows, requested, run_date, day), "micro-batch")
-        append_new(store, batch, committed_at)
+        append_new(own, batch, committed_at)
         touched = batch_metadata(batch, metadata, run_date)
         touched.write.mode("overwrite").parquet(f"{touched_path}/batch={batch_id}")
 
@@ -59,5 +61,7 @@ def ingest_stream(
         .start()
     )
     query.awaitTermination()
+    for name in (store.prices, store.ledger):
+        spark.catalog.refreshTable(name)
     touched = parquet_or_empty(spark, touched_path, schema_for("metadata"))
     advance_metadata(store, touched.select("symbol", "last_update", "sector"), committed_at)
