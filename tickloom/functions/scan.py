@@ -80,12 +80,13 @@ def smooth(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
         raise ValueError("a smoother needs a gain strictly between 0 and 1")
     local = _within_blocks(rows, smoothers).where(~F.col("is_context"))
     carries = _carries(local, smoothers)
-    joined = local.join(carries.hint("shuffle_hash"), ERA).withColumn("_carry", F.col("_carries")[F.col("block")])
+    carried = F.array(F.col("_carries")[F.col("block")])
+    joined = local.join(carries.hint("shuffle_hash"), ERA).select(*local.columns, F.inline(carried))
     outputs = []
     for s in smoothers:
-        state = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_carry.{s.name}")
+        state = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_c_{s.name}")
         for read, factor in _reads(s):
-            state = state + F.col(f"_g_{s.name}_{read.name}") * factor * F.col(f"_carry.{read.name}")
+            state = state + F.col(f"_g_{s.name}_{read.name}") * factor * F.col(f"_c_{read.name}")
         outputs.append(F.when(F.col("n") >= s.defined_from, state / s.length).alias(s.name))
     return joined.select(*rows.columns, *outputs).drop("is_context")
 
@@ -149,9 +150,9 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
             )
         ).alias("ends")
     )
-    fields = ", ".join(f"{s.name}: double" for s in smoothers)
+    fields = ", ".join(f"_c_{s.name}: double" for s in smoothers)
     start = F.struct(
-        F.struct(*[F.lit(0.0).alias(s.name) for s in smoothers]).alias("state"),
+        F.struct(*[F.lit(0.0).alias(f"_c_{s.name}") for s in smoothers]).alias("state"),
         F.array().cast(f"array<struct<block: int, era: int, carry: struct<{fields}>>>").alias("seen"),
     )
 
@@ -159,10 +160,10 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
         state = acc["state"]
 
         def advance(s: Smoother) -> Column:
-            after = end[f"_l_{s.name}"] + end[f"_d_{s.name}"] * state[s.name]
+            after = end[f"_l_{s.name}"] + end[f"_d_{s.name}"] * state[f"_c_{s.name}"]
             for read, factor in _reads(s):
-                after = after + end[f"_g_{s.name}_{read.name}"] * factor * state[read.name]
-            return after.alias(s.name)
+                after = after + end[f"_g_{s.name}_{read.name}"] * factor * state[f"_c_{read.name}"]
+            return after.alias(f"_c_{s.name}")
 
         here = F.struct(end["block"].alias("block"), end["era"].alias("era"), state.alias("carry"))
         return F.struct(
