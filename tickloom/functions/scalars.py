@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickloom.schemas import OHLC
+
 
 def is_blank(column: str | Column) -> Column:
     """NULL or the empty string."""
@@ -14,6 +16,12 @@ def is_blank(column: str | Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def is_missing(column: str) -> Column:
+    """NULL, or NaN in a price column."""
+    missing = F.col(column).isNull()
+    return missing | F.isnan(column) if column in OHLC else missing
+
+
 def clean_symbol(column: str | Column) -> Column:
     return F.upper(F.trim(column))
 

@@ -20,6 +20,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import is_missing
+
 ERA_YEARS = 10
 BLOCK_MONTHS = 2  # divides a year, so a block never spans two eras
 
@@ -50,11 +52,11 @@ def in_order(bars: DataFrame, values: Sequence[str], lookback: int = 0) -> DataF
 
     ``n`` counts a symbol's bars from 1. Rows with ``is_context`` belong to an
     earlier era; they serve the frames of this one and must be dropped after.
-    Bars with a NULL key or value are left out. (symbol, trade_date) is unique.
+    Bars with a NULL or NaN are left out. (symbol, trade_date) is unique.
     """
     # Filters and the era are spelled out so that neither join side gets further
     # NOT NULL filters of its own: both then read the same shuffle.
-    complete = reduce(and_, [F.col(c).isNotNull() for c in ("symbol", "trade_date", *values)])
+    complete = reduce(and_, [~is_missing(c) for c in ("symbol", "trade_date", *values)])
     placed = (
         bars.select("symbol", "trade_date", *values)
         .where(complete)

@@ -29,10 +29,9 @@ def extend_dimension(new_rows: DataFrame, dimension: DataFrame, key: str, id_col
     how the data is partitioned, so a repeated load gives the same ones.
     """
     placed = with_position(new_rows, key, name="_place")
-    # One row: the highest id so far.
-    highest = dimension.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_highest"))
-    new_id = (F.col("_highest") + F.col("_place")).cast("int").alias(id_column)
-    return placed.join(F.broadcast(highest)).select(new_id, *new_rows.columns)
+    highest = dimension.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    new_id = (highest + F.col("_place")).cast("int").alias(id_column)
+    return placed.select(new_id, *new_rows.columns)
 
 
 def new_trading_days(rows: DataFrame, trading_days: DataFrame) -> DataFrame:

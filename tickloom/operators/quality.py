@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import is_missing
 from tickloom.schemas import OHLC, OHLCV
 
 # Columns a symbol directory must have, and its ETF marks.
@@ -34,67 +37,67 @@ def validate_directory(directory: DataFrame) -> DataFrame:
 
 
 def validate_prices(rows: DataFrame, day: str = "trade_date", arrival: str = "seq") -> DataFrame:
-    """Per symbol: rows kept after dropping incomplete ones, and why it is rejected.
+    """Per symbol: rows left after dropping incomplete ones, and why it is rejected.
 
     ``arrival`` numbers a symbol's rows as they came. The order check compares
     neighbours inside blocks of arrivals and then the borders of the blocks, so
     a symbol of any size is spread over tasks.
     """
     block = F.floor(F.col(arrival) / ARRIVALS_PER_BLOCK).alias("_block")
-    complete = rows.select("symbol", day, *OHLCV, arrival, block)
-    in_block = Window.partitionBy("symbol", "_block").orderBy(arrival)
-    usable = F.forall(F.array(*[F.col(c).isNotNull() for c in ("symbol", day, *OHLCV)]), lambda x: x)
+    usable = reduce(and_, [~is_missing(c) for c in ("symbol", day, *OHLCV)])
+    before = Window.unboundedPreceding, -1
+    in_block = Window.partitionBy("symbol", "_block").orderBy(arrival).rowsBetween(*before)
     judged = (
-        complete.withColumn("_usable", usable)
-        .where("_usable")
-        .withColumn("_falls", F.lag(day).over(in_block) > F.col(day))
+        rows.where("symbol is not null")
+        .select("symbol", F.when(usable, F.col(day)).alias("_day"), *OHLCV, arrival, block)
+        .withColumn("_seen", F.last("_day", ignorenulls=True).over(in_block))
+        .withColumn("_arrived", F.when(F.col("_day").isNotNull(), F.col(arrival)))
         .groupBy("symbol", "_block")
         .agg(
-            F.count(F.lit(1)).alias("rows_here"),
-            F.bool_or(F.least(*OHLC) <= 0).alias("bad_price"),
-            F.bool_or(F.col("volume") < 0).alias("bad_volume"),
-            F.bool_or("_falls").alias("falls"),
-            F.min_by(day, arrival).alias("first_day"),
-            F.max_by(day, arrival).alias("last_day"),
+            F.count("_day").alias("rows_here"),
+            _any_usable(F.least(*OHLC) <= 0).alias("bad_price"),
+            _any_usable(F.col("volume") < 0).alias("bad_volume"),
+            _any_usable(F.col("_seen") > F.col("_day")).alias("falls"),
+            F.min_by("_day", "_arrived").alias("first_day"),
+            F.max_by("_day", "_arrived").alias("last_day"),
         )
     )
-    by_block = Window.partitionBy("symbol").orderBy("_block")
+    by_block = Window.partitionBy("symbol").orderBy("_block").rowsBetween(*before)
+    last_seen = F.last("last_day", ignorenulls=True).over(by_block)
     verdict = (
-        judged.withColumn("_border", F.lag("last_day").over(by_block) > F.col("first_day"))
+        judged.withColumn("_border", F.coalesce(last_seen > F.col("first_day"), F.lit(False)))
         .groupBy("symbol")
         .agg(
             F.sum("rows_here").alias("valid_rows"),
             F.bool_or("bad_price").alias("bad_price"),
             F.bool_or("bad_volume").alias("bad_volume"),
-            F.bool_or(F.coalesce("falls", F.lit(False)) | F.coalesce("_border", F.lit(False))).alias(
-                "bad_order"
-            ),
+            F.bool_or(F.col("falls") | F.col("_border")).alias("bad_order"),
         )
     )
     reason = (
-        F.when(F.col("valid_rows").isNull(), NO_ROWS)
+        F.when(F.col("valid_rows") == 0, NO_ROWS)
         .when(F.col("bad_price"), BAD_PRICE)
         .when(F.col("bad_volume"), BAD_VOLUME)
         .when(F.col("bad_order"), BAD_ORDER)
     )
-    everyone = rows.select("symbol").where("symbol is not null").distinct()
-    return everyone.join(verdict, "symbol", "left").select(
-        "symbol",
-        F.coalesce("valid_rows", F.lit(0)).alias("valid_rows"),
-        reason.isNull().alias("is_valid"),
-        reason.alias("reason"),
+    return verdict.select(
+        "symbol", "valid_rows", reason.isNull().alias("is_valid"), reason.alias("reason")
     )
 
 
+def _any_usable(condition: Column) -> Column:
+    return F.bool_or(F.col("_day").isNotNull() & F.coalesce(condition, F.lit(False)))
+
+
 def completeness(bars: DataFrame, on_day: Column, days: DataFrame | None = None) -> DataFrame:
-    """Per symbol: whether it has bars on ``on_day`` and none of them has a NULL.
+    """Per symbol: whether it has bars on ``on_day`` and none of them has a NULL or NaN.
 
     ``on_day`` is a literal day, or a column of ``days`` (symbol, ...), for
     instance the last update of each symbol.
     """
     rows = bars if days is None else bars.join(days, "symbol", "left")
     here = F.col("trade_date") == on_day
-    has_null = F.array_contains(F.array(*[F.col(c).isNull() for c in OHLCV]), True)
+    has_null = reduce(or_, [is_missing(c) for c in OHLCV])
     return (
         rows.groupBy("symbol")
         .agg(F.count_if(here).alias("rows_on_day"), F.count_if(here & has_null).alias("null_rows"))

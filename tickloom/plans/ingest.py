@@ -78,9 +78,11 @@ def append_new(store: Store, batch: DataFrame, committed_at: datetime) -> int:
     committed before adds nothing.
     """
     stored = t.prices_in_years(store.spark, store.prices, t.years_in(batch))
-    added = t.append_nonempty(t.by_year(new_bars(batch, stored)), store.prices)
-    if added:
-        ledger.record(store.spark, store.ledger, "append", "stock_prices", added, committed_at)
+    fresh = staged(new_bars(batch, stored), "new-bars")
+    if fresh.isEmpty():
+        return 0
+    added = t.append(t.by_year(fresh), store.prices)
+    ledger.record(store.spark, store.ledger, "append", "stock_prices", added, committed_at)
     return added
 
 

@@ -91,7 +91,7 @@ def csv_tree_to_table(spark, sf):
     )
     flagged = named.join(listing(spark, sf).select("symbol", "is_etf"), "symbol")
     for kind, etf in (("stocks", False), ("etfs", True)):
-        part = flagged.where(F.col("is_etf") == etf).drop("is_etf").repartition("symbol")
+        part = flagged.where(F.col("is_etf") == etf).drop("is_etf").repartitionByRange("symbol", "Date")
         part.write.partitionBy("symbol").csv(f"{root}/{kind}", header=True)
     tree = files.price_csv_tree(spark, root)
     tree.repartitionByRange("kind", "symbol").write.partitionBy("kind").parquet(target)
