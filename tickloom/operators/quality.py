@@ -141,21 +141,18 @@ def integrity_report(
     """Violations per check: repeated keys, NULLs in required columns, orphans.
 
     ``references`` maps a column to the frame whose same-named column it must
-    occur in. Repeats are counted after partial aggregation.
+    occur in. Repeats and NULLs are counted in one pass.
     """
-    repeated = (
-        rows.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit(f"repeated key {', '.join(key)}").alias("check_name"), "violations")
+    per_key = rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in required],
     )
-    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).unpivot(
-        [], list(required), "_column", "violations"
-    )
-    report = repeated.unionByName(
-        nulls.select(F.concat(F.lit("null in "), "_column").alias("check_name"), "violations")
+    totals = per_key.agg(
+        F.count_if(F.col("_n") > 1).alias(f"repeated key {', '.join(key)}"),
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"null in {c}") for c in required],
     )
+    checks = [F.col(f"`{c}`") for c in totals.columns]
+    report = totals.unpivot([], checks, "check_name", "violations")
     for column, parent in references.items():
         counted = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
         orphans = counted.join(parent.select(column).distinct(), column, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import clean_symbol, is_blank, request_period
@@ -131,12 +131,14 @@ def attach(rows: DataFrame, attributes: DataFrame, columns: Sequence[str]) -> Da
 # -- aggregates --------------------------------------------------------------
 
 
-def price_stats(bars: DataFrame) -> DataFrame:
+def price_stats(bars: DataFrame, *more: Column) -> DataFrame:
+    """Statistics of the close per symbol, and whatever else is wanted of the same pass."""
     return bars.groupBy("symbol").agg(
         F.min("close").alias("min_close"),
         F.max("close").alias("max_close"),
         F.avg("close").alias("avg_close"),
         F.count("close").alias("close_count"),
+        *more,
     )
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tickloom.functions.indicators import signals
 from tickloom.operators.relational import for_symbols, price_stats, since
 
+LATEST = ["rsi_14", "macd_hist", "is_overbought", "is_oversold", "is_rising"]
+
 
 def explore(bars: DataFrame, symbols: Sequence[str], first_day: date) -> DataFrame:
     """One row per chosen symbol.
@@ -19,7 +21,8 @@ def explore(bars: DataFrame, symbols: Sequence[str], first_day: date) -> DataFra
     bars from ``first_day`` on; they are those of its latest bar.
     """
     chosen = for_symbols(bars, symbols)
-    counts = chosen.groupBy("symbol").agg(
+    summary = price_stats(
+        chosen,
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col("volume").isNull() | F.col("close").isNull()).alias("null_rows"),
         F.min("trade_date").alias("first_day"),
@@ -28,6 +31,6 @@ def explore(bars: DataFrame, symbols: Sequence[str], first_day: date) -> DataFra
     latest = (
         signals(since(chosen, first_day))
         .groupBy("symbol")
-        .agg(*[F.max_by(c, "trade_date").alias(c) for c in ("rsi_14", "macd_hist", "is_overbought", "is_oversold", "is_rising")])
+        .agg(*[F.max_by(c, "trade_date").alias(c) for c in LATEST])
     )
-    return counts.join(price_stats(chosen), "symbol").join(latest, "symbol", "left")
+    return summary.join(latest, "symbol", "left")

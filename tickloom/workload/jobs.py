@@ -11,7 +11,6 @@ from tickloom.operators import enrich
 from tickloom.operators.relational import (
     distinct_symbols,
     missing_sector,
-    symbols_with_metadata,
     union_all,
 )
 from tickloom.plans import ingest as job
@@ -24,7 +23,7 @@ from tickloom.workload import fixtures as fx
 from tickloom.workload.dimensions import relisted
 from tickloom.workload.fixtures import RUN_DATE
 from tickloom.workload.registry import query
-from tickloom.workload.relational import PRICES, clean_incoming, listing
+from tickloom.workload.relational import PRICES, clean_incoming
 from tickloom.workload.tables import COMMITTED_AT, LATER, counts, new_namespace
 
 
@@ -38,11 +37,7 @@ def filled_store(spark, sf) -> job.Store:
 
 @query("landing_fetch", "SELECT symbol, dt, open, high, low, close, volume FROM fetched")
 def landing_fetch(spark, sf):
-    stocks = listing(spark, sf).where("not is_etf").select("symbol")
-    requested = symbols_with_metadata(stocks, fx.metadata(spark, sf).select("symbol", "last_update"))
-    # A known symbol without a date is not due; here only due ones are requested.
-    due = job.requested_symbols(fx.directory(spark, sf), fx.metadata(spark, sf), RUN_DATE)
-    requested = requested.join(due.select("symbol"), "symbol", "left_semi")
+    requested = job.requested_symbols(fx.directory(spark, sf), fx.metadata(spark, sf), RUN_DATE)
     return enrich.landing_fetch(requested, fx.incoming(spark, sf), RUN_DATE)
 
 

@@ -230,9 +230,9 @@ def latest_per_symbol(spark, sf):
     return r.latest_per_symbol(_metadata_history(spark, sf))
 
 
-@query("row_count", f"SELECT CAST(count(*) AS bigint) AS row_count FROM bars WHERE symbol IN {CHOSEN_SQL}")
+@query("row_count", "SELECT CAST(count(*) AS bigint) AS row_count FROM bars")
 def row_count(spark, sf):
-    return r.row_count(r.for_symbols(fx.bars(spark, sf), CHOSEN))
+    return r.row_count(fx.bars(spark, sf))
 
 
 @query(
