@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Iterable
+from typing import Any
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,3 +49,20 @@ def extended(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterable[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
+
+
+def travels(module: str) -> None:
+    """Send functions of ``module`` to tasks by value, so that workers need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def shared(spark: SparkSession, value: Any) -> Broadcast:
+    """A broadcast of ``value``, whose classes travel with it; tasks read it with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(handle: Broadcast) -> Any:
+    return pickle.loads(handle.value)
+
+
+travels(__name__)

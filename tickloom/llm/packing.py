@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tickloom.llm.common import texts
+from tickloom.llm.common import texts, travels
+
+travels(__name__)
 
 WINDOW = 2048
 END_ID = 1

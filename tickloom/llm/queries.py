@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import language_id, packing
+from tickloom.llm import language_id, ngram_join, packing
 from tickloom.llm.common import table
 from tickloom.llm.registry import QUERIES, query
 
@@ -26,3 +26,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_ngram_join")
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.linked(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
