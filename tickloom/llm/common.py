@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pickle
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -51,6 +51,13 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterable[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that a task's Python objects stay few."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def travels(module: str) -> None:
     """Send functions of ``module`` to tasks by value, so that workers need not have the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

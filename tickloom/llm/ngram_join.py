@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import extended, received, shared, texts, travels, with_fields, written
+from tickloom.llm.common import extended, received, shared, sliced, texts, travels, with_fields, written
 from tickloom.llm.components import components
 
 travels(__name__)
@@ -99,7 +99,7 @@ def _frequent_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         grams, n = grams[n >= 3], n[n >= 3]
         return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
-    for batch in batches:
+    for batch in sliced(batches):
         for grams in gram_sets(texts(batch), known):
             node = _node(grams)
             if node is None or node in nodes:
@@ -134,7 +134,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rank = received(handle)
         known = _WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             size, node, gid, prefix = [], [], [], []
             for grams in gram_sets(texts(batch), known):
                 n = len(grams)
@@ -192,7 +192,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, known = received(handle), _WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             nodes, sets = [], []
             for doc_id, grams in zip(texts(batch, "doc_id"), gram_sets(texts(batch), known)):
                 if doc_id is None or (node := _node(grams)) is None:
@@ -339,7 +339,7 @@ def with_node(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             nodes = [_node(grams) for grams in gram_sets(texts(batch), known)]
             yield extended(batch, {"_node": pa.array(nodes, pa.binary())})
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tickloom.llm.common import texts, travels
+from tickloom.llm.common import sliced, texts, travels
 
 travels(__name__)
 
@@ -175,7 +175,7 @@ def pack(
         packer = SumOfSquares(window)
         task = TaskContext.get().partitionId() << _TASK_BITS
         made = 0
-        for batch in batches:
+        for batch in sliced(batches):
             for doc_id, text in zip(texts(batch, "doc_id"), texts(batch, "text")):
                 ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
                 whole = Piece(doc_id, 0, ids, len(ids))

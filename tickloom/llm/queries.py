@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import language_id, ngram_join, packing
+from tickloom.llm import language_id, mixing, ngram_join, packing, pii
 from tickloom.llm.common import table
 from tickloom.llm.registry import QUERIES, query
 
@@ -32,3 +32,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.linked(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs)).select("doc_id", "pii")
+    counts = [
+        F.size(F.filter("pii", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{pii.KINDS[i]}")
+        for i in range(pii.BASE)
+    ]
+    base = pii.joined(F.filter("pii", lambda s: s["kind"] < pii.BASE))
+    digest = F.sha2(base.cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.joined(F.col("pii")).alias("spans"))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    drawn = mixing.mix(docs.select("doc_id", "source", "text"))
+    return drawn.select("doc_id", "source", "epoch", "block", "place", "weight")
