@@ -99,10 +99,8 @@ def _luhn(match: Column) -> Column:
 def _valid(span: Column) -> Column:
     """The checks a match must pass to be a candidate of its kind."""
     match, kind = span["match"], span["kind"]
-    parts = F.split(match, "\\.")
     digits = F.length(_digits(match))
-    low = F.forall(parts, lambda p: F.expr("true") & (F.length(F.ltrim(F.lit("0"), p)) <= 3)
-                   & (F.coalesce(F.try_to_number(F.substring(p, -3, 3), F.lit("999")).cast("int"), F.lit(0)) <= 255))
+    low = F.rlike(match, F.lit(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"))
     return (
         F.when(kind == 1, low)
         .when(kind == 2, _luhn(match))
@@ -213,6 +211,10 @@ def find(docs: DataFrame, classifier: Classifier, text_col: str = "text", name:
     return docs.withColumn(name, F.filter(_without_overlap(candidates(text)), judged))
 
 
+def of_kind(spans: Column, kind: int) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end of every span, comma-joined."""
     names = F.array(*map(F.lit, KINDS))

@@ -39,7 +39,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.train(docs)).select("doc_id", "pii")
     counts = [
-        F.size(F.filter("pii", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{pii.KINDS[i]}")
+        F.size(pii.of_kind(F.col("pii"), i)).cast("long").alias(f"n_{pii.KINDS[i]}")
         for i in range(pii.BASE)
     ]
     base = pii.joined(F.filter("pii", lambda s: s["kind"] < pii.BASE))
