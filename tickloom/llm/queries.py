@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import language_id, mixing, ngram_join, packing, pii
+from tickloom.llm import language_id, licenses, mixing, ngram_join, packing, pii, quality_rules
 from tickloom.llm.common import table
 from tickloom.llm.registry import QUERIES, query
 
@@ -52,3 +52,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     drawn = mixing.mix(docs.select("doc_id", "source", "text"))
     return drawn.select("doc_id", "source", "epoch", "block", "place", "weight")
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality"
+    return found.select("doc_id", *columns.split())
