@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import language_id, licenses, mixing, ngram_join, packing, pii, quality_rules
+from tickloom.llm import (
+    ball_search,
+    html_text,
+    language_id,
+    licenses,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    token_counts,
+)
 from tickloom.llm.common import table
 from tickloom.llm.registry import QUERIES, query
 
@@ -67,3 +78,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality"
     return found.select("doc_id", *columns.split())
+
+
+@query("op3_exact_search")
+def op3_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ball_search.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return ball_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs).select("doc_id", "n_pretokens", "n_tokens")
