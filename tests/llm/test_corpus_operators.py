@@ -60,7 +60,7 @@ def test_a_large_group_of_near_copies_makes_few_pairs(spark):
     members = sketches.select("gid", "node").distinct()
     lists = ngram_join._lists(sketches, members, 85)
     heads = members.groupBy("gid").agg(F.min("node").alias("node"))
-    assert ngram_join._star_pairs(lists, heads, members).count() <= 3 * len(rows)
+    assert ngram_join._star_pairs(lists, heads, members, 85).count() <= 3 * len(rows)
     assert {r.component_id for r in ngram_join.linked(docs).collect()} == {0}
 
 

@@ -21,6 +21,7 @@ classes. A list whose members are one class makes no pairs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def gram_sets(batch: Iterable[str | None], known: _WordHashes, n: int = N) -> li
     """
     words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in batch]
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    flat = np.fromiter((known[w] for ws in words for w in ws), dtype=np.uint64, count=int(sizes.sum()))
+    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(sizes.sum()))
     ends = np.cumsum(sizes)
     grams = np.zeros(0, dtype=np.uint64)
     if len(flat) >= n:
@@ -187,7 +188,11 @@ def _place(node: bytes, rep: int, bits: int) -> int:
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
-    """(node, grams) of the needed nodes, from the text of each one's representative."""
+    """(node, grams) of the needed nodes, from the text of each one's representative, written.
+
+    A few others may be among them, and a node twice if its representative's
+    row is repeated; joins on the node sort that out.
+    """
     handle = shared(docs.sparkSession, _bits(needed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,14 +209,16 @@ def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "node binary, grams array<long>")
-    return written(found.join(needed.select("node"), "node", "left_semi"), label)
+    return written(found, label)
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets meet the threshold, written."""
+    if pairs.isEmpty():
+        return pairs
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = written(wanted.join(nodes.select("node", "rep"), "node").where("rep IS NOT NULL"), "needed")
-    sets = sets_of(docs, needed, "sets").dropDuplicates(["node"])
+    sets = sets_of(docs, needed, "sets")
     one, two = sets.toDF("a", "grams_a"), sets.toDF("b", "grams_b")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     met = 100 * both >= percent * (F.size("grams_a") + F.size("grams_b") - both)
@@ -223,17 +230,37 @@ def _close_in_size(s: Column, t: Column, percent: int) -> Column:
 
 
 def _position_allows(s: Column, p: Column, t: Column, q: Column, percent: int) -> Column:
-    """Enough grams from the shared one on; at the first shared gram no true pair fails this."""
+    """Enough grams from the first shared one on."""
     return (100 + percent) * F.least(s - p, t - q) >= percent * (s + t)
 
 
-def _star_pairs(lists: DataFrame, heads: DataFrame, members: DataFrame) -> DataFrame:
-    """Each node with its group's head, each group's head with that of its two best pivots."""
+def _shared_enough(k: Column, s: Column, t: Column, percent: int) -> Column:
+    """Enough shared grams within both prefixes.
+
+    What two sets share up to the end of the prefix that ends first lies in both
+    prefixes; what follows is at most the rest behind a prefix, whose length
+    follows from the size.
+    """
+    rest = F.ceil(percent * F.greatest(s, t) / 100) - 1
+    return (100 + percent) * (k + rest) >= percent * (s + t)
+
+
+def _star_pairs(lists: DataFrame, heads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Each node with its group's head, each group's head with that of its two best pivots.
+
+    Only pivots that share enough lists count here; what this leaves out is
+    judged with the pairs that cross classes.
+    """
     votes = (
-        lists.select("gid", F.explode(F.array("pivot", "pivot_below")).alias("p"))
-        .where("p <> gid")
-        .groupBy("gid", "p")
-        .agg(F.count(F.lit(1)).alias("n"))
+        lists.where("pos >= 0")
+        .select("gid", "size", F.explode(F.array(
+            F.struct(F.col("pivot").alias("p"), F.col("pivot_size").alias("t")),
+            F.struct(F.col("pivot_below").alias("p"), F.col("below_size").alias("t")),
+        )).alias("pivot"))
+        .where("pivot.p <> gid")
+        .groupBy("gid", F.col("pivot.p").alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("s"), F.max("pivot.t").alias("t"))
+        .where(_shared_enough(F.col("n"), F.col("s"), F.col("t"), percent))
     )
     best = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("n"), "p"))
     pivots = votes.withColumn("_at", best).where("_at <= 2")
@@ -272,12 +299,29 @@ def _crossing_pairs(lists: DataFrame, members: DataFrame, classes: DataFrame, pe
     y = marked.select("gram", "home", *[F.col(c).alias(f"{c}_y") for c in ("node", "root", "size", "pos")])
     pairs = x.join(y, "gram").where("root_x <> root_y AND (root_y = home OR node_x > node_y)")
     pairs = pairs.where(_close_in_size(F.col("size_x"), F.col("size_y"), percent))
-    pairs = pairs.where(_position_allows(*[F.col(c) for c in ("size_x", "pos_x", "size_y", "pos_y")], percent))
-    return _ordered(pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")))
+    swap = F.col("node_x") < F.col("node_y")
+    one, two = (
+        F.struct(*[F.when(swap, F.col(f"{c}_{m}")).otherwise(F.col(f"{c}_{n}")).alias(c) for c in ("node", "size", "pos")])
+        for m, n in (("y", "x"), ("x", "y"))
+    )
+    counted = (
+        pairs.select(one.alias("a"), two.alias("b"))
+        .groupBy("a.node", "b.node").agg(
+            F.count_if(F.col("a.pos") >= 0).alias("k"), F.min(F.col("a.pos")).alias("p"), F.min(F.col("b.pos")).alias("q"),
+            F.max("a.size").alias("s"), F.max("b.size").alias("t"),
+        ).toDF("a", "b", "k", "p", "q", "s", "t")
+    )
+    k, p, q, s, t = (F.col(c) for c in "kpqst")
+    # Members of one group share their whole prefix, of which not every gram is listed.
+    fits = (p < 0) | (_shared_enough(k, s, t, percent) & _position_allows(s, p, t, q, percent))
+    return counted.where(fits).select("a", "b")
 
 
 def _lists(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(gram, gid, size, pos, pivot, pivot_below) of every list with more than one group or member."""
+    """(gram, gid, size, pos, pivots with sizes) of every list with more than one group.
+
+    A group of several nodes is a list of its own, with position -1.
+    """
     groups = rows.where("gid IS NOT NULL").select("gid", "size", "prefix").distinct()
     entries = groups.select("gid", "size", F.posexplode("prefix").alias("pos", "gram"))
     # Sizes of a band and of the one below differ by less than the threshold allows.
@@ -286,16 +330,20 @@ def _lists(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     same = Window.partitionBy("gram").orderBy("band")
     lists = (
         entries.withColumn("groups", F.count(F.lit(1)).over(Window.partitionBy("gram")))
-        .withColumn("pivot", F.min("gid").over(same.rangeBetween(0, 0)))
-        .withColumn("pivot_below", F.min("gid").over(same.rangeBetween(-1, -1)))
+        .withColumn("_own", F.min(F.struct("gid", "size")).over(same.rangeBetween(0, 0)))
+        .withColumn("_below", F.min(F.struct("gid", "size")).over(same.rangeBetween(-1, -1)))
         .where("groups > 1")
-        .select("gram", "gid", "size", "pos", "pivot", "pivot_below")
+        .select(
+            "gram", "gid", "size", "pos",
+            F.col("_own.gid").alias("pivot"), F.col("_own.size").alias("pivot_size"),
+            F.col("_below.gid").alias("pivot_below"), F.col("_below.size").alias("below_size"),
+        )
     )
-    # A group of several nodes is a list of its own.
     several = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gid")
     own = groups.select("gid", "size").join(several, "gid").select(
-        F.col("gid").alias("gram"), "gid", "size", F.lit(0).alias("pos"), F.col("gid").alias("pivot"),
-        F.lit(None).cast("long").alias("pivot_below"),
+        F.col("gid").alias("gram"), "gid", "size", F.lit(-1).alias("pos"),
+        *[F.lit(None).cast(kind).alias(c) for c, kind in (
+            ("pivot", "long"), ("pivot_size", "int"), ("pivot_below", "long"), ("below_size", "int"))],
     )
     return written(lists.union(own), "lists")
 
@@ -318,7 +366,7 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     members = nodes.select("gid", "node")
     heads = members.groupBy("gid").agg(F.min("node").alias("node"))
     lists = _lists(rows, members, percent)
-    stars = written(_star_pairs(lists, heads, members), "stars")
+    stars = written(_star_pairs(lists, heads, members, percent), "stars")
     links = verified(docs, nodes, stars, percent)
     classes = written(components(links), "classes")
     crossing = _crossing_pairs(lists, members, classes, percent)
