@@ -39,6 +39,7 @@ def validate_directory(directory: DataFrame) -> DataFrame:
 def validate_prices(rows: DataFrame, day: str = "trade_date", arrival: str = "seq") -> DataFrame:
     """Per symbol: rows left after dropping incomplete ones, and why it is rejected.
 
+    Rows without a symbol are judged together, as the symbol NULL without data.
     ``arrival`` numbers a symbol's rows as they came. The order check compares
     neighbours inside blocks of arrivals and then the borders of the blocks, so
     a symbol of any size is spread over tasks.
@@ -48,8 +49,7 @@ def validate_prices(rows: DataFrame, day: str = "trade_date", arrival: str = "se
     before = Window.unboundedPreceding, -1
     in_block = Window.partitionBy("symbol", "_block").orderBy(arrival).rowsBetween(*before)
     judged = (
-        rows.where("symbol is not null")
-        .select("symbol", F.when(usable, F.col(day)).alias("_day"), *OHLCV, arrival, block)
+        rows.select("symbol", F.when(usable, F.col(day)).alias("_day"), *OHLCV, arrival, block)
         .withColumn("_seen", F.last("_day", ignorenulls=True).over(in_block))
         .withColumn("_arrived", F.when(F.col("_day").isNotNull(), F.col(arrival)))
         .groupBy("symbol", "_block")
@@ -89,18 +89,31 @@ def _any_usable(condition: Column) -> Column:
     return F.bool_or(F.col("_day").isNotNull() & F.coalesce(condition, F.lit(False)))
 
 
-def completeness(bars: DataFrame, on_day: Column, days: DataFrame | None = None) -> DataFrame:
+def completeness(
+    bars: DataFrame, on_day: Column, days: DataFrame | None = None, symbols: DataFrame | None = None
+) -> DataFrame:
     """Per symbol: whether it has bars on ``on_day`` and none of them has a NULL or NaN.
 
     ``on_day`` is a literal day, or a column of ``days`` (symbol, ...), for
-    instance the last update of each symbol.
+    instance the last update of each symbol. Only bars of that day are counted,
+    so a literal day reaches the scan. The result has the rows of ``symbols``,
+    by default all symbols of the bars, of which only that column is read.
     """
     rows = bars if days is None else bars.join(days, "symbol", "left")
-    here = F.col("trade_date") == on_day
     has_null = reduce(or_, [is_missing(c) for c in OHLCV])
+    on_it = (
+        rows.where(F.col("trade_date") == on_day)
+        .groupBy(F.col("symbol").alias("_symbol"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(has_null).alias("_nulls"))
+    )
+    known = (bars if symbols is None else symbols).select("symbol").distinct()
     return (
-        rows.groupBy("symbol")
-        .agg(F.count_if(here).alias("rows_on_day"), F.count_if(here & has_null).alias("null_rows"))
+        known.join(on_it, F.col("symbol").eqNullSafe(F.col("_symbol")), "left")
+        .select(
+            "symbol",
+            F.coalesce("_rows", F.lit(0)).alias("rows_on_day"),
+            F.coalesce("_nulls", F.lit(0)).alias("null_rows"),
+        )
         .withColumn("is_complete", (F.col("rows_on_day") > 0) & (F.col("null_rows") == 0))
     )
 
@@ -141,24 +154,31 @@ def integrity_report(
     """Violations per check: repeated keys, NULLs in required columns, orphans.
 
     ``references`` maps a column to the frame whose same-named column it must
-    occur in. Repeats and NULLs are counted in one pass.
+    occur in. The rows are read once: repeats, NULLs and orphans all come from
+    one grouping by the key and the references.
     """
-    per_key = rows.groupBy(*key).agg(
+    beside = [c for c in references if c not in key]
+    counted = rows.groupBy(*key, *beside).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in required],
     )
+    for column, parent in references.items():
+        known = parent.select(column).where(F.col(column).isNotNull()).distinct()
+        counted = counted.join(known.withColumn(f"_in_{column}", F.lit(True)), column, "left")
+    orphans = [
+        F.sum(F.when(F.col(c).isNotNull() & F.col(f"_in_{c}").isNull(), F.col("_n")).otherwise(0)).alias(f"_orphan_{c}")
+        for c in references
+    ]
+    nulls = [F.sum(f"_null_{c}").alias(f"_null_{c}") for c in required]
+    per_key = counted.groupBy(*key).agg(F.sum("_n").alias("_n"), *nulls, *orphans)
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0))
+
     totals = per_key.agg(
         F.count_if(F.col("_n") > 1).alias(f"repeated key {', '.join(key)}"),
-        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"null in {c}") for c in required],
+        *[total(f"_null_{c}").alias(f"null in {c}") for c in required],
+        *[total(f"_orphan_{c}").alias(f"orphan {c}") for c in references],
     )
     checks = [F.col(f"`{c}`") for c in totals.columns]
-    report = totals.unpivot([], checks, "check_name", "violations")
-    for column, parent in references.items():
-        counted = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-        orphans = counted.join(parent.select(column).distinct(), column, "left_anti")
-        report = report.unionByName(
-            orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
-                F.lit(f"orphan {column}").alias("check_name"), "violations"
-            )
-        )
-    return report
+    return totals.unpivot([], checks, "check_name", "violations")

@@ -5,24 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickloom.operators.relational import backfill_sector, missing_sector, with_sector
 from tickloom.plans.ingest import staged
 
 
 def backfill_to_fixpoint(
-    metadata: DataFrame, lookup: Callable[[DataFrame], DataFrame], max_rounds: int = 100
+    metadata: DataFrame, lookup: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Metadata after repeated rounds of looking up the symbols without a sector.
 
     ``lookup`` maps symbols to (symbol, sector) and may find more on a later
-    call. A round that finds nothing is the last one. Every round is written to
-    the shared folder, so plans do not grow and a lost executor costs one round.
+    call. A round that finds nothing is the last one. Only symbols that were
+    asked for count as found, so every round fills at least one and the loop
+    ends. Every round is written to the shared folder, so plans do not grow and
+    a lost executor costs one round.
     """
-    for _ in range(max_rounds):
-        symbols = missing_sector(metadata).select("symbol")
-        found = staged(with_sector(lookup(symbols)), "sectors")
+    while True:
+        symbols = missing_sector(metadata).select("symbol").distinct()
+        answers = with_sector(lookup(symbols)).join(symbols, "symbol", "left_semi")
+        found = staged(answers.groupBy("symbol").agg(F.max("sector").alias("sector")), "sectors")
         if found.isEmpty():
-            break
+            return metadata
         metadata = staged(backfill_sector(metadata, found), "metadata")
-    return metadata
