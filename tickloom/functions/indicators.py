@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scan import ema, smooth, wilder
-from tickloom.functions.series import in_era, in_order
+from tickloom.functions.series import in_era, in_order, is_complete
 from tickloom.schemas import OHLCV
 
 # The indicator table's column names and order.
@@ -32,6 +32,7 @@ STOCH_K, STOCH_D, STOCH_SMOOTH = 14, 3, 3
 WILDER_LENGTH = 14
 
 KEY = ["symbol", "trade_date"]
+_READ = ["high", "low", "close"]
 
 
 def _over_last(aggregate, column: str, length: int) -> Column:
@@ -54,6 +55,25 @@ def _own(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.where(~F.col("is_context")).select(*KEY, *columns)
 
 
+def _with_all_bars(table: DataFrame, bars: DataFrame, needed: list[str], names: dict[str, str]) -> DataFrame:
+    """The table and, with NULL indicators, the dated bars that lack a needed price.
+
+    ``names`` maps columns of the table to columns of the bars; all others are
+    indicators. A scan for missing prices skips files without NULLs.
+    """
+    keyed = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull()
+    left_out = bars.where(keyed & ~is_complete(needed)).select(
+        *[
+            F.col(names[f.name]).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema
+        ]
+    )
+    return table.unionByName(left_out)
+
+
+_CLOSE_ONLY = {"symbol": "symbol", "trade_date": "trade_date", "close": "close"}
+
+
 # -- columns ---------------------------------------------------------------
 
 
@@ -129,58 +149,59 @@ def _rsi_column() -> Column:
 def sma(bars: DataFrame, *lengths: int) -> DataFrame:
     rows = in_order(bars, ["close"], max(lengths) - 1)
     columns = {f"sma_{length}": sma_column(length) for length in lengths}
-    return _own(rows.withColumns(columns), "close", *columns)
+    return _with_all_bars(_own(rows.withColumns(columns), "close", *columns), bars, ["close"], _CLOSE_ONLY)
 
 
 def exponential_average(bars: DataFrame, length: int = EMA_LENGTH) -> DataFrame:
     rows = in_order(bars, ["close"])
     name = f"ema_{length}"
-    return smooth(rows, [ema(name, F.col("close"), length)]).select(*KEY, "close", name)
+    table = smooth(rows, [ema(name, F.col("close"), length)]).select(*KEY, "close", name)
+    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
 
 
 def bollinger(bars: DataFrame, length: int = BAND_LENGTH, width: float = BAND_WIDTH) -> DataFrame:
     columns = band_columns(length, width)
     rows = in_order(bars, ["close"], length - 1)
-    return _own(rows.withColumns(columns), "close", *columns)
+    return _with_all_bars(_own(rows.withColumns(columns), "close", *columns), bars, ["close"], _CLOSE_ONLY)
 
 
 def macd(
     bars: DataFrame, fast: int = MACD_FAST, slow: int = MACD_SLOW, signal: int = MACD_SIGNAL
 ) -> DataFrame:
     rows = smooth(in_order(bars, ["close"]), _macd_smoothers(fast, slow, signal))
-    return rows.withColumns(_macd_columns()).select(
-        *KEY, "close", "macd", "macd_signal", "macd_hist"
-    )
+    table = rows.withColumns(_macd_columns()).select(*KEY, "close", "macd", "macd_signal", "macd_hist")
+    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
 
 
 def stochastic(
     bars: DataFrame, k: int = STOCH_K, d: int = STOCH_D, smooth_k: int = STOCH_SMOOTH
 ) -> DataFrame:
     rows = in_order(bars, ["high", "low", "close"], k + d + smooth_k - 3)
-    return _own(_with_stochastic(rows, k, d, smooth_k), "close", "stoch_k", "stoch_d")
+    table = _own(_with_stochastic(rows, k, d, smooth_k), "close", "stoch_k", "stoch_d")
+    return _with_all_bars(table, bars, ["high", "low", "close"], _CLOSE_ONLY)
 
 
 def average_true_range(bars: DataFrame, length: int = WILDER_LENGTH) -> DataFrame:
     rows = _with_moves(in_order(bars, ["high", "low", "close"], 1))
-    return smooth(rows, [wilder("atr", F.col("_true_range"), length, first=2)]).select(
-        *KEY, "close", "atr"
-    )
+    table = smooth(rows, [wilder("atr", F.col("_true_range"), length, first=2)]).select(*KEY, "close", "atr")
+    return _with_all_bars(table, bars, ["high", "low", "close"], _CLOSE_ONLY)
 
 
 def relative_strength(bars: DataFrame, length: int = WILDER_LENGTH) -> DataFrame:
     rows = _with_moves(in_order(bars, ["close"], 1))
     name = f"rsi_{length}"
-    return (
-        smooth(rows, _rsi_smoothers(length))
-        .withColumn(name, _rsi_column())
-        .select(*KEY, "close", name)
-    )
+    table = smooth(rows, _rsi_smoothers(length)).withColumn(name, _rsi_column()).select(*KEY, "close", name)
+    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
 
 
 def indicator_table(bars: DataFrame) -> DataFrame:
-    """Symbol plus the 18 indicator columns, from one shuffle of the bars."""
+    """Symbol plus the 18 indicator columns, a row for every bar, from one shuffle of the bars.
+
+    Indicators read high, low and close. A bar without one of these enters none
+    of them and has NULL indicators; a missing open or volume does not matter.
+    """
     lookback = max(SMA_LENGTH, BAND_LENGTH, STOCH_K + STOCH_D + STOCH_SMOOTH - 2) - 1
-    rows = in_order(bars, OHLCV, lookback)
+    rows = in_order(bars, OHLCV, lookback, _READ)
     rows = rows.withColumns({"sma_20": sma_column(SMA_LENGTH), **band_columns()})
     rows = _with_moves(_with_stochastic(rows, STOCH_K, STOCH_D, STOCH_SMOOTH))
     smoothers = [
@@ -191,9 +212,9 @@ def indicator_table(bars: DataFrame) -> DataFrame:
     ]
     table = smooth(rows, smoothers).withColumns({**_macd_columns(), "rsi_14": _rsi_column()})
     named = {"Date": "trade_date"}
-    return table.select(
-        "symbol", *[F.col(named.get(c, c.lower())).alias(c) for c in INDICATOR_COLUMNS]
-    )
+    table = table.select("symbol", *[F.col(named.get(c, c.lower())).alias(c) for c in INDICATOR_COLUMNS])
+    stored = {"symbol": "symbol", "Date": "trade_date", **{c.capitalize(): c for c in OHLCV}}
+    return _with_all_bars(table, bars, _READ, stored)
 
 
 def signals(bars: DataFrame, overbought: float = 70.0, oversold: float = 30.0) -> DataFrame:
@@ -215,5 +236,9 @@ def signals(bars: DataFrame, overbought: float = 70.0, oversold: float = 30.0) -
 
 
 def numbered_series(bars: DataFrame) -> DataFrame:
-    """Every bar with its place in the symbol's series, counted from 1."""
-    return in_order(bars, ["close"]).select(*KEY, "close", F.col("n").alias("bar_number"))
+    """Every dated bar with its place in the symbol's series, counted from 1.
+
+    A bar counts whether or not it has prices. Rows are sorted within partitions.
+    """
+    rows = in_order(bars, ["close"], needed=[])
+    return rows.select(*KEY, "close", F.col("n").alias("bar_number")).sortWithinPartitions(*KEY)

@@ -47,16 +47,25 @@ def _block() -> Column:
     return F.floor(month / BLOCK_MONTHS).cast("int")
 
 
-def in_order(bars: DataFrame, values: Sequence[str], lookback: int = 0) -> DataFrame:
+def is_complete(columns: Sequence[str]) -> Column:
+    """A symbol, a date, and neither NULL nor NaN in ``columns``."""
+    return reduce(and_, [~is_missing(c) for c in ("symbol", "trade_date", *columns)])
+
+
+def in_order(
+    bars: DataFrame, values: Sequence[str], lookback: int = 0, needed: Sequence[str] | None = None
+) -> DataFrame:
     """Bars ready for windows: symbol, era, block, trade_date, values, n, is_context.
 
     ``n`` counts a symbol's bars from 1. Rows with ``is_context`` belong to an
     earlier era; they serve the frames of this one and must be dropped after.
-    Bars with a NULL or NaN are left out. (symbol, trade_date) is unique.
+    Bars with a NULL or NaN in ``needed`` (all ``values``, unless fewer are
+    named) are left out: they enter no frame and no count.
+    (symbol, trade_date) is unique.
     """
     # Filters and the era are spelled out so that neither join side gets further
     # NOT NULL filters of its own: both then read the same shuffle.
-    complete = reduce(and_, [~is_missing(c) for c in ("symbol", "trade_date", *values)])
+    complete = is_complete(values if needed is None else needed)
     placed = (
         bars.select("symbol", "trade_date", *values)
         .where(complete)
