@@ -38,4 +38,5 @@ def current_snapshot(ledger: DataFrame) -> DataFrame:
         latest.alias("current_snapshot_id"),
         F.max("committed_at").alias("committed_at"),
         F.count(F.lit(1)).alias("snapshots"),
+        F.sum("added_rows").alias("added_rows"),
     )

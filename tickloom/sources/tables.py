@@ -119,8 +119,12 @@ def append(df: DataFrame, name: str) -> int:
 
 
 def append_nonempty(df: DataFrame, name: str) -> int:
-    """Append, but leave the table alone if there is nothing to add."""
-    return 0 if df.isEmpty() else append(df, name)
+    """Append, but leave the table alone if there is nothing to add.
+
+    An append of no rows adds no file, so the input is run once and not tried
+    for emptiness first.
+    """
+    return append(df, name)
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> int:
@@ -180,6 +184,26 @@ def migrate(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> di
     return targets
 
 
+def table_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """The folders right below ``root`` that hold parquet files, at any depth, by name.
+
+    Names that start with a dot or an underscore are working folders.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for entry in files.listStatus(path):
+        name = entry.getPath().getName()
+        if not entry.isDirectory() or name[0] in "._":
+            continue
+        below = files.listFiles(entry.getPath(), True)
+        while below.hasNext():
+            if below.next().getPath().getName().endswith(".parquet"):
+                found[name] = entry.getPath().toString()
+                break
+    return found
+
+
 def register_existing(spark: SparkSession, namespace: str, folders: dict[str, str]) -> None:
     """Make existing parquet folders readable as tables, partitions included."""
     create_namespace(spark, namespace)
