@@ -32,8 +32,8 @@ ANCHORS = {
     "metadata": 8,
     "stored_prices": 3_881,
     "incoming": 1_905,
-    "dirty_prices": 649,
-    "wide_prices": 976,
+    "dirty_prices": 5_334,
+    "patchy_bars": 5_334,
     "trading_days": 1_670,
     "symbols": 8,
     "holidays": 9,

@@ -49,20 +49,17 @@ FIXTURES: dict[str, str] = {
         SELECT lower(symbol), CAST(NULL AS date), open, high, low, close, volume
         FROM bars WHERE trade_date = DATE '2000-06-01'""",
     "dirty_prices": f"""
-        SELECT symbol, trade_date AS dt,
+        SELECT CASE WHEN volume % 13 <> 0 THEN symbol END AS symbol, trade_date AS dt,
                CASE WHEN volume % 7 = 0 THEN NULL ELSE open END AS open, high, low,
                CASE WHEN symbol LIKE '%3' THEN -close ELSE close END AS close,
                CASE WHEN symbol LIKE '%6' THEN -1 ELSE volume END AS volume,
                row_number() OVER (PARTITION BY symbol
                  ORDER BY CASE WHEN symbol LIKE '%9' THEN -{D} ELSE {D} END) AS seq
-        FROM bars WHERE trade_date >= DATE '2001-01-01'""",
-    "wide_prices": """
-        SELECT trade_date,
-               max(CASE WHEN symbol = 'SUP1' THEN close END) AS SUP1_close,
-               max(CASE WHEN symbol = 'SUP1' THEN volume END) AS SUP1_volume,
-               max(CASE WHEN symbol = 'SUP2' THEN close END) AS SUP2_close,
-               max(CASE WHEN symbol = 'SUP2' THEN volume END) AS SUP2_volume
-        FROM bars WHERE symbol IN ('SUP1', 'SUP2') GROUP BY trade_date""",
+        FROM bars""",
+    "patchy_bars": """
+        SELECT symbol, trade_date, open, high, low, CASE WHEN volume % 23 <> 0 THEN close END AS close,
+               CASE WHEN volume % 19 <> 0 THEN volume END AS volume FROM bars""",
+    "whole_bars": "SELECT * FROM patchy_bars WHERE close IS NOT NULL",
     "trading_days": """
         SELECT CAST(row_number() OVER (ORDER BY trade_date) AS int) AS date_id, trade_date
         FROM (SELECT DISTINCT trade_date FROM stored_prices) AS t""",

@@ -56,6 +56,18 @@ def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def provider_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directory under the public file's twelve headers, in its order (fixed values)."""
+    c, lit = F.col, F.lit
+    return directory(spark, sf_dir).select(
+        lit("Y").alias("Nasdaq Traded"), lit("other").alias("Symbol"), c("security_name").alias("Security Name"),
+        lit("N").alias("Listing Exchange"), c("market_category").alias("Market Category"), c("etf").alias("ETF"),
+        c("round_lot_size").alias("Round Lot Size"), c("test_issue").alias("Test Issue"),
+        lit("N").alias("Financial Status"), lit("cqs").alias("CQS Symbol"), c("symbol").alias("NASDAQ Symbol"),
+        lit("N").alias("NextShares"),
+    )
+
+
 def _supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # TPC-H fixes nation at 25 rows and region at 5, whatever the scale.
     nation = table(spark, sf_dir, "nation").join(
@@ -126,15 +138,14 @@ def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars with bad values by symbol ending; ``seq`` is the arrival order."""
-    since = F.lit(date(2001, 1, 1))
-    base = bars(spark, sf_dir).where(F.col("trade_date") >= since)
+    """Bars with bad values by symbol ending, some without a symbol; ``seq`` is the arrival order."""
+    base = bars(spark, sf_dir)
     ends = F.col("symbol").endswith
-    # One symbol has at most one bar a day and the fixture spans one year.
+    # One symbol has at most one bar a day.
     offset = F.datediff("trade_date", F.lit(date(1995, 1, 1)))
     arrival = F.when(ends("9"), -offset).otherwise(offset)
     return base.select(
-        "symbol",
+        F.when(F.col("volume") % 13 != 0, F.col("symbol")).alias("symbol"),
         F.col("trade_date").alias("dt"),
         F.when(F.col("volume") % 7 != 0, F.col("open")).alias("open"),
         "high",
@@ -145,9 +156,17 @@ def dirty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+GRID_SIZE = 50
+
+
+def tickers(spark: SparkSession, sf_dir: str) -> list[list[str]]:
+    """All symbols in blocks of GRID_SIZE: the column names of the grids a provider would send."""
+    names = sorted(r.symbol for r in directory(spark, sf_dir).select("symbol").distinct().collect())
+    return [names[i : i + GRID_SIZE] for i in range(0, len(names), GRID_SIZE)]
+
+
+def wide_prices(spark: SparkSession, sf_dir: str, tickers: list[str]) -> DataFrame:
     """Provider-style grid: one row a day, one column per (ticker, field)."""
-    tickers = ["SUP1", "SUP2"]
     cells = [
         F.max(F.when(F.col("symbol") == t, F.col(c))).alias(f"{t}_{c}")
         for t in tickers
@@ -158,6 +177,14 @@ def wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def patchy_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of which some lack the close and some the volume."""
+    return bars(spark, sf_dir).withColumns({
+        "close": F.when(F.col("volume") % 23 != 0, F.col("close")),
+        "volume": F.when(F.col("volume") % 19 != 0, F.col("volume")),
+    })
+
+
 def trading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = stored_prices(spark, sf_dir).select("trade_date").distinct()
     return with_position(days, "trade_date", name="date_id").select(

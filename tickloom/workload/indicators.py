@@ -109,12 +109,16 @@ def ind_sma(spark, sf):
 
 @query(
     "ind_ema",
-    joined("SELECT b.symbol, b.trade_date, b.close, round(e.y, 4) AS ema_20 FROM numbered AS b", "e"),
-    **series_ctes(),
+    joined(
+        """SELECT p.symbol, p.trade_date, p.close, round(e.y, 4) AS ema_20 FROM patchy_bars AS p
+           LEFT JOIN numbered AS b ON p.symbol = b.symbol AND p.trade_date = b.trade_date""",
+        "e",
+    ),
+    **series_ctes("whole_bars"),
     **mean_cte("e", "numbered", "close", 20, 2 / 21),
 )
 def ind_ema(spark, sf):
-    return rounded(ind.exponential_average(fx.bars(spark, sf)), ["ema_20"])
+    return rounded(ind.exponential_average(fx.patchy_bars(spark, sf)), ["ema_20"])
 
 
 BAND_MIDDLE = full("avg", "close", 20)
@@ -183,15 +187,17 @@ def ind_rsi(spark, sf):
 @query(
     "indicator_bundle",
     joined(
-        f"""SELECT b.symbol, b.trade_date AS "Date", b.open AS "Open", b.high AS "High", b.low AS "Low",
-                   b.close AS "Close", b.volume AS "Volume", round(f.sma, 4) AS "SMA_20",
+        f"""SELECT p.symbol, p.trade_date AS "Date", p.open AS "Open", p.high AS "High", p.low AS "Low",
+                   p.close AS "Close", p.volume AS "Volume", round(f.sma, 4) AS "SMA_20",
                    round(ema.y, 4) AS "EMA_20", round(f.sma + f.spread, 4) AS "BB_upper",
                    round(f.sma, 4) AS "BB_middle", round(f.sma - f.spread, 4) AS "BB_lower",
                    round(line.macd, 4) AS "MACD", round(signal.y, 4) AS "MACD_signal",
                    round({HISTOGRAM}, 4) AS "MACD_hist", round(stoch.stoch_k, 4) AS "STOCH_k",
                    round(stoch.stoch_d, 4) AS "STOCH_d", round(atr.y, 4) AS "ATR",
                    round({RSI}, 4) AS "RSI_14"
-            FROM numbered AS b JOIN frames AS f ON f.symbol = b.symbol AND f.n = b.n""",
+            FROM patchy_bars AS p
+            LEFT JOIN numbered AS b ON p.symbol = b.symbol AND p.trade_date = b.trade_date
+            LEFT JOIN frames AS f ON f.symbol = b.symbol AND f.n = b.n""",
         "ema",
         "line",
         "signal",
@@ -200,7 +206,7 @@ def ind_rsi(spark, sf):
         "up",
         "down",
     ),
-    **series_ctes(),
+    **series_ctes("whole_bars"),
     frames=f"SELECT symbol, n, {BAND_MIDDLE} AS sma, {BAND_SPREAD} AS spread FROM numbered",
     **mean_cte("ema", "numbered", "close", 20, 2 / 21),
     **macd_ctes(),
@@ -209,7 +215,7 @@ def ind_rsi(spark, sf):
     **rsi_ctes(),
 )
 def indicator_bundle(spark, sf):
-    return rounded(ind.indicator_table(fx.bars(spark, sf)), ind.INDICATOR_COLUMNS[6:])
+    return rounded(ind.indicator_table(fx.patchy_bars(spark, sf)), ind.INDICATOR_COLUMNS[6:])
 
 
 SIGNALS = f"""round({RSI}, 4) AS rsi_14, round({HISTOGRAM}, 4) AS macd_hist, {RSI} > 70 AS is_overbought,

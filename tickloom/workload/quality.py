@@ -30,7 +30,7 @@ def validate_directory(spark, sf):
          SELECT symbol, count(*) AS valid_rows, bool_or(least(open, high, low, close) <= 0) AS bad_price,
                 bool_or(volume < 0) AS bad_volume, bool_or(coalesce(before > dt, false)) AS bad_order
          FROM (SELECT *, lag(dt) OVER (PARTITION BY symbol ORDER BY seq) AS before FROM dirty_prices
-               WHERE dt IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL
+               WHERE symbol IS NOT NULL AND dt IS NOT NULL AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL
                  AND close IS NOT NULL AND volume IS NOT NULL) AS t
          GROUP BY symbol) AS v ON a.symbol = v.symbol""",
 )

@@ -365,15 +365,16 @@ def union_distinct(spark, sf):
 
 @query(
     "wide_to_long",
-    """SELECT 'SUP1' AS symbol, trade_date, SUP1_close AS close, SUP1_volume AS volume FROM wide_prices
-       WHERE NOT (SUP1_close IS NULL AND SUP1_volume IS NULL)
-       UNION ALL
-       SELECT 'SUP2', trade_date, SUP2_close, SUP2_volume FROM wide_prices
-       WHERE NOT (SUP2_close IS NULL AND SUP2_volume IS NULL)""",
+    """SELECT symbol, trade_date, close, volume FROM bars WHERE NOT (close IS NULL AND volume IS NULL)""",
 )
 def wide_to_long_(spark, sf):
-    # SUP0 has no columns in the grid and is skipped.
-    return wide_to_long(fx.wide_prices(spark, sf), ["SUP0", "SUP1", "SUP2"], ["close", "volume"])
+    # NONE has no columns in the grids and is skipped.
+    return r.union_all(
+        *[
+            wide_to_long(fx.wide_prices(spark, sf, block), ["NONE", *block], ["close", "volume"])
+            for block in fx.tickers(spark, sf)
+        ]
+    )
 
 
 @query(

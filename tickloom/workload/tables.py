@@ -52,10 +52,10 @@ def counts(spark, tables) -> list:
 # -- files -------------------------------------------------------------------
 
 
-@query("scan_parquet_or_empty", "SELECT * FROM stored_prices")
+@query("scan_parquet_or_empty", "SELECT * FROM bars")
 def scan_parquet_or_empty(spark, sf):
     path, schema = fresh_path(spark, "scan"), schema_for("stock_prices")
-    fx.stored_prices(spark, sf).write.parquet(path)
+    fx.bars(spark, sf).write.parquet(path)
     present = files.parquet_or_empty(spark, path, schema)
     return union_all(present, files.parquet_or_empty(spark, path + "-missing", schema))
 
@@ -64,21 +64,21 @@ def scan_parquet_or_empty(spark, sf):
 def scan_directory_psv(spark, sf):
     path = fresh_path(spark, "directory")
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    fx.directory(spark, sf).write.options(**keep).csv(path, sep="|", header=True)
+    fx.provider_directory(spark, sf).write.options(**keep).csv(path, sep="|", header=True)
     return files.directory_listing(spark, path)
 
 
 @query("scan_metadata_csv", "SELECT * FROM metadata")
 def scan_metadata_csv(spark, sf):
     path = fresh_path(spark, "metadata")
-    fx.metadata(spark, sf).write.csv(path, header=True)
+    fx.metadata(spark, sf).select("symbol", "sector", "last_update").write.csv(path, header=True)
     present = files.metadata_csv(spark, path)
     return union_all(present, files.metadata_csv(spark, path + "-missing"))
 
 
 @query(
     "csv_tree_to_table",
-    """SELECT CASE WHEN l.is_etf THEN 'etfs' ELSE 'stocks' END AS kind, b.symbol, b.trade_date,
+    """SELECT CASE WHEN l.is_etf THEN 'etfs' ELSE 'stocks' END AS kind, b.symbol || ' ^A+%' AS symbol, b.trade_date,
               b.open, b.high, b.low, b.close, b.volume
        FROM bars AS b JOIN listing AS l ON b.symbol = l.symbol""",
 )
@@ -86,15 +86,18 @@ def csv_tree_to_table(spark, sf):
     from tickloom.workload.relational import listing
 
     root, target = fresh_path(spark, "tree"), fresh_path(spark, "prices")
+    # The provider's column order, and a space and a caret in every name.
+    order = ["close", "high", "low", "open", "volume"]
     named = fx.bars(spark, sf).select(
-        "symbol", F.col("trade_date").alias("Date"), *[F.col(c).alias(c.capitalize()) for c in OHLCV]
+        "symbol", F.col("trade_date").alias("Date"), *[F.col(c).alias(c.capitalize()) for c in order]
     )
     flagged = named.join(listing(spark, sf).select("symbol", "is_etf"), "symbol")
+    flagged = flagged.withColumn("symbol", F.concat("symbol", F.lit(" ^A+%")))
     for kind, etf in (("stocks", False), ("etfs", True)):
         part = flagged.where(F.col("is_etf") == etf).drop("is_etf").repartitionByRange("symbol", "Date")
         part.write.partitionBy("symbol").csv(f"{root}/{kind}", header=True)
     tree = files.price_csv_tree(spark, root)
-    tree.repartitionByRange("kind", "symbol").write.partitionBy("kind").parquet(target)
+    tree.repartitionByRange("kind", "symbol", "trade_date").write.partitionBy("kind").parquet(target)
     return spark.read.parquet(target).select("kind", *PRICE_COLUMNS)
 
 
@@ -124,9 +127,9 @@ def migrate_tables(spark, sf):
 # -- tables ------------------------------------------------------------------
 
 
-@query("scan_table_or_empty", "SELECT * FROM stored_prices")
+@query("scan_table_or_empty", "SELECT * FROM bars")
 def scan_table_or_empty(spark, sf):
-    name, schema = price_table(spark, fx.stored_prices(spark, sf)), schema_for("stock_prices")
+    name, schema = price_table(spark, fx.bars(spark, sf)), schema_for("stock_prices")
     present = t.table_or_empty(spark, name, schema).drop(t.YEAR)
     return union_all(present, t.table_or_empty(spark, name + "_missing", schema))
 
@@ -164,12 +167,12 @@ def sink_full_replace(spark, sf):
     return spark.table(name)
 
 
-@query("sink_append_nonempty", "SELECT * FROM stored_prices")
+@query("sink_append_nonempty", "SELECT * FROM bars")
 def sink_append_nonempty(spark, sf):
-    stored = fx.stored_prices(spark, sf)
+    bars = fx.bars(spark, sf)
     name = price_table(spark)
-    t.append_nonempty(t.by_year(stored.where("symbol is null")), name)
-    t.append_nonempty(t.by_year(stored), name)
+    t.append_nonempty(t.by_year(bars.where("symbol is null")), name)
+    t.append_nonempty(t.by_year(bars), name)
     return t.prices(spark, name)
 
 
@@ -177,7 +180,7 @@ def sink_append_nonempty(spark, sf):
     "create_table_from_schema",
     " UNION ALL ".join(
         f"""SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS data_type, {part} AS is_partition,
-                   CAST(count({value}) AS bigint) AS filled FROM stored_prices"""
+                   CAST(count({value}) AS bigint) AS filled FROM bars"""
         for i, (c, kind, part, value) in enumerate(
             [
                 ("symbol", "string", "false", "symbol"),
@@ -190,7 +193,7 @@ def sink_append_nonempty(spark, sf):
     ),
 )
 def create_table_from_schema(spark, sf):
-    name = price_table(spark, fx.stored_prices(spark, sf))
+    name = price_table(spark, fx.bars(spark, sf))
     listed = spark.catalog.listColumns(name)
     columns = spark.createDataFrame(
         [(i, c.name, c.dataType, c.isPartition) for i, c in enumerate(listed)],
@@ -240,15 +243,14 @@ def list_tables(spark, sf):
 
 @query(
     "register_existing",
-    _counts_sql("supplier") + " UNION ALL SELECT 'stored', CAST(count(*) AS bigint) FROM stored_prices",
+    _counts_sql("supplier") + " UNION ALL SELECT 'stored', CAST(count(*) AS bigint) FROM bars",
 )
 def register_existing(spark, sf):
     root, namespace = fresh_path(spark, "existing"), new_namespace(spark)
     fx.table(spark, sf, "supplier").write.parquet(f"{root}/supplier")
-    stored = fx.stored_prices(spark, sf).withColumn(t.YEAR, F.year("trade_date"))
-    stored.repartitionByRange(t.YEAR, "symbol").write.partitionBy(t.YEAR).parquet(f"{root}/stored")
-    folders = {name: f"{root}/{name}" for name in ("supplier", "stored")}
-    t.register_existing(spark, namespace, folders)
+    stored = fx.bars(spark, sf).withColumn(t.YEAR, F.year("trade_date"))
+    stored.repartitionByRange(t.YEAR, "symbol", "trade_date").write.partitionBy(t.YEAR).parquet(f"{root}/stored")
+    t.register_existing(spark, namespace, t.table_folders(spark, root))
     return _listed_counts(spark, namespace)
 
 
@@ -288,8 +290,10 @@ def load_ledger(spark, sf):
 @query(
     "load_ledger_current",
     """SELECT 'stock_prices' AS table_name, CAST(3 AS bigint) AS current_snapshot_id,
-              TIMESTAMP '2001-01-03 18:00:00' AS committed_at, CAST(2 AS bigint) AS snapshots
-       UNION ALL SELECT 'metadata', 2, TIMESTAMP '2001-01-02 18:00:00', 1""",
+              TIMESTAMP '2001-01-03 18:00:00' AS committed_at, CAST(2 AS bigint) AS snapshots,
+              CAST((SELECT count(*) FROM bars) AS bigint) AS added_rows
+       UNION ALL SELECT 'metadata', 2, TIMESTAMP '2001-01-02 18:00:00', 1,
+              CAST((SELECT count(*) FROM metadata) AS bigint)""",
 )
 def load_ledger_current(spark, sf):
     return ledger.current_snapshot(spark.table(_recorded_loads(spark, sf)))
