@@ -38,6 +38,7 @@ N, PERCENT = 4, 85
 MAX_FREQUENT = 1 << 18
 MAX_FILTER_BITS = 1 << 28
 _BUCKETS = 64
+_MARKS = 8  # words of 64 bits in the bitmap of a prefix
 _CHUNK = 1 << 22  # grams counted together by a task
 _KEPT_WORDS = 400_000  # word hashes kept by a task
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -128,15 +129,25 @@ def _ceil_share(part: int, whole: int) -> int:
 
 
 def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """(doc_id, size, node, gid, prefix) of every row; gid stands for prefix and size."""
+    """(doc_id, size, node, gid, prefix, marks, hidden) of every row; gid stands for prefix and size.
+
+    marks is a bitmap of the prefix's grams by their last bits, hidden the
+    number of grams that fell on a bit already set. Two prefixes share at most
+    their common bits and the lesser hidden count.
+    """
     by_hash = np.argsort(frequent)
     handle = shared(docs.sparkSession, (frequent[by_hash], by_hash))
 
+    schema = with_fields(
+        docs.select("doc_id").schema, size="int", node="binary", gid="long", prefix="array<long>",
+        marks="array<long>", hidden="int",
+    )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rank = received(handle)
         known = _WordHashes()
         for batch in sliced(batches):
-            size, node, gid, prefix = [], [], [], []
+            size, node, gid, prefix, marks, hidden = [], [], [], [], [], []
             for grams in gram_sets(texts(batch), known):
                 n = len(grams)
                 length = n - _ceil_share(percent, n) + 1 if n else 0
@@ -152,13 +163,16 @@ def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                 node.append(_node(grams))
                 gid.append(xxhash.xxh3_64_intdigest(head.tobytes(), seed=n) - (1 << 63) if n else None)
                 prefix.append(head.view(np.int64))
+                field = np.zeros(_MARKS * 8, dtype=np.uint8)
+                np.bitwise_or.at(field, (head >> np.uint64(3)).astype(np.int64) % len(field), np.left_shift(1, (head & np.uint64(7)).astype(np.uint8)))
+                marks.append(field.view(np.int64))
+                hidden.append(length - int(np.unpackbits(field).sum()))
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             columns = [ids, pa.array(size, pa.int32()), pa.array(node, pa.binary())]
             columns += [pa.array(gid, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "node", "gid", "prefix"])
+            columns += [pa.array(marks, pa.list_(pa.int64())), pa.array(hidden, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    only_id = docs.select("doc_id").schema
-    schema = with_fields(only_id, size="int", node="binary", gid="long", prefix="array<long>")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -248,22 +262,28 @@ def _shared_enough(k: Column, s: Column, t: Column, percent: int) -> Column:
 def _star_pairs(lists: DataFrame, heads: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Each node with its group's head, each group's head with that of its two best pivots.
 
-    Only pivots that share enough lists count here; what this leaves out is
-    judged with the pairs that cross classes.
+    The pivot of a list is its group with the most company over all its lists:
+    of near copies, the one closest to the rest. A group meets the pivots of its
+    own size band and of the two beside it. Pivots that share too few lists are
+    left out here; they are judged with the pairs that cross classes.
     """
+    entries = lists.where("pos >= 0")
+    company = entries.groupBy("gid").agg(F.sum("groups").alias("company"))
+    by_band = Window.partitionBy("gram").orderBy("band")
+    best = F.max(F.struct("company", "gid", "size"))
     votes = (
-        lists.where("pos >= 0")
-        .select("gid", "size", F.explode(F.array(
-            F.struct(F.col("pivot").alias("p"), F.col("pivot_size").alias("t")),
-            F.struct(F.col("pivot_below").alias("p"), F.col("below_size").alias("t")),
-        )).alias("pivot"))
-        .where("pivot.p <> gid")
-        .groupBy("gid", F.col("pivot.p").alias("p"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("s"), F.max("pivot.t").alias("t"))
-        .where(_shared_enough(F.col("n"), F.col("s"), F.col("t"), percent))
+        entries.join(company, "gid")
+        .select("gid", "size", F.array(*[best.over(by_band.rangeBetween(i, i)) for i in (-1, 0, 1)]).alias("_pivots"))
+        .select("gid", "size", F.explode("_pivots").alias("pivot"))
+        .where("pivot.gid <> gid")
+        .groupBy("gid", F.col("pivot.gid").alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("s"), F.max("pivot.size").alias("t"))
+        # In some of the shared lists another group may be the pivot.
+        .where(_shared_enough(2 * F.col("n"), F.col("s"), F.col("t"), percent))
+        .where(_close_in_size(F.col("s"), F.col("t"), percent))
     )
-    best = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("n"), "p"))
-    pivots = votes.withColumn("_at", best).where("_at <= 2")
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("n"), "p"))
+    pivots = votes.withColumn("_at", rank).where("_at <= 2")
     across = (
         pivots.join(heads.toDF("gid", "a"), "gid").join(heads.toDF("p", "b"), "p").select("a", "b")
     )
@@ -276,7 +296,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def _crossing_pairs(lists: DataFrame, members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _crossing_pairs(
+    rows: DataFrame, lists: DataFrame, members: DataFrame, classes: DataFrame, percent: int
+) -> DataFrame:
     """Pairs of a list whose nodes lie in different classes and pass the filters.
 
     Each such pair has a node outside the list's largest class, so only those
@@ -288,17 +310,23 @@ def _crossing_pairs(lists: DataFrame, members: DataFrame, classes: DataFrame, pe
         lists.join(spans, "gid").groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .where("lo <> hi").select("gram")
     )
-    rows = lists.join(mixed, "gram", "left_semi").join(placed, "gid").select("gram", "node", "root", "size", "pos")
-    rows = written(rows, "mixed")
+    marks = [F.col("marks")[i].alias(f"m{i}") for i in range(_MARKS)]
+    marked = rows.select("gid", "hidden", *marks).where("gid IS NOT NULL").dropDuplicates(["gid"])
+    entries = lists.join(mixed, "gram", "left_semi").join(placed, "gid").join(marked, "gid")
+    columns = ("node", "root", "size", "pos", "hidden", *[f"m{i}" for i in range(_MARKS)])
+    entries = written(entries.select("gram", *columns), "mixed")
     home = (
-        rows.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n"))
+        entries.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("home"))
     )
-    marked = rows.join(home, "gram")
-    x = marked.where("root <> home").select("gram", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "size", "pos")])
-    y = marked.select("gram", "home", *[F.col(c).alias(f"{c}_y") for c in ("node", "root", "size", "pos")])
+    placed = entries.join(home, "gram")
+    x = placed.where("root <> home").select("gram", *[F.col(c).alias(f"{c}_x") for c in columns])
+    y = placed.select("gram", "home", *[F.col(c).alias(f"{c}_y") for c in columns])
+    # The bitmaps bound what both prefixes share, so hopeless pairs never leave the join.
+    common = sum((F.bit_count(F.col(f"m{i}_x").bitwiseAND(F.col(f"m{i}_y"))) for i in range(_MARKS)), F.least("hidden_x", "hidden_y"))
+    likely = _shared_enough(common, F.col("size_x"), F.col("size_y"), percent)
     pairs = x.join(y, "gram").where("root_x <> root_y AND (root_y = home OR node_x > node_y)")
-    pairs = pairs.where(_close_in_size(F.col("size_x"), F.col("size_y"), percent))
+    pairs = pairs.where(_close_in_size(F.col("size_x"), F.col("size_y"), percent) & likely)
     swap = F.col("node_x") < F.col("node_y")
     one, two = (
         F.struct(*[F.when(swap, F.col(f"{c}_{m}")).otherwise(F.col(f"{c}_{n}")).alias(c) for c in ("node", "size", "pos")])
@@ -318,36 +346,60 @@ def _crossing_pairs(lists: DataFrame, members: DataFrame, classes: DataFrame, pe
 
 
 def _lists(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(gram, gid, size, pos, pivots with sizes) of every list with more than one group.
+    """(gram, gid, size, pos, band, groups): the lists of prefix grams, without groups that cannot link.
 
     A group of several nodes is a list of its own, with position -1.
     """
     groups = rows.where("gid IS NOT NULL").select("gid", "size", "prefix").distinct()
     entries = groups.select("gid", "size", F.posexplode("prefix").alias("pos", "gram"))
-    # Sizes of a band and of the one below differ by less than the threshold allows.
+    # Sizes that are close enough lie at most two bands apart.
     band = F.floor(F.log("size") / F.lit(-np.log(percent / 100) / 2)).cast("int")
-    entries = entries.withColumn("band", band)
-    same = Window.partitionBy("gram").orderBy("band")
-    lists = (
+    entries = (
         entries.withColumn("groups", F.count(F.lit(1)).over(Window.partitionBy("gram")))
-        .withColumn("_own", F.min(F.struct("gid", "size")).over(same.rangeBetween(0, 0)))
-        .withColumn("_below", F.min(F.struct("gid", "size")).over(same.rangeBetween(-1, -1)))
         .where("groups > 1")
-        .select(
-            "gram", "gid", "size", "pos",
-            F.col("_own.gid").alias("pivot"), F.col("_own.size").alias("pivot_size"),
-            F.col("_below.gid").alias("pivot_below"), F.col("_below.size").alias("below_size"),
-        )
+        .select("gram", "gid", "size", "pos", band.alias("band"))
     )
+    lists = _able_to_link(written(entries, "entries"), percent)
     several = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gid")
-    own = groups.select("gid", "size").join(several, "gid").select(
-        F.col("gid").alias("gram"), "gid", "size", F.lit(-1).alias("pos"),
-        *[F.lit(None).cast(kind).alias(c) for c, kind in (
-            ("pivot", "long"), ("pivot_size", "int"), ("pivot_below", "long"), ("below_size", "int"))],
+    own = groups.select("gid", "size").distinct().join(several, "gid").select(
+        F.col("gid").alias("gram"), "gid", "size", F.lit(-1).alias("pos"), F.lit(0).alias("band"),
+        F.lit(0).cast("long").alias("groups"),
     )
     return written(lists.union(own), "lists")
 
 
+def _able_to_link(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries of groups that share enough of their prefix with others of a size close to theirs.
+
+    How much two groups must share within their prefixes depends on both sizes
+    and is least at the ends of the range of sizes. A group with fewer shared
+    grams than at either end of the sizes it meets has no links. Sizes are
+    gathered by band, so a list of any length is a few rows.
+    """
+    near = Window.partitionBy("gram").orderBy("band").rangeBetween(-2, 2)
+    met = (
+        entries.groupBy("gram", "band")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("lo"), F.max("size").alias("hi"))
+        .select("gram", "band", F.sum("n").over(near).alias("groups"), F.min("lo").over(near).alias("lo"), F.max("hi").over(near).alias("hi"))
+        .where("groups > 1")
+    )
+    entries = entries.join(met, ["gram", "band"])
+    least, most = F.ceil(F.col("size") * percent / 100), F.floor(F.col("size") * 100 / percent)
+    able = (
+        entries.groupBy("gid")
+        .agg(
+            F.count(F.lit(1)).alias("k"), F.first("size").alias("s"),
+            F.min(F.greatest("lo", least)).alias("lo"), F.max(F.least("hi", most)).alias("hi"),
+        )
+        .where(
+            _shared_enough(F.col("k"), F.col("s"), F.col("lo"), percent)
+            | _shared_enough(F.col("k"), F.col("s"), F.col("hi"), percent)
+        )
+    )
+    columns = ("gram", "gid", "size", "pos", "band", "groups")
+    return entries.join(able.select("gid"), "gid", "left_semi").select(*columns)
+
+
 def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQUENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, node.
 
@@ -369,7 +421,7 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     stars = written(_star_pairs(lists, heads, members, percent), "stars")
     links = verified(docs, nodes, stars, percent)
     classes = written(components(links), "classes")
-    crossing = _crossing_pairs(lists, members, classes, percent)
+    crossing = _crossing_pairs(rows, lists, members, classes, percent)
     crossing = written(crossing.join(stars, ["a", "b"], "left_anti"), "crossing")
     links = links.union(verified(docs, nodes, crossing, percent))
     classes = written(components(links), "classes")
