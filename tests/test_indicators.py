@@ -135,12 +135,12 @@ def test_context_rows_come_from_all_earlier_decades(spark):
     assert sorted(last.close) == [float(v) for v in range(8 - own - 2, 9)]
 
 
-def test_rows_with_missing_values_are_left_out(spark):
+def test_rows_with_missing_values_enter_no_average_but_stay(spark):
     bars = make_bars(spark, {"S": daily(date(2000, 1, 1), range(1, 31))})
     day = F.dayofmonth("trade_date")
     price = F.when(day == 6, F.lit(float("nan"))).when(day != 5, F.col("close"))
     got = ind.sma(bars.withColumn("close", price), 20).toPandas()
-    assert len(got) == 28
+    assert len(got) == 30
     assert got.sma_20.notna().sum() == 9
 
 
@@ -173,3 +173,16 @@ def test_bars_are_shuffled_once(spark):
     assert len(moved) == 3
     assert sum("ReusedExchange" not in line for line in moved) == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bars_with_missing_prices_are_kept(spark):
+    days = [date(2000, 1, 1) + timedelta(days=i) for i in range(40)]
+    bars = [("A", d, 1.0, 2.0, 1.0, float(i % 7 + 1) if i != 30 else None, 5 if i != 25 else None) for i, d in enumerate(days)]
+    bars.append((None, days[0], 1.0, 1.0, 1.0, 1.0, 1))
+    df = spark.createDataFrame(bars, "symbol string, trade_date date, open double, high double, low double, close double, volume bigint")
+    table = {r.Date: r for r in ind.indicator_table(df).collect()}
+    ema = {r.trade_date: r.ema_20 for r in ind.exponential_average(df).collect()}
+    assert len(table) == 40 and table[days[30]].EMA_20 is None and table[days[25]].Volume is None
+    assert {d: r.EMA_20 for d, r in table.items()} == pytest.approx(ema)
+    series = ind.numbered_series(df).collect()
+    assert [r.bar_number for r in sorted(series, key=lambda r: r.trade_date)] == list(range(1, 41))

@@ -7,6 +7,7 @@ import pytest
 from tickloom.operators.enrich import enrich_sector
 from tickloom.plans import ingest as job
 from tickloom.plans.backfill import backfill_to_fixpoint
+from tickloom.plans.flat import FlatStore, flat_load
 from tickloom.plans.star import STAR_TABLES, Star, load_star
 from tickloom.schemas import schema_for
 from tickloom.sources import tables as t
@@ -34,7 +35,7 @@ def directory(spark):
 @pytest.fixture
 def store(spark):
     store = job.Store(spark, new_namespace(spark)).create()
-    t.append(t.by_year(spark.createDataFrame([landed("A", date(2000, 12, 29))], schema_for("stock_prices"))), store.prices)
+    t.append(t.by_month(spark.createDataFrame([landed("A", date(2000, 12, 29))], schema_for("stock_prices"))), store.prices)
     known = [("A", date(2000, 12, 29), "Tech"), ("C", None, None)]
     t.append(spark.createDataFrame(known, META), store.metadata)
     return store
@@ -90,19 +91,20 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, directory, store):
     run = (store, directory, path, rows.schema, checkpoint, RUN, AT, 1)
     ingest_stream(*run)
     assert stored(store) == WANT
-    ingest_stream(*run)
-    assert stored(store) == WANT
+    book = spark.table(store.ledger).count()
+    assert ingest_stream(*run) == 0
+    assert stored(store) == WANT and spark.table(store.ledger).count() == book
     dates = {r.symbol: r.last_update for r in spark.table(store.metadata).collect()}
     assert dates == {"A": RUN, "B": RUN, "C": None}
 
 
-def test_upsert_touches_only_the_years_of_the_changes(spark, store):
+def test_upsert_counts_rows(spark, store):
     changes = spark.createDataFrame(
         [landed("A", date(2000, 12, 29), 5.0), landed("A", date(2000, 12, 29), 5.0), landed("Z", RUN)],
         schema_for("stock_prices"))
-    assert job.upsert_prices(store, changes, AT) == 2
+    assert job.upsert_prices(store, changes, AT) == (2, 0)
     assert stored(store) == [("A", date(2000, 12, 29), 5.0), ("Z", RUN, 1.0)]
-    assert job.upsert_prices(store, changes.where("false"), AT) == 0
+    assert job.upsert_prices(store, changes.where("false"), AT) == (0, 0)
 
 
 def test_backfill_stops_when_a_round_finds_nothing(spark):
@@ -127,3 +129,101 @@ def test_star_load_is_repeatable(spark, directory):
         assert sizes == {"trading_days": 2, "symbols": 4, "stock_prices": 2, "etf_prices": 2, "metadata": 4}
     ids = [r.symbol_id for r in star.table("symbols").orderBy("symbol").collect()]
     assert ids == [1, 2, 3, 4]
+
+
+BARS = "symbol string, trade_date date, open double, high double, low double, close double, volume bigint"
+
+
+def test_upsert_takes_the_last_arrival_and_rewrites_one_month(spark, store):
+    more = [landed("A", date(2000, 11, d)) for d in (1, 2)] + [landed("B", date(2000, 12, 1))]
+    t.append(t.by_month(spark.createDataFrame(more, schema_for("stock_prices"))), store.prices)
+    before = {f for f in spark.table(store.prices).inputFiles()}
+    rows = [(*landed("A", date(2000, 11, 1), 9.0), 1), (*landed("A", date(2000, 11, 1), 5.0), 2)]
+    rows += [(*landed(None, RUN), 1), (*landed("A", None), 1)]
+    changes = spark.createDataFrame(rows, BARS + ", arrival int")
+    assert job.upsert_prices(store, changes, AT) == (2, 2)
+    assert ("A", date(2000, 11, 1), 5.0) in stored(store) and len(stored(store)) == 4
+    after = {f for f in spark.table(store.prices).inputFiles()}
+    assert before - after and all("trade_month=200011" in f for f in before ^ after)
+
+
+STEPS = ["append", "record", "end", "replace_table"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("late", [False, True])
+def test_interrupted_anywhere_and_repeated_the_ledger_is_full(spark, directory, store, monkeypatch, step, late):
+    """Each step fails once, just before or just after its work."""
+    owner = job.t if step in ("append", "replace_table") else job.ledger
+    work, calls = getattr(owner, step), []
+
+    def failing(*args, **more):
+        if calls:
+            return work(*args, **more)
+        calls.append(1)
+        if late:
+            work(*args, **more)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(owner, step, failing)
+    with pytest.raises(RuntimeError):
+        job.ingest(store, directory, landing(spark), RUN, AT)
+    job.ingest(store, directory, landing(spark), RUN, AT)
+    assert stored(store) == WANT
+    book = sorted((r.operation, r.table_name, r.added_rows) for r in spark.table(store.ledger).collect())
+    assert book == [("append", "stock_prices", 2), ("replace", "metadata", 3)]
+    assert job.ledger.open_intents(spark, store.ledger) == []
+
+
+def test_padded_symbols_are_one_symbol(spark, directory, store):
+    rows = spark.createDataFrame([landed(" a ", RUN, 2.0), landed("B", RUN)], LANDING)
+    job.ingest(store, directory, rows, RUN, AT)
+    assert {s for s, _, _ in stored(store)} == {"A", "B"}
+    assert {r.symbol for r in spark.table(store.metadata).collect()} == {"A", "B", "C"}
+
+
+def test_stream_keeps_files_for_later_listings(spark, directory, store):
+    path, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "stream")
+    rows = landing(spark)
+    rows.write.parquet(path)
+    run = (path, rows.schema, checkpoint, RUN, AT)
+    ingest_stream(store, directory.where("symbol = 'A'"), *run)
+    assert {s for s, _, _ in stored(store)} == {"A"}
+    ingest_stream(store, directory, *run)
+    assert stored(store) == WANT
+
+
+def test_jobs_leave_no_intermediate_rows(spark, directory, store):
+    from tickloom.storage import shared_root
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names():
+        labels = ("batch-", "new-bars-", "merged-", "changes-", "missing-bars-")
+        return {n for n in (f.getPath().getName() for f in files.listStatus(folder)) if n.startswith(labels)}
+
+    before = names()
+    job.ingest(store, directory, landing(spark), RUN, AT)
+    job.upsert_prices(store, spark.createDataFrame([landed("A", RUN, 7.0)], schema_for("stock_prices")), AT)
+    assert names() - before == set()
+
+
+def test_flat_load_moves_last_updates_once(spark):
+    store = FlatStore(spark, new_namespace(spark)).create()
+    t.append(spark.createDataFrame([("A", date(2000, 12, 29))], schema_for("last_update")), store.last_update)
+    batches = [spark.createDataFrame([(s,)], "symbol string") for s in "AB"]
+    assert flat_load(store, batches, landing(spark), RUN) == {"bars": 2, "known": 1, "new": 1}
+    assert stored(store) == [("A", RUN, 2.0), ("B", date(1999, 1, 4), 1.0)]
+    assert {tuple(r) for r in spark.table(store.last_update).collect()} == {("A", RUN), ("B", RUN)}
+    assert flat_load(store, batches, landing(spark), RUN)["bars"] == 0
+
+
+def test_backfill_needs_as_many_rounds_as_there_are(spark):
+    meta = spark.createDataFrame([(f"S{i}", None, None) for i in range(4)], META)
+
+    def one(symbols):
+        first = sorted(r.symbol for r in symbols.collect())[:1]
+        return spark.createDataFrame([(s, "x") for s in first] + [("OTHER", "y")], "symbol string, sector string")
+
+    assert {r.sector for r in backfill_to_fixpoint(meta, one).collect()} == {"x"}

@@ -101,14 +101,14 @@ def test_price_table_round_trip(spark):
     t.create_price_table(spark, name, PRICES)
     t.create_price_table(spark, name, PRICES)  # only if absent
     old, new = bar("A", date(1999, 5, 5)), bar("B", date(2000, 5, 5))
-    assert t.append(t.by_year(frame(spark, old, new)), name) == 2
-    assert t.append_nonempty(t.by_year(frame(spark)), name) == 0
-    assert t.years_in(t.prices(spark, name)) == [1999, 2000]
-    plan = t.prices_in_years(spark, name, [2000])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(trade_year" in plan
-    changed = bar("C", date(2000, 6, 6), 2.0)
-    assert t.overwrite_partitions(t.by_year(frame(spark, changed)), name) == 1
-    assert keys(t.prices(spark, name)) == [("A", date(1999, 5, 5), 1.0), ("C", date(2000, 6, 6), 2.0)]
+    assert t.append(t.by_month(frame(spark, old, new)), name) == 2
+    assert t.append_nonempty(t.by_month(frame(spark)), name) == 0
+    assert t.months_in(t.prices(spark, name)) == [199905, 200005]
+    plan = t.prices_in_months(spark, name, [200005])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_month" in plan
+    changed = bar("C", date(2000, 5, 6), 2.0)
+    assert t.overwrite_partitions(t.by_month(frame(spark, changed)), name) == 1
+    assert keys(t.prices(spark, name)) == [("A", date(1999, 5, 5), 1.0), ("C", date(2000, 5, 6), 2.0)]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
@@ -151,3 +151,51 @@ def test_ledger_order_is_by_commit_time(spark):
         ledger.record(spark, book, "append", "p", hour, datetime(2001, 1, 2, hour))
     current = ledger.current_snapshot(spark.table(book)).first()
     assert (current.current_snapshot_id, current.snapshots) == (1, 2)
+
+
+HEADER = "Nasdaq Traded|Symbol|Security Name|Listing Exchange|Market Category|ETF|Round Lot Size|Test Issue|Financial Status|CQS Symbol|NASDAQ Symbol|NextShares"
+
+
+def test_files_are_read_by_header_name(spark):
+    path = fresh_path(spark, "listing")
+    lines = [(HEADER,), ("Y|AAA|Aaa Inc.|Q|G|N|100|N|N||AAPL|N",), ("Y|B|Bee|Q|S|Y|x|Y|N||B|N",)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(path)
+    got = sorted(tuple(r) for r in files.directory_listing(spark, path).collect())
+    assert got == [("AAPL", "Aaa Inc.", "G", "N", "N", 100), ("B", "Bee", "S", "Y", "Y", None)]
+    short = fresh_path(spark, "short")
+    spark.createDataFrame([("symbol,sector",), ("A,x",)], "value string").coalesce(1).write.text(short)
+    with pytest.raises(ValueError):
+        files.metadata_csv(spark, short)
+
+
+def test_symbols_in_paths_are_decoded(spark):
+    root = fresh_path(spark, "tree")
+    one = spark.createDataFrame([("2001-01-02", 2.0, 3.0, 1.0, 1.5, 7)], "Date string, Close double, High double, Low double, Open double, Volume long")
+    for name in ("BRK B", "A^A", "C+%20"):
+        part = one.withColumn("symbol", F.lit(name))
+        part.write.mode("append").partitionBy("symbol").csv(f"{root}/stocks", header=True)
+    got = sorted((r.kind, r.symbol, r.open, r.close) for r in files.price_csv_tree(spark, root).collect())
+    assert got == [("stocks", s, 1.5, 2.0) for s in ("A^A", "BRK B", "C+%20")]
+    one.write.csv(f"{root}/other", header=True)
+    with pytest.raises(Exception, match="neither stocks nor etfs"):
+        files.price_csv_tree(spark, root).collect()
+
+
+def test_old_versions_are_deleted_and_lie_beside_the_table(spark):
+    name = f"{new_namespace(spark)}.m"
+    t.create_table(spark, name, schema_for("metadata"))
+    first = t.location_of(spark, name)
+    folder = first.rsplit("/", 1)[0]
+    for sector in "xy":
+        t.replace_table(spark.createDataFrame([("A", None, sector)], schema_for("metadata")), name)
+    last = t.location_of(spark, name)
+    assert last.rsplit("/", 1)[0] == folder and set(t.table_folders(spark, folder)) == {last.rsplit("/", 1)[1]}
+
+
+def test_table_folders_skip_what_is_no_table(spark):
+    root = fresh_path(spark, "root")
+    spark.range(3).write.parquet(f"{root}/a")
+    spark.range(3).selectExpr("id", "id AS k").write.partitionBy("k").parquet(f"{root}/b")
+    spark.range(3).write.csv(f"{root}/c")
+    spark.range(3).write.parquet(f"{root}/_work")
+    assert set(t.table_folders(spark, root)) == {"a", "b"}

@@ -49,12 +49,12 @@ def new_symbols(listing: DataFrame, symbols: DataFrame) -> DataFrame:
 def fact_keys(bars: DataFrame, symbols: DataFrame, trading_days: DataFrame) -> DataFrame:
     """Bars with both surrogate keys in place of symbol and date; NULL if unknown.
 
-    A calendar has at most 366 rows a year, so the days are broadcast. Symbols
-    may be many: Spark chooses the join from their size and splits hot ones.
+    No side is broadcast by hint: Spark chooses the joins from the sizes and
+    splits hot symbols.
     """
     days = trading_days.select("date_id", "trade_date")
     return (
-        bars.join(F.broadcast(days), "trade_date", "left")
+        bars.join(days, "trade_date", "left")
         .join(symbols.select("symbol_id", "symbol", "is_etf"), "symbol", "left")
         .select(*STAR_KEY, "is_etf", *OHLCV)
     )
@@ -78,11 +78,16 @@ def dedupe(rows: DataFrame, key: Sequence[str], *preferred: str) -> DataFrame:
     return best.select(*key, *[F.col(f"_best.{c}").alias(c) for c in others]).select(*rows.columns)
 
 
-def dedupe_bars(bars: DataFrame) -> DataFrame:
-    """One bar per (symbol, trade_date); of differing copies the fullest, then greatest."""
+def dedupe_bars(bars: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """One bar per (symbol, trade_date).
+
+    Of differing copies the one that arrived last, where the rows have a column
+    ``arrival``; without one, or among equal arrivals, the fullest, then greatest.
+    """
     present = sum((F.col(c).isNotNull().cast("int") for c in OHLCV), F.lit(0))
-    ranked = dedupe(bars.withColumn("_present", present), PRICE_KEY, "_present", "close")
-    return ranked.select(*PRICE_COLUMNS)
+    order = ([arrival] if arrival in bars.columns else []) + ["_present", "close"]
+    rows = bars.select(*PRICE_COLUMNS, *order[:-2]).withColumn("_present", present)
+    return dedupe(rows, PRICE_KEY, *order).select(*PRICE_COLUMNS)
 
 
 def upsert(stored: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -102,9 +107,10 @@ def keep_existing(existing: DataFrame, new: DataFrame, key: Sequence[str] = PRIC
 
 
 def replace_metadata(listing: DataFrame, arrival: str) -> DataFrame:
-    """One row per symbol: the one that arrived last."""
+    """One row per symbol: the one that arrived last, of equal arrivals the greatest."""
     others = [c for c in listing.columns if c not in ("symbol", arrival)]
-    last = listing.groupBy("symbol").agg(F.max_by(F.struct(*others), arrival).alias("_last"))
+    order = [arrival] if arrival in listing.columns else []
+    last = listing.groupBy("symbol").agg(F.max(F.struct(*order, *others)).alias("_last"))
     return last.select("symbol", *[F.col(f"_last.{c}").alias(c) for c in others])
 
 

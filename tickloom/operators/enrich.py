@@ -47,28 +47,29 @@ def batched_map(
 
     ``fetch`` gets a frame with a symbol column and returns rows of ``result``,
     whose first column is the symbol. A batch that still raises after
-    ``attempts`` calls gives one row per symbol with NULL results. ``status``
-    and ``attempts`` say how each batch went, so no failure is silent. ``fetch``
+    ``attempts`` calls gives one row per symbol with NULL results. ``status``,
+    ``attempts`` and ``error`` (the last one's type and text, NULL if there was
+    none) say how each batch went, so no failure is silent. ``fetch``
     may be called again if an executor is lost.
     """
     names = [f.name for f in result]
     schema = StructType(
-        result.fields + StructType.fromDDL("batch_id int, status string, attempts int").fields
+        result.fields + StructType.fromDDL("batch_id int, status string, attempts int, error string").fields
     )
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         asked = batch[["symbol"]].sort_values("symbol").reset_index(drop=True)
-        status, made, out = "failed", 0, None
+        status, made, out, error = "failed", 0, None, None
         while out is None and made < attempts:
             made += 1
             try:
                 out = fetch(asked.copy())[names]
                 status = "ok"
-            except Exception:
-                continue
+            except Exception as e:
+                error = f"{type(e).__name__}: {e}"
         if out is None:
             out = asked.rename(columns={"symbol": names[0]}).reindex(columns=names)
-        return out.assign(batch_id=batch["batch_id"].iloc[0], status=status, attempts=made)
+        return out.assign(batch_id=batch["batch_id"].iloc[0], status=status, attempts=made, error=error)
 
     return batch_assignment(symbols, size).groupBy("batch_id").applyInPandas(run, schema)
 

@@ -16,9 +16,10 @@ from tickloom.schemas import OHLCV, PRICE_COLUMNS, PRICE_KEY
 
 
 def normalize_prices(raw: DataFrame, day: str = "Date") -> DataFrame:
-    """Provider rows as price bars: upper-case symbol, declared names and order."""
+    """Provider rows as price bars: clean symbol, declared names and order, then ``arrival`` if there."""
     return raw.select(
-        F.upper("symbol").alias("symbol"), F.col(day).alias("trade_date"), *[F.col(c).alias(c) for c in OHLCV]
+        clean_symbol("symbol").alias("symbol"), F.col(day).alias("trade_date"), *[F.col(c).alias(c) for c in OHLCV],
+        *[c for c in ("arrival",) if c in raw.columns],
     )
 
 
@@ -175,7 +176,7 @@ def missing_remaining(metadata: DataFrame) -> DataFrame:
 
 def batch_metadata(raw: DataFrame, metadata: DataFrame, run_date: date) -> DataFrame:
     """Metadata of the symbols in a batch: the run date and the sector known so far."""
-    seen = raw.select(F.upper("symbol").alias("symbol")).distinct()
+    seen = distinct_symbols(raw)
     return (
         seen.join(metadata.select("symbol", "sector"), "symbol", "left")
         .withColumn("last_update", F.lit(run_date))

@@ -18,9 +18,9 @@ from tickloom.operators.dimensions import (
     upsert,
 )
 from tickloom.operators.relational import directory_projection, listing_universe
-from tickloom.plans.ingest import staged
 from tickloom.schemas import PRICE_KEY, schema_for
 from tickloom.sources import tables as t
+from tickloom.storage import Scratch
 
 STAR_TABLES = ["trading_days", "symbols", "stock_prices", "etf_prices", "metadata"]
 
@@ -41,8 +41,8 @@ class Star:
         for table in ("trading_days", "symbols"):
             t.create_table(self.spark, self.name(table), schema_for(table))
         for table in ("stock_prices", "etf_prices"):
-            fact = t.with_year(schema_for(f"{table}_star"))
-            t.create_table(self.spark, self.name(table), fact, partitioned_by=[t.YEAR])
+            fact = t.with_month(schema_for(f"{table}_star"))
+            t.create_table(self.spark, self.name(table), fact, partitioned_by=[t.MONTH])
         t.create_table(self.spark, self.name("metadata"), schema_for("symbol_listing"))
         return self
 
@@ -50,30 +50,36 @@ class Star:
 def load_star(star: Star, directory: DataFrame, bars: DataFrame) -> None:
     """Add what is new to the dimensions, then insert or replace the facts.
 
-    ``directory`` may carry an ``arrival`` column; the last row of a symbol wins.
+    ``directory`` and ``bars`` may carry an ``arrival`` column; the last row of a
+    key wins. A symbol listed more than once is one row of the metadata. Bars
+    without a symbol or a date belong to no key and are left out; the
+    completeness checks report them. Intermediate rows are deleted at the end.
     """
+    with Scratch(star.spark) as scratch:
+        _load(star, directory, bars, scratch)
+
+
+def _load(star: Star, directory: DataFrame, bars: DataFrame, scratch: Scratch) -> None:
     listing = listing_universe(directory)
     listed = bars.dropna(subset=PRICE_KEY).join(listing.select("symbol"), "symbol", "left_semi")
-    batch = staged(dedupe_bars(listed), "star-bars")
+    batch = scratch.stage(dedupe_bars(listed), "star-bars")
     t.append(new_trading_days(batch, star.table("trading_days")), star.name("trading_days"))
     t.append(new_symbols(listing.select("symbol", "is_etf"), star.table("symbols")), star.name("symbols"))
     days = star.table("trading_days")
-    keyed = staged(fact_keys(batch, star.table("symbols"), days), "star-facts")
+    keyed = scratch.stage(fact_keys(batch, star.table("symbols"), days), "star-facts")
     for table, etf in (("stock_prices", False), ("etf_prices", True)):
         _upsert_facts(star, table, fact_rows(keyed, etf), days)
-    known = directory_projection(directory)
-    if "arrival" in directory.columns:
-        known = replace_metadata(directory_projection(directory, "arrival"), "arrival")
+    arrival = ["arrival"] if "arrival" in directory.columns else []
+    known = replace_metadata(directory_projection(directory, *arrival), "arrival")
     t.replace_table(known, star.name("metadata"))
 
 
 def _upsert_facts(star: Star, table: str, rows: DataFrame, days: DataFrame) -> None:
-    """Rewrite the years the new facts fall into; all other years stay untouched."""
-    year_of = F.broadcast(days.select("date_id", F.year("trade_date").alias(t.YEAR)))
-    changes = rows.join(year_of, "date_id")
-    years = sorted(r[t.YEAR] for r in changes.select(t.YEAR).distinct().collect())
-    if not years:
+    """Rewrite the months the new facts fall into, once; all others stay untouched."""
+    changes = rows.join(days.select("date_id", t.month_of().alias(t.MONTH)), "date_id")
+    months = sorted(r[t.MONTH] for r in changes.select(t.MONTH).distinct().collect())
+    if not months:
         return
-    current = star.table(table).where(F.col(t.YEAR).isin(years))
-    merged = staged(upsert(current, changes, STAR_KEY), table)
-    t.overwrite_partitions(merged.repartitionByRange(t.YEAR, *STAR_KEY), star.name(table))
+    current = star.table(table).where(F.col(t.MONTH).isin(months))
+    merged = upsert(current, changes, STAR_KEY)
+    t.overwrite_partitions(merged.repartitionByRange(t.MONTH, *STAR_KEY), star.name(table))

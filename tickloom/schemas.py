@@ -36,16 +36,6 @@ _SCHEMAS = {
         [StructField("symbol", StringType(), False), StructField("trade_date", DateType(), False)]
         + _ohlcv()
     ),
-    # Provider rows before normalisation, in the provider's own column order.
-    "stock_prices_processing": StructType(
-        [StructField("Date", DateType())]
-        + [StructField(c, DoubleType()) for c in ("Close", "High", "Low", "Open")]
-        + [
-            StructField("Volume", LongType()),
-            StructField("symbol", StringType()),
-            StructField("is_etf", BooleanType()),
-        ]
-    ),
     "last_update": StructType(
         [StructField("symbol", StringType(), False), StructField("last_update", DateType(), False)]
     ),
@@ -87,6 +77,16 @@ _SCHEMAS = {
             StructField("round_lot_size", IntegerType()),
         ]
     ),
+    "load_intents": StructType(
+        [
+            StructField("intent_id", StringType(), False),
+            StructField("state", StringType(), False),
+            StructField("operation", StringType()),
+            StructField("table_name", StringType()),
+            StructField("path", StringType()),
+            StructField("committed_at", TimestampType()),
+        ]
+    ),
     "load_ledger": StructType(
         [
             StructField("snapshot_id", LongType(), False),

@@ -1,24 +1,28 @@
 """Catalog tables: create, read, write, replace, list.
 
-Tables are parquet. Price tables are partitioned by ``trade_year``, derived
-from ``trade_date``, and ordered by symbol inside the files, so a date range
-prunes folders and a symbol prunes row groups.
+Tables are parquet. Price tables are partitioned by ``trade_month`` (year and
+month as one number), derived from ``trade_date``, and ordered by symbol inside
+the files, so a date range prunes folders and a symbol prunes row groups. A
+changed bar rewrites its month.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom.schemas import PRICE_COLUMNS
 from tickloom.sources.files import empty
-from tickloom.storage import fresh_path
+from tickloom.storage import remove_folder
 
-YEAR = "trade_year"
+MONTH = "trade_month"
+VERSION = "-version-"
 
 
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
@@ -53,16 +57,16 @@ def create_table(
     spark.sql(" ".join(parts))
 
 
-def with_year(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField(YEAR, IntegerType())])
+def with_month(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(MONTH, IntegerType())])
 
 
 def create_price_table(spark: SparkSession, name: str, schema: StructType) -> None:
     create_table(
         spark,
         name,
-        with_year(schema),
-        partitioned_by=[YEAR],
+        with_month(schema),
+        partitioned_by=[MONTH],
         comment="Daily price bars",
     )
 
@@ -83,29 +87,38 @@ def table_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFr
 
 def prices(spark: SparkSession, name: str) -> DataFrame:
     """A price table without its partition column."""
-    return spark.table(name).drop(YEAR)
+    return spark.table(name).drop(MONTH)
 
 
-def prices_in_years(spark: SparkSession, name: str, years: Iterable[int]) -> DataFrame:
-    """The bars of some calendar years; only their folders are read."""
-    return spark.table(name).where(F.col(YEAR).isin(sorted(years))).drop(YEAR)
+def prices_in_months(spark: SparkSession, name: str, months: Iterable[int]) -> DataFrame:
+    """The bars of some calendar months; only their folders are read."""
+    return spark.table(name).where(F.col(MONTH).isin(sorted(months))).drop(MONTH)
 
 
-def years_in(df: DataFrame, day: str = "trade_date") -> list[int]:
-    """The calendar years present: at most one value per year of history."""
-    years = df.select(F.year(day).alias("y")).where("y is not null").distinct()
-    return sorted(row.y for row in years.collect())
+def prices_on(spark: SparkSession, name: str, day: date) -> DataFrame:
+    """The bars of one day; only its month's folder is read."""
+    return prices_in_months(spark, name, [day.year * 100 + day.month]).where(F.col("trade_date") == F.lit(day))
 
 
-def by_year(df: DataFrame) -> DataFrame:
+def month_of(day: str = "trade_date") -> Column:
+    return (F.year(day) * 100 + F.month(day)).cast("int")
+
+
+def months_in(df: DataFrame, day: str = "trade_date") -> list[int]:
+    """The calendar months present: at most twelve values per year of history."""
+    months = df.select(month_of(day).alias("m")).where("m is not null").distinct()
+    return sorted(row.m for row in months.collect())
+
+
+def by_month(df: DataFrame) -> DataFrame:
     """Bars laid out for a price table, in its column order.
 
-    Range partitioning spreads a large year over many files and, if one symbol
+    Range partitioning spreads a large month over many files and, if one symbol
     fills it, that symbol too; each file covers a narrow range of symbols.
     """
-    order = [YEAR, "symbol", "trade_date"]
+    order = [MONTH, "symbol", "trade_date"]
     return (
-        df.select(*PRICE_COLUMNS, F.year("trade_date").alias(YEAR))
+        df.select(*PRICE_COLUMNS, month_of().alias(MONTH))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
@@ -128,7 +141,11 @@ def append_nonempty(df: DataFrame, name: str) -> int:
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> int:
-    """Replace the partitions that occur in ``df`` and keep all others."""
+    """Replace the partitions that occur in ``df`` and keep all others.
+
+    ``df`` may be computed from the table: files are written beside the old ones
+    and take their place when all are there.
+    """
     spark = df.sparkSession
     counted, seen = _counted(df)
     # insertInto takes the mode from the session only, not from a write option.
@@ -142,18 +159,32 @@ def overwrite_partitions(df: DataFrame, name: str) -> int:
     return seen.get["rows"]
 
 
-def replace_table(df: DataFrame, name: str) -> int:
+def location_of(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").collect()
+    return rows[-1].data_type.rstrip("/")
+
+
+def next_version(spark: SparkSession, name: str) -> str:
+    """A new folder for a table's rows, beside the one it has now."""
+    parent, _, last = location_of(spark, name).rpartition("/")
+    return f"{parent}/{last.split(VERSION)[0]}{VERSION}{uuid.uuid4().hex}"
+
+
+def replace_table(df: DataFrame, name: str, location: str | None = None) -> int:
     """Replace all rows of a table, also by a result computed from that table.
 
-    The rows go to a new location and the catalog entry is then pointed at it,
-    so readers see the old or the new rows and a failed write changes nothing.
+    The rows go to a new version beside the old one and the catalog entry is
+    then pointed at it, so readers see the old or the new rows and a failed
+    write changes nothing. The old version is deleted after the switch.
     """
     spark = df.sparkSession
-    location = fresh_path(spark, name.replace(".", "-"))
+    before = location_of(spark, name)
+    location = location or next_version(spark, name)
     counted, seen = _counted(df)
-    counted.select(*spark.table(name).columns).write.parquet(location)
+    counted.select(*spark.table(name).columns).write.mode("overwrite").parquet(location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
+    remove_folder(spark, before)
     return seen.get["rows"]
 
 

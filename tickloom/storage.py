@@ -5,21 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session uses a temporary folder and a cluster
-    session a folder in the warehouse, which all executors can reach.
+    Where it is unset, a session in one process uses a temporary folder; any
+    other session must name one that all executors reach.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
-        if spark.sparkContext.master.startswith("local"):
-            named = tempfile.mkdtemp(prefix="tickloom-")
-        else:
-            named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="tickloom-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
@@ -29,6 +29,33 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has written; one that is gone already is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Intermediate rows of one job in the shared folder, deleted when the job ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        """Rows written once, for plans that read them several times."""
+        path = fresh_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove_folder(self.spark, path)
+
+
 def ready_for_checkpoint(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable in this session."""
     if spark.sparkContext.getCheckpointDir() is None:

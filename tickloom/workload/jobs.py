@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +15,8 @@ from tickloom.operators.relational import (
 )
 from tickloom.plans import ingest as job
 from tickloom.plans.backfill import backfill_to_fixpoint
+from tickloom.plans.flat import FlatStore
+from tickloom.plans.flat import flat_load as load_flat
 from tickloom.plans.star import STAR_TABLES, Star, load_star
 from tickloom.sources import tables as t
 from tickloom.storage import fresh_path
@@ -23,14 +25,14 @@ from tickloom.workload import fixtures as fx
 from tickloom.workload.dimensions import relisted
 from tickloom.workload.fixtures import RUN_DATE
 from tickloom.workload.registry import query
-from tickloom.workload.relational import PRICES, clean_incoming
+from tickloom.workload.relational import PRICES, clean_incoming, listing
 from tickloom.workload.tables import COMMITTED_AT, LATER, counts, new_namespace
 
 
 def filled_store(spark, sf) -> job.Store:
     """A price store holding the stored prices and the metadata."""
     store = job.Store(spark, new_namespace(spark)).create()
-    t.append(t.by_year(fx.stored_prices(spark, sf)), store.prices)
+    t.append(t.by_month(fx.stored_prices(spark, sf)), store.prices)
     t.append(fx.metadata(spark, sf), store.metadata)
     return store
 
@@ -45,7 +47,8 @@ def landing_fetch(spark, sf):
     "batched_map",
     """SELECT symbol, CASE WHEN bad THEN NULL ELSE digits END AS digits, batch_id,
               CASE WHEN bad THEN 'failed' ELSE 'ok' END AS status,
-              CAST(CASE WHEN bad THEN 3 ELSE 1 END AS int) AS attempts
+              CAST(CASE WHEN bad THEN 3 ELSE 1 END AS int) AS attempts,
+              CASE WHEN bad THEN 'ConnectionError: provider refused the batch' END AS error
        FROM (SELECT symbol, digits, batch_id, bool_or(symbol = 'SUP77') OVER (PARTITION BY batch_id) AS bad
              FROM (SELECT symbol, CAST(length(symbol) - 3 AS bigint) AS digits,
                           CAST(floor((row_number() OVER (ORDER BY symbol) - 1) / 50) AS int) AS batch_id
@@ -112,13 +115,21 @@ def ingest_rerun_is_noop(spark, sf):
 
 @query("ingest_stream", INGESTED_SQL)
 def ingest_stream(spark, sf):
+    """Two runs: all files are consumed by the first, half of the symbols are listed for the second.
+
+    Emptier copies of the last month arrive in files of their own, so the choice
+    among differing copies is made across files.
+    """
     store = filled_store(spark, sf)
     landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "stream")
     raw = fx.incoming(spark, sf)
-    raw.repartition("symbol", "dt").write.parquet(landing)
-    stream(
-        store, fx.directory(spark, sf), landing, raw.schema, checkpoint, RUN_DATE, COMMITTED_AT, files_per_batch=3
-    )
+    poorer = raw.where("dt >= DATE'2000-12-01' AND close IS NOT NULL").withColumn("volume", F.lit(None).cast("bigint"))
+    poorer.write.parquet(landing)
+    raw.repartition("symbol", "dt").write.mode("append").parquet(landing)
+    directory = fx.directory(spark, sf)
+    first = directory.where(F.substring("symbol", 4, 20).cast("int") % 2 == 0)
+    for listed in (first, directory):
+        stream(store, listed, landing, raw.schema, checkpoint, RUN_DATE, COMMITTED_AT, files_per_batch=3)
     return t.prices(spark, store.prices)
 
 
@@ -131,8 +142,10 @@ def ingest_stream(spark, sf):
 )
 def upsert_prices(spark, sf):
     store = filled_store(spark, sf)
-    changes = clean_incoming(spark, sf).withColumn("close", F.col("close") + 1)
-    job.upsert_prices(store, changes, COMMITTED_AT)
+    # Greater copies arrive first and are corrected by the last ones.
+    last = clean_incoming(spark, sf).withColumn("close", F.col("close") + 1)
+    early = last.withColumns({"close": F.col("close") + 100, "arrival": F.lit(1)})
+    job.upsert_prices(store, union_all(early, last.withColumn("arrival", F.lit(2))), COMMITTED_AT)
     return t.prices(spark, store.prices)
 
 
@@ -167,7 +180,38 @@ def star_load(spark, sf):
     star = Star(spark, new_namespace(spark)).create()
     directory, bars = fx.directory(spark, sf), fx.bars(spark, sf)
     cut = datetime(2000, 7, 1).date()
-    # Two overlapping loads: the second repeats half a year and adds the rest.
+    # Overlapping loads: the second repeats a year and every listing, the last half a year, and adds the rest.
     load_star(star, directory, bars.where(F.col("trade_date") < F.lit(cut)))
+    repeated = union_all(directory, directory.withColumn("round_lot_size", F.lit(1)))
+    load_star(star, repeated, bars.where(F.col("trade_date") < F.lit(date(1996, 1, 1))))
     load_star(star, relisted(spark, sf), bars.where(F.col("trade_date") >= F.lit(fx.STORED_BEFORE)))
     return union_all(*counts(spark, [star.name(table) for table in STAR_TABLES]))
+
+
+@query(
+    "flat_load",
+    """SELECT u.symbol, max(u.last_update) AS last_update, CAST(any_value(c.bars) AS bigint) AS bars
+       FROM (SELECT symbol, last_update FROM metadata WHERE last_update IS NOT NULL
+             UNION ALL SELECT DISTINCT symbol, DATE '2001-01-02' FROM flat_batch) AS u
+       LEFT JOIN (SELECT symbol, count(*) AS bars FROM (
+                    SELECT symbol, trade_date FROM stored_prices
+                    UNION SELECT symbol, trade_date FROM flat_batch) AS p GROUP BY symbol) AS c
+         ON c.symbol = u.symbol
+       GROUP BY u.symbol""",
+    flat_batch="""SELECT DISTINCT upper(i.symbol) AS symbol, i.dt AS trade_date
+                  FROM incoming AS i JOIN listing AS l ON upper(i.symbol) = l.symbol
+                  LEFT JOIN metadata AS m ON m.symbol = l.symbol
+                  WHERE i.dt IS NOT NULL AND NOT (i.open IS NULL AND i.high IS NULL AND i.low IS NULL
+                        AND i.close IS NULL AND i.volume IS NULL)
+                    AND (m.last_update IS NULL OR (m.last_update < DATE '2001-01-02' AND i.dt > m.last_update))""",
+)
+def flat_load(spark, sf):
+    store = FlatStore(spark, new_namespace(spark)).create()
+    t.append(t.by_month(fx.stored_prices(spark, sf)), store.prices)
+    dated = fx.metadata(spark, sf).where("last_update IS NOT NULL").select("symbol", "last_update")
+    t.append(dated, store.last_update)
+    listed = listing(spark, sf).select("symbol")
+    key = F.substring("symbol", 4, 20).cast("int")
+    load_flat(store, [listed.where(key % 2 == i) for i in (0, 1)], fx.incoming(spark, sf), RUN_DATE)
+    held = spark.table(store.prices).groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+    return spark.table(store.last_update).join(held, "symbol", "left")

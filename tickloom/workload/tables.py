@@ -35,7 +35,7 @@ def price_table(spark, *loads) -> str:
     name = f"{new_namespace(spark)}.stock_prices"
     t.create_price_table(spark, name, schema_for("stock_prices"))
     for load in loads:
-        t.append(t.by_year(load), name)
+        t.append(t.by_month(load), name)
     return name
 
 
@@ -130,7 +130,7 @@ def migrate_tables(spark, sf):
 @query("scan_table_or_empty", "SELECT * FROM bars")
 def scan_table_or_empty(spark, sf):
     name, schema = price_table(spark, fx.bars(spark, sf)), schema_for("stock_prices")
-    present = t.table_or_empty(spark, name, schema).drop(t.YEAR)
+    present = t.table_or_empty(spark, name, schema).drop(t.MONTH)
     return union_all(present, t.table_or_empty(spark, name + "_missing", schema))
 
 
@@ -150,7 +150,7 @@ def sink_overwrite_partitions(spark, sf):
     bars = fx.bars(spark, sf)
     name = price_table(spark, bars)
     changed = bars.where(F.year("trade_date") == 2000).withColumn("volume", F.col("volume") + 1)
-    t.overwrite_partitions(t.by_year(changed), name)
+    t.overwrite_partitions(t.by_month(changed), name)
     return t.prices(spark, name)
 
 
@@ -171,8 +171,8 @@ def sink_full_replace(spark, sf):
 def sink_append_nonempty(spark, sf):
     bars = fx.bars(spark, sf)
     name = price_table(spark)
-    t.append_nonempty(t.by_year(bars.where("symbol is null")), name)
-    t.append_nonempty(t.by_year(bars), name)
+    t.append_nonempty(t.by_month(bars.where("symbol is null")), name)
+    t.append_nonempty(t.by_month(bars), name)
     return t.prices(spark, name)
 
 
@@ -187,7 +187,7 @@ def sink_append_nonempty(spark, sf):
                 ("trade_date", "date", "false", "trade_date"),
                 *[(c, "double", "false", c) for c in OHLCV[:4]],
                 ("volume", "bigint", "false", "volume"),
-                ("trade_year", "int", "true", "trade_date"),
+                ("trade_month", "int", "true", "trade_date"),
             ]
         )
     ),
@@ -248,8 +248,8 @@ def list_tables(spark, sf):
 def register_existing(spark, sf):
     root, namespace = fresh_path(spark, "existing"), new_namespace(spark)
     fx.table(spark, sf, "supplier").write.parquet(f"{root}/supplier")
-    stored = fx.bars(spark, sf).withColumn(t.YEAR, F.year("trade_date"))
-    stored.repartitionByRange(t.YEAR, "symbol", "trade_date").write.partitionBy(t.YEAR).parquet(f"{root}/stored")
+    stored = fx.bars(spark, sf).withColumn(t.MONTH, t.month_of())
+    stored.repartitionByRange(t.MONTH, "symbol", "trade_date").write.partitionBy(t.MONTH).parquet(f"{root}/stored")
     t.register_existing(spark, namespace, t.table_folders(spark, root))
     return _listed_counts(spark, namespace)
 
@@ -265,11 +265,11 @@ def _recorded_loads(spark, sf) -> str:
     t.create_table(spark, metadata, schema_for("metadata"))
     ledger.create_ledger(spark, book)
     bars, cut = fx.bars(spark, sf), F.lit(fx.STORED_BEFORE)
-    added = t.append(t.by_year(bars.where(F.col("trade_date") < cut)), prices)
+    added = t.append(t.by_month(bars.where(F.col("trade_date") < cut)), prices)
     ledger.record(spark, book, "append", "stock_prices", added, COMMITTED_AT)
     added = t.replace_table(fx.metadata(spark, sf), metadata)
     ledger.record(spark, book, "replace", "metadata", added, COMMITTED_AT)
-    added = t.append(t.by_year(bars.where(F.col("trade_date") >= cut)), prices)
+    added = t.append(t.by_month(bars.where(F.col("trade_date") >= cut)), prices)
     ledger.record(spark, book, "append", "stock_prices", added, LATER)
     return book
 
