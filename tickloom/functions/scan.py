@@ -81,7 +81,7 @@ def smooth(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
     local = _within_blocks(rows, smoothers).where(~F.col("is_context"))
     carries = _carries(local, smoothers)
     carried = F.array(F.col("_carries")[F.col("block")])
-    joined = local.join(carries.hint("shuffle_hash"), ERA).select(*local.columns, F.inline(carried))
+    joined = local.join(carries, ERA).select(*local.columns, F.inline(carried))
     outputs = []
     for s in smoothers:
         state = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_c_{s.name}")

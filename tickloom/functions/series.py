@@ -74,27 +74,33 @@ def in_order(
         .withColumn("block", _block())
     )
     bar = F.struct("trade_date", *values)
-    eras = (
-        placed.groupBy(*ERA)
-        .agg(
-            F.count(F.lit(1)).alias("bars_here"),
-            F.min("trade_date").alias("first_day"),
-            *([F.sort_array(F.collect_list(bar)).alias("all_bars")] if lookback else []),
+    if lookback:
+        # Only an era's last bars are ever held in an array.
+        latest = Window.partitionBy(*ERA).orderBy(F.desc("trade_date"))
+        numbered = placed.withColumn("_from_end", F.row_number().over(latest))
+        size = F.count(F.lit(1)).over(Window.partitionBy(*ERA))
+        first = F.min("trade_date").over(Window.partitionBy(*ERA))
+        eras = (
+            numbered.withColumns({"bars_here": size, "first_day": first})
+            .where(F.col("_from_end") <= lookback)
+            .groupBy(*ERA)
+            .agg(
+                F.first("bars_here").alias("bars_here"),
+                F.first("first_day").alias("first_day"),
+                F.sort_array(F.collect_list(bar)).alias("tail"),
+            )
         )
-        .select(
-            *ERA,
-            "bars_here",
-            "first_day",
-            *([_last(F.col("all_bars"), lookback).alias("tail")] if lookback else []),
+    else:
+        eras = placed.groupBy(*ERA).agg(
+            F.count(F.lit(1)).alias("bars_here"), F.min("trade_date").alias("first_day")
         )
-    )
     history = Window.partitionBy("symbol").orderBy("era")
     before = F.coalesce(
         F.sum("bars_here").over(history.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     if not lookback:
         starts = eras.select(*ERA, before.alias("bars_before"))
-        return placed.join(starts.hint("shuffle_hash"), ERA).select(
+        return placed.join(starts, ERA).select(
             *ERA,
             "block",
             "trade_date",
@@ -112,7 +118,7 @@ def in_order(
         F.col("trade_date") == F.col("first_day"), F.concat("context", own)
     ).otherwise(own)
     return (
-        placed.join(starts.hint("shuffle_hash"), ERA)
+        placed.join(starts, ERA)
         .select(
             *ERA,
             "first_day",
