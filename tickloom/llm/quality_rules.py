@@ -148,8 +148,11 @@ def judge(docs: DataFrame, quality: Quality | None = None, text_col: str = "text
     are judged one by one: repeated rows alike, no rows give no rows. Columns
     named like a new one are replaced.
     """
-    docs = docs.drop("base_failed", "quality", "kept")
-    counted = measured(docs, text_col)
+    return judged(measured(docs.drop("base_failed", "quality", "kept"), text_col), quality)
+
+
+def judged(counted: DataFrame, quality: Quality | None = None) -> DataFrame:
+    """The verdicts on rows that are measured already, for instance written without their texts."""
     model = quality or train(counted)
     names = [c for c in counted.columns]
     voted = counted.select("*", *votes())

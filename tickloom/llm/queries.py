@@ -17,7 +17,7 @@ from tickloom.llm import (
     quality_rules,
     token_counts,
 )
-from tickloom.llm.common import table
+from tickloom.llm.common import table, written
 from tickloom.llm.registry import QUERIES, query
 
 __all__ = ["QUERIES"]
@@ -75,7 +75,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # Texts are measured once; training and verdict read the narrow counts.
+    counted = quality_rules.measured(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = quality_rules.judged(written(counted.drop("text"), "measures"))
     columns = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality"
     return found.select("doc_id", *columns.split())
 
