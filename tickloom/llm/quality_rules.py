@@ -22,7 +22,7 @@ from tickloom.llm.weak import Reliability, estimate
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_capitals", "_shouts")
-RULES = 6
+RULES = 7
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -91,21 +91,26 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def votes() -> list[Column]:
-    """One vote per rule, from the measures."""
+    """One vote per rule, from the measures.
+
+    Rules that look for one fault abstain where they find none: its absence says
+    little. Only plausible word lengths and few repeats vote to keep a text.
+    """
     n = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))
 
-    def vote(share: Column, keep_below: float, junk_above: float) -> Column:
+    def vote(share: Column, junk_above: float, keep_below: float = -1.0) -> Column:
         return F.when(share <= keep_below, 1).when(share > junk_above, -1).otherwise(0)
 
     length = F.col("word_chars") / n
     found = [
         F.when(length.between(3, 10), 1).when((length < 2) | (length > 15), -1).otherwise(0),
-        vote(F.col("n_symbols") / n, 0.02, 0.1),
-        vote(F.col("n_dup_lines") / n, 0.0, 0.01),
-        vote(F.col("n_repeat_words") / n, 0.1, 0.3),
-        vote(F.col("_capitals") / chars, 0.1, 0.3),
-        vote(F.col("_shouts") / n, 0.02, 0.1),
+        vote(F.col("n_symbols") / n, 0.1),
+        vote(F.col("n_symbols") / chars, 0.03),
+        vote(F.col("n_dup_lines") / n, 0.05),
+        vote(F.col("n_repeat_words") / n, 0.3, 0.1),
+        vote(F.col("_capitals") / chars, 0.3),
+        vote(F.col("_shouts") / n, 0.1),
     ]
     return [v.cast("int").alias(f"_v{i}") for i, v in enumerate(found)]
 

@@ -33,12 +33,15 @@ def estimate(
 ) -> Reliability:
     """Two-class model of conditionally independent labelers, started from the majority vote.
 
+    A tie starts as rather negative: a pattern with as many no as yes votes is
+    unlike the rows most labelers agree on.
+
     Smoothing keeps every probability positive and prefers labelers that are
     better than chance, so the classes cannot swap. No counts give the start.
     """
     n = len(next(iter(counts), ()))
     total = sum(counts.values())
-    belief = {v: 1 / (1 + math.exp(-2.0 * sum(v))) for v in counts}
+    belief = {v: 1 / (1 + math.exp(1.0 - 2.0 * sum(v))) for v in counts}
     model = _maximised(counts, belief, n, prior, total, smoothing)
     for _ in range(rounds):
         new = {v: model.posterior(v) for v in counts}
