@@ -39,8 +39,8 @@ MAX_FREQUENT = 1 << 18
 MAX_FILTER_BITS = 1 << 28
 _BUCKETS = 64
 _MARKS = 8  # words of 64 bits in the bitmap of a prefix
-_CHUNK = 1 << 22  # grams counted together by a task
-_KEPT_WORDS = 400_000  # word hashes kept by a task
+_CHUNK = 1 << 21  # grams counted together by a task
+_KEPT_WORDS = 100_000  # word hashes kept by a task
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -177,7 +177,7 @@ def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
 
 
 def _bits(needed: DataFrame) -> np.ndarray:
-    """A filter over (node, representative): fixed bounds of size, false positives only."""
+    """A filter over the representatives' ids: fixed bounds of size, false positives only."""
     bits = 1 << 20
     count = needed.count()
     while bits < min(MAX_FILTER_BITS, 16 * count):
@@ -186,40 +186,39 @@ def _bits(needed: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.zeros(bits // 8, dtype=np.uint8)
         for batch in batches:
-            for node, rep in zip(texts(batch, "node"), texts(batch, "rep")):
-                at = _place(node, rep, bits)
-                field[at >> 3] |= 1 << (at & 7)
+            at = _places(batch.column(0), bits)
+            np.bitwise_or.at(field, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array([field.tobytes()], pa.binary())], names=["field"])
 
     field = np.zeros(bits // 8, dtype=np.uint8)
-    for row in needed.coalesce(8).mapInArrow(run, "field binary").toLocalIterator():
+    for row in needed.select("rep").coalesce(8).mapInArrow(run, "field binary").toLocalIterator():
         field |= np.frombuffer(row.field, dtype=np.uint8)
     return field
 
 
-def _place(node: bytes, rep: int, bits: int) -> int:
-    return xxhash.xxh3_64_intdigest(node, seed=rep & (1 << 63) - 1) & (bits - 1)
+def _places(ids: pa.Array, bits: int) -> np.ndarray:
+    known = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return (_mixed(known * _M[0]) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
     """(node, grams) of the needed nodes, from the text of each one's representative, written.
 
-    A few others may be among them, and a node twice if its representative's
-    row is repeated; joins on the node sort that out.
+    Only texts whose id passes the filter are cut into grams. A few others may
+    be among them, and a node twice if its representative's row is repeated;
+    joins on the node sort that out.
     """
     handle = shared(docs.sparkSession, _bits(needed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, known = received(handle), _WordHashes()
         for batch in sliced(batches):
-            nodes, sets = [], []
-            for doc_id, grams in zip(texts(batch, "doc_id"), gram_sets(texts(batch), known)):
-                if doc_id is None or (node := _node(grams)) is None:
-                    continue
-                at = _place(node, doc_id, len(field) * 8)
-                if field[at >> 3] >> (at & 7) & 1:
-                    nodes.append(node), sets.append(grams.view(np.int64))
-            columns = [pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))]
+            ids = batch.column(0)
+            at = _places(ids, len(field) * 8)
+            hit = (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            chosen = np.nonzero(hit.astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False))[0]
+            sets = [g for g in gram_sets(batch.column(1).take(pa.array(chosen)).to_pylist(), known) if len(g)]
+            columns = [pa.array(map(_node, sets), pa.binary()), pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "node binary, grams array<long>")
