@@ -166,12 +166,18 @@ def test_bars_are_shuffled_once(spark):
     bars = make_bars(spark, {"S": daily(date(2000, 1, 1), range(50))})
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        plan = ind.indicator_table(bars)._jdf.queryExecution().executedPlan().toString()
+        plan, average, series = (
+            table(bars)._jdf.queryExecution().executedPlan().toString()
+            for table in (ind.indicator_table, ind.exponential_average, ind.numbered_series)
+        )
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", True)
     moved = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
     assert len(moved) == 3
     assert sum("ReusedExchange" not in line for line in moved) == 1
+    assert sum("REPARTITION_BY_COL" in line for line in series.splitlines()) == 1
+    shuffled = [line for line in average.splitlines() if "REPARTITION_BY_COL" in line]
+    assert sum("ReusedExchange" not in line for line in shuffled) == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 

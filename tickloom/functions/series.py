@@ -66,13 +66,8 @@ def in_order(
     # Filters and the era are spelled out so that neither join side gets further
     # NOT NULL filters of its own: both then read the same shuffle.
     complete = is_complete(values if needed is None else needed)
-    placed = (
-        bars.select("symbol", "trade_date", *values)
-        .where(complete)
-        .withColumn("era", F.coalesce(_era(), F.lit(0)))
-        .repartition(*ERA)
-        .withColumn("block", _block())
-    )
+    usable = bars.select("symbol", "trade_date", *values).where(complete).withColumn("era", F.coalesce(_era(), F.lit(0)))
+    placed = usable.repartition(*ERA).withColumn("block", _block())
     bar = F.struct("trade_date", *values)
     if lookback:
         # Only an era's last bars are ever held in an array.
@@ -91,9 +86,8 @@ def in_order(
             )
         )
     else:
-        eras = placed.groupBy(*ERA).agg(
-            F.count(F.lit(1)).alias("bars_here"), F.min("trade_date").alias("first_day")
-        )
+        # Counted before the shuffle: at most one row per task, symbol and era moves.
+        eras = usable.groupBy(*ERA).agg(F.count(F.lit(1)).alias("bars_here"))
     history = Window.partitionBy("symbol").orderBy("era")
     before = F.coalesce(
         F.sum("bars_here").over(history.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
