@@ -176,3 +176,11 @@ def test_stages_take_empty_tables(spark, stage):
 def test_every_query_is_registered_and_runs():
     names = set(corpus_pipeline.QUERIES)
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+
+
+@pytest.mark.parametrize("name", [n for n, q in corpus_pipeline.QUERIES.items() if q.sql])
+def test_query_agrees_with_its_sql(spark, name):
+    from compare import connect, difference
+
+    query = corpus_pipeline.QUERIES[name]
+    assert difference(query.run(spark, SF_DIR), connect(SF_DIR), query.sql) is None

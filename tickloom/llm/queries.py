@@ -12,6 +12,7 @@ from tickloom.llm import (
     licenses,
     mixing,
     ngram_join,
+    oracle,
     packing,
     pii,
     quality_rules,
@@ -39,7 +40,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-@query("op10_ngram_join")
+@query("op10_ngram_join", oracle.NGRAM_JOIN)
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.linked(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -65,7 +66,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "source", "epoch", "block", "place", "weight")
 
 
-@query("op1_license_scan")
+@query("op1_license_scan", oracle.license_scan())
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -82,7 +83,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *columns.split())
 
 
-@query("op3_exact_search")
+@query("op3_exact_search", oracle.EXACT_SEARCH)
 def op3_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = ball_search.integer_vectors(table(spark, sf_dir, "embeddings"))
     return ball_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
