@@ -37,6 +37,7 @@ def main() -> None:
         .appName("tickloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
