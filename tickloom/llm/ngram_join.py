@@ -460,11 +460,10 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = kept.select(
         F.coalesce("_k.doc_id", F.xxhash64("_k.node")).alias("_key"), F.col("_k.node").alias("_node")
     )
-    marked = with_node(docs).select("*", key)
+    marked = with_node(docs).select("*", key).join(kept.withColumn("_kept", F.lit(True)), ["_key", "_node"], "left")
     first = F.row_number().over(Window.partitionBy("_key", "_node").orderBy(F.lit(0)))
-    chosen = marked.where("_node IS NOT NULL").join(kept, ["_key", "_node"], "left_semi")
-    chosen = chosen.withColumn("_first", first).where("_first = 1").select(*docs.columns)
-    return chosen.union(marked.where("_node IS NULL").select(*docs.columns))
+    chosen = marked.withColumn("_first", first).where("_node IS NULL OR (_kept AND _first = 1)")
+    return chosen.select(*docs.columns)
 
 
 def all_links_by_brute_force(spark: SparkSession, rows: list[tuple[int, str | None]], percent: int = PERCENT):
