@@ -54,14 +54,14 @@ NAMES = frozenset(
     "recommended widget toolbar copyright masthead contentinfo complementary search".split()
 )
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z",
+    # One literal first character lets the search skip plain text.
+    rf"<(?:!--.*?(?:-->|\Z)|({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^<>]*\Z)",
     re.S | re.I,
 )
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
-_SPACE = re.compile(r"\s+")
 
 
 @dataclass
@@ -141,13 +141,16 @@ def hashed(root: Element) -> list[Element]:
     for e in reversed(_walk(root)):  # children come before their parents
         said = "".join(p if isinstance(p, str) else p.said for p in e.parts)
         e.said = said
-        text = _SPACE.sub(" ", said).strip()
-        if e.tag in BLOCKS and text:
+        if e.tag in BLOCKS and (text := " ".join(said.split())):
             e.hash = xxhash.xxh3_64_intdigest(f"{e.tag}\0{e.name}\0{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
             out.append(e)
     return out
 
 
+def _has_text(e: Element) -> bool:
+    return any(isinstance(p, str) and p.strip() for x in _walk(e) for p in x.parts)
+
+
 def _is_header(e: Element) -> bool:
     """A header is left out unless it holds the article's heading."""
     return e.tag == "header" and not any(x.tag == "h1" for x in _walk(e))
@@ -161,7 +164,7 @@ def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
         current: list[str] = []
 
         def flush() -> None:
-            text = _SPACE.sub(" ", "".join(current)).strip()
+            text = " ".join("".join(current).split())
             if text:
                 blocks.append(text)
             current.clear()
@@ -200,7 +203,7 @@ def _scopes(root: Element, templates: frozenset[int]) -> list[Element]:
         e = todo.pop()
         if e is not root and _dropped(e, templates):
             continue
-        if e.tag in ("article", "main") and e.said.strip():
+        if e.tag in ("article", "main") and _has_text(e):
             found.append(e)
             continue
         todo += reversed([p for p in e.parts if isinstance(p, Element)])
@@ -255,7 +258,8 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
             out = []
             for page, hashes in zip(texts(batch, "html"), texts(batch, "_hashes")):
                 root = parsed(page or "")
-                hashed(root)
+                if hashes:
+                    hashed(root)
                 out.append(main_text(root, frozenset(hashes or ())))
             new = {"text": pa.array(out, pa.string()), "n_chars": pa.array(map(len, out), pa.int64())}
             yield extended(batch.select([n for n in batch.schema.names if n != "_hashes"]), new)
