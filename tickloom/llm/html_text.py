@@ -29,6 +29,7 @@ from tickloom.llm.common import extended, sliced, texts, travels, with_fields
 travels(__name__)
 
 LEAST_PAGES, LEAST_SHARE = 5, 0.25
+SALTS = 64
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -250,8 +251,14 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     Copies of a page and repeated rows are extracted alike. Pages without a
     host form one host. An empty table gives an empty result.
     """
-    found = templates(pages, least_pages, least_share).select(F.col("host").alias("_of"), F.col("hashes").alias("_hashes"))
-    rows = pages.withColumn("_host", host(F.col("url"))).join(found, F.col("_host") == F.col("_of"), "left").drop("_of", "_host")
+    # A host's pages are dealt over SALTS partitions; its short list of hashes is repeated for each.
+    found = templates(pages, least_pages, least_share).select(
+        F.col("host").alias("_of"), F.col("hashes").alias("_hashes"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part"),
+    )
+    salted = pages.withColumns({"_host": host(F.col("url")), "_salt": F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")})
+    same = (F.col("_host") == F.col("_of")) & (F.col("_salt") == F.col("_part"))
+    rows = salted.join(found, same, "left").drop("_of", "_host", "_salt", "_part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
