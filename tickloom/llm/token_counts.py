@@ -38,7 +38,8 @@ class Vocabulary:
         self.cost = {}
         for rank, piece in enumerate(pieces):
             self.cost.setdefault(piece, round(SCALE * math.log(rank + 2)))
-        self.longest = max(map(len, self.cost), default=1)
+        # Ends of pieces, so that the search for pieces ending at a place stops early.
+        self.tails = {piece[i:]: self.cost.get(piece[i:]) for piece in self.cost for i in range(len(piece))}
         self.byte_cost = byte_cost
 
     @staticmethod
@@ -56,8 +57,10 @@ class Vocabulary:
     def step(self, text: str, end: int, scores: list[tuple[int, int]]) -> tuple[int, int]:
         """Forward score of text[:end] from those of its shorter prefixes."""
         best = None
-        for start in range(max(0, end - self.longest), end):
-            cost = self.cost.get(text[start:end])
+        for start in range(end - 1, -1, -1):
+            cost = self.tails.get(text[start:end], -1)
+            if cost == -1:
+                break
             if cost is not None:
                 before = scores[start]
                 score = (before[0] + cost, before[1] + 1)
