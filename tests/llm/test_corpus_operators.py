@@ -75,6 +75,13 @@ def test_odd_rows_of_the_join(spark):
     assert kept[(5, "a b c d e")] <= 1 and (None, "a b c d e") not in kept
 
 
+def test_classes_that_share_an_id_keep_one_row_each(spark):
+    rows = [(5, "a b c d e"), (5, "a b c d e"), (5, "q r s t u"), (7, "q r s t u"), (None, "x y"), (None, "x y"), (None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect())
+    assert kept == Counter([(5, "a b c d e"), (5, "q r s t u"), (None, "x y"), (None, "z")])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 50), (50, 70), (3, 3)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

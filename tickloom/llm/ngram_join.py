@@ -400,9 +400,10 @@ def _able_to_link(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQUENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, node.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, node, root.
 
-    component_id is the smallest doc_id of the documents reachable by links,
+    root is the least node of the class and tells classes apart, also those that
+    share a doc_id; a document without words has none. component_id is the smallest doc_id of the documents reachable by links,
     its own included. A document without words has size 0, no links and its own
     id. Rows with a null doc_id share the class of an equal set that has an id
     and make no other links; without one their component_id is null. Repeated
@@ -426,10 +427,10 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     classes = written(components(links), "classes")
     named = nodes.join(classes, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_node = named.join(least, "root").select("node", "component_id")
+    by_node = named.join(least, "root").select("node", "component_id", "root")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.join(by_node, "node", "left").select(
-        "doc_id", F.col("size").cast("long").alias("n_shingles"), own.alias("component_id"), "node"
+        "doc_id", F.col("size").cast("long").alias("n_shingles"), own.alias("component_id"), "node", "root"
     )
 
 
@@ -452,8 +453,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows with an id before those without). Rows without words all stay.
     """
     found = linked(docs, percent).where("node IS NOT NULL")
-    group = F.coalesce("component_id", F.xxhash64("node"))
-    kept = found.groupBy(group.alias("_group")).agg(
+    kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("_k")
     )
     key = F.coalesce("doc_id", F.xxhash64("_node")).alias("_key")
