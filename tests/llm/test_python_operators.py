@@ -106,6 +106,25 @@ def test_pages(spark):
     assert got == {i: (t, len(t)) for i, t in enumerate(PAGES.values())}
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p>one</p><svg-icon name="x"></svg-icon><p>two</p><p>three</p>', "one\ntwo\nthree"),
+    ('<p>a <svg class="i"/> b</p><p>c</p>', "a b\nc"),
+    ('<p>a <svg title="x > y" /> b</p><p>c</p><svg><text>no</text></svg><p>d</p>', "a b\nc\nd"),
+    ("<p>a<svg> b</p><svg><g><svg><text>no</text></svg></g><text>no</text></svg><p>c</p>", "a b\nc"),
+    ("<p>a</p><video src=v><p>b</p><video>no</video><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><select><option>no<option>no</option><p>b</p>", "a\nb"),
+    ("<p>a</p><video-player>v</video-player><title-bar>t</title-bar><p>b</p>", "a\nvt\nb"),
+    ("<p>a</p><SCRIPT>x = '<svg>'</Script ><p>b</p><script>no</p>", "a\nb"),
+    ("<p>a</p><iframe src=x><p>b</p>", "a\nb"),
+])
+def test_embedded_elements_take_only_their_own_part(page, text):
+    assert html_text.main_text(html_text.parsed(page)) == text
+
+
+def test_many_unclosed_elements_take_linear_time():
+    assert html_text.main_text(html_text.parsed("<svg><iframe>" * 20_000 + "x")) == "x"
+
+
 def test_recurring_subtrees_of_a_host_are_deleted(spark):
     def rows(host: str, n: int):
         return [(f"http://{host}/{i}", _page(f"<div>Welcome to {host}</div><p>story {host} {i}</p><div>word</div>")) for i in range(n)]

@@ -33,7 +33,9 @@ SALTS = 64
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|video|audio|title"
+# Elements left out with all they hold: CODE has no elements in it, EMBEDDED may hold more of its own kind.
+CODE = "script|style|textarea|title|iframe"
+EMBEDDED = "template|noscript|svg|math|select|object|canvas|video|audio"
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table "
@@ -54,12 +56,16 @@ NAMES = frozenset(
     "comment comments disqus replies reply respond share sharing social breadcrumb breadcrumbs pagination pager related "
     "recommended widget toolbar copyright masthead contentinfo complementary search".split()
 )
+_ATTRIBUTES = r"""((?:[^>"']|"[^"]*"|'[^']*')*+)"""
 _TOKEN = re.compile(
     # One literal first character lets the search skip plain text.
-    rf"<(?:!--.*?(?:-->|\Z)|({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"<(?:!--.*?(?:-->|\Z)|({CODE}|{EMBEDDED})(?=[\s/>])(?:{_ATTRIBUTES}>|[^>]*>)|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^<>]*\Z)",
     re.S | re.I,
 )
+_CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in CODE.split("|")}
+_PAIRED = {tag: re.compile(rf"<(/?){tag}(?=[\s/>]){_ATTRIBUTES}>", re.I) for tag in EMBEDDED.split("|")}
+_OPTIONS = re.compile(r"(?:\s*</?opt(?:ion|group)\b[^>]*>[^<]*)*", re.I)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -81,21 +87,54 @@ def _named(attributes: str) -> tuple[str, bool]:
     return found, bool(words & NAMES) or bool(_HIDDEN.search(attributes))
 
 
+def _pairs(page: str, tag: str) -> dict[int, int]:
+    """Start of each element with a closing tag of its own, and its end."""
+    found, opened = {}, []
+    for m in _PAIRED[tag].finditer(page):
+        if not m[1]:
+            if not (tag in ("svg", "math") and m[2].endswith("/")):
+                opened.append(m.start())
+        elif opened:
+            found[opened.pop()] = m.end()
+    return found
+
+
+def _end(page: str, m: re.Match, pairs: dict[str, dict[int, int]]) -> int:
+    """Where an element that is left out ends.
+
+    Without a closing tag it is its start tag alone (and a select its options),
+    only a script or style takes the rest of the page.
+    """
+    tag = m[1].lower()
+    if tag in _CLOSING:
+        closing = None if tag in pairs else _CLOSING[tag].search(page, m.end())
+        if closing:
+            return closing.end()
+        pairs[tag] = {}
+        return len(page) if tag in ("script", "style") else m.end()
+    if tag not in pairs:
+        pairs[tag] = _pairs(page, tag)
+    end = pairs[tag].get(m.start(), m.end())
+    return _OPTIONS.match(page, end).end() if tag == "select" and end == m.end() else end
+
+
 def parsed(page: str) -> Element:
     """The element tree; unclosed and stray tags are mended as browsers commonly do."""
     root = Element("html")
     stack = [root]
     at = 0
-    for m in _TOKEN.finditer(page):
+    pairs: dict[str, dict[int, int]] = {}
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             stack[-1].parts.append(html.unescape(page[at : m.start()]))
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag:
             if m[1]:
                 stack[-1].parts.append(" ")
+                at = _end(page, m, pairs)
             continue
-        if m[2]:
+        if m[3]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
@@ -115,12 +154,12 @@ def parsed(page: str) -> Element:
                 if stack[i].tag in CLOSED_BY[tag]:
                     del stack[i:]
                     break
-        name, out = _named(m[4]) if m[4].strip() else ("", False)
+        name, out = _named(m[5]) if m[5].strip() else ("", False)
         element = Element(tag, name, tag in LEFT_OUT or (out and tag not in ("html", "body", "article", "main")))
         if tag == "article" and out:
             element.left_out = True
         stack[-1].parts.append(element)
-        if tag not in VOID and not m[4].endswith("/"):
+        if tag not in VOID and not m[5].endswith("/"):
             stack.append(element)
     if at < len(page):
         stack[-1].parts.append(html.unescape(page[at:]))
