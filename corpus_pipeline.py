@@ -23,8 +23,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by n-gram overlap."""
-    return ngram_join.one_of_each(docs)
+    """One document of every group whose sets of five-word shingles overlap by 80 percent."""
+    return ngram_join.one_of_each(docs, percent=80, n=5)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,17 @@ def test_classes_that_share_an_id_keep_one_row_each(spark):
     assert kept == Counter([(5, "a b c d e"), (5, "q r s t u"), (None, "x y"), (None, "z")])
 
 
+def test_the_stage_links_five_word_shingles_at_80_percent(spark):
+    words = [f"w{i}" for i in range(98)]
+    spread = [f"x{i}" if i in (20, 60) else w for i, w in enumerate(words)]  # 84 of 104 shingles, 87 of 103 in four words
+    cut = words[:82]  # 78 of 94, 79 of 95 in four words
+    apart = words[:74] + [f"y{i}" for i in range(24)]  # 70 of 118
+    rows = [(1, " ".join(words)), (2, " ".join(spread)), (3, " ".join(cut)), (4, " ".join(apart)), (5, "one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["ngram_join"]
+    assert {r.doc_id for r in stage(spark, docs, SF_DIR).collect()} == {1, 4, 5}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 50), (50, 70), (3, 3)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -93,16 +93,16 @@ def _node(grams: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
 
 
-def _frequent_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequent_in_chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     known, kept, nodes, held = _WordHashes(), [], set(), 0
 
     def counted() -> pa.RecordBatch:
-        grams, n = np.unique(np.concatenate(kept or [np.zeros(0, np.uint64)]), return_counts=True)
-        grams, n = grams[n >= 3], n[n >= 3]
-        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
+        grams, times = np.unique(np.concatenate(kept or [np.zeros(0, np.uint64)]), return_counts=True)
+        grams, times = grams[times >= 3], times[times >= 3]
+        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(times)], names=["gram", "n"])
 
     for batch in sliced(batches):
-        for grams in gram_sets(texts(batch), known):
+        for grams in gram_sets(texts(batch), known, n):
             node = _node(grams)
             if node is None or node in nodes:
                 continue
@@ -114,9 +114,9 @@ def _frequent_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield counted()
 
 
-def frequent_grams(docs: DataFrame, most: int) -> np.ndarray:
+def frequent_grams(docs: DataFrame, most: int, n: int = N) -> np.ndarray:
     """The frequent grams, rarest first: counts of all documents, bounded to ``most`` rows."""
-    counts = docs.select("text").mapInArrow(_frequent_in_chunks, "gram long, n long")
+    counts = docs.select("text").mapInArrow(lambda batches: _frequent_in_chunks(batches, n), "gram long, n long")
     counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
     bucket = Window.partitionBy(F.pmod("gram", F.lit(_BUCKETS))).orderBy(F.desc("n"), "gram")
     top = counts.withColumn("_rank", F.row_number().over(bucket)).where(F.col("_rank") <= most // _BUCKETS)
@@ -128,7 +128,7 @@ def _ceil_share(part: int, whole: int) -> int:
     return -(-part * whole // 100)
 
 
-def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+def sketches(docs: DataFrame, frequent: np.ndarray, percent: int, n: int = N) -> DataFrame:
     """(doc_id, size, node, gid, prefix, marks, hidden) of every row; gid stands for prefix and size.
 
     marks is a bitmap of the prefix's grams by their last bits, hidden the
@@ -148,10 +148,10 @@ def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
         known = _WordHashes()
         for batch in sliced(batches):
             size, node, gid, prefix, marks, hidden = [], [], [], [], [], []
-            for grams in gram_sets(texts(batch), known):
-                n = len(grams)
-                length = n - _ceil_share(percent, n) + 1 if n else 0
-                if len(hashes) and n:
+            for grams in gram_sets(texts(batch), known, n):
+                many = len(grams)
+                length = many - _ceil_share(percent, many) + 1 if many else 0
+                if len(hashes) and many:
                     at = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
                     is_frequent = hashes[at] == grams
                     late = grams[is_frequent][np.argsort(rank[at[is_frequent]], kind="stable")]
@@ -159,9 +159,9 @@ def sketches(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                 else:
                     grams_in_order = grams
                 head = grams_in_order[:length]
-                size.append(n)
+                size.append(many)
                 node.append(_node(grams))
-                gid.append(xxhash.xxh3_64_intdigest(head.tobytes(), seed=n) - (1 << 63) if n else None)
+                gid.append(xxhash.xxh3_64_intdigest(head.tobytes(), seed=many) - (1 << 63) if many else None)
                 prefix.append(head.view(np.int64))
                 field = np.zeros(_MARKS * 8, dtype=np.uint8)
                 np.bitwise_or.at(field, (head >> np.uint64(3)).astype(np.int64) % len(field), np.left_shift(1, (head & np.uint64(7)).astype(np.uint8)))
@@ -201,7 +201,7 @@ def _places(ids: pa.Array, bits: int) -> np.ndarray:
     return (_mixed(known * _M[0]) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
+def sets_of(docs: DataFrame, needed: DataFrame, label: str, n: int = N) -> DataFrame:
     """(node, grams) of the needed nodes, from the text of each one's representative, written.
 
     Only texts whose id passes the filter are cut into grams. A few others may
@@ -217,7 +217,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
             at = _places(ids, len(field) * 8)
             hit = (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1
             chosen = np.nonzero(hit.astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False))[0]
-            sets = [g for g in gram_sets(batch.column(1).take(pa.array(chosen)).to_pylist(), known) if len(g)]
+            sets = [g for g in gram_sets(batch.column(1).take(pa.array(chosen)).to_pylist(), known, n) if len(g)]
             columns = [pa.array(map(_node, sets), pa.binary()), pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
 
@@ -225,13 +225,13 @@ def sets_of(docs: DataFrame, needed: DataFrame, label: str) -> DataFrame:
     return written(found, label)
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, n: int = N) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets meet the threshold, written."""
     if pairs.isEmpty():
         return pairs
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = written(wanted.join(nodes.select("node", "rep"), "node").where("rep IS NOT NULL"), "needed")
-    sets = sets_of(docs, needed, "sets")
+    sets = sets_of(docs, needed, "sets", n)
     one, two = sets.toDF("a", "grams_a"), sets.toDF("b", "grams_b")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     met = 100 * both >= percent * (F.size("grams_a") + F.size("grams_b") - both)
@@ -399,7 +399,7 @@ def _able_to_link(entries: DataFrame, percent: int) -> DataFrame:
     return entries.join(able.select("gid"), "gid", "left_semi").select(*columns)
 
 
-def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQUENT) -> DataFrame:
+def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQUENT, n: int = N) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, node, root.
 
     root is the least node of the class and tells classes apart, also those that
@@ -411,7 +411,7 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     not read. An empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    rows = written(sketches(docs, frequent_grams(docs, max_frequent), percent), "sketches")
+    rows = written(sketches(docs, frequent_grams(docs, max_frequent, n), percent, n), "sketches")
     nodes = written(
         rows.where("node IS NOT NULL").groupBy("node", "gid").agg(F.min("doc_id").alias("rep")), "nodes"
     )
@@ -419,11 +419,11 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     heads = members.groupBy("gid").agg(F.min("node").alias("node"))
     lists = _lists(rows, members, percent)
     stars = written(_star_pairs(lists, heads, members, percent), "stars")
-    links = verified(docs, nodes, stars, percent)
+    links = verified(docs, nodes, stars, percent, n)
     classes = written(components(links), "classes")
     crossing = _crossing_pairs(rows, lists, members, classes, percent)
     crossing = written(crossing.join(stars, ["a", "b"], "left_anti"), "crossing")
-    links = links.union(verified(docs, nodes, crossing, percent))
+    links = links.union(verified(docs, nodes, crossing, percent, n))
     classes = written(components(links), "classes")
     named = nodes.join(classes, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -434,25 +434,25 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     )
 
 
-def with_node(docs: DataFrame) -> DataFrame:
+def with_node(docs: DataFrame, n: int = N) -> DataFrame:
     """``docs`` with ``_node``, the digest of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in sliced(batches):
-            nodes = [_node(grams) for grams in gram_sets(texts(batch), known)]
+            nodes = [_node(grams) for grams in gram_sets(texts(batch), known, n)]
             yield extended(batch, {"_node": pa.array(nodes, pa.binary())})
 
     return docs.mapInArrow(run, with_fields(docs.schema, _node="binary"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """The rows of ``docs`` without those linked to another kept one, all columns as they are.
 
     Of a class the row with the smallest doc_id stays (one of equal rows, and
     rows with an id before those without). Rows without words all stay.
     """
-    found = linked(docs, percent).where("node IS NOT NULL")
+    found = linked(docs, percent, n=n).where("node IS NOT NULL")
     kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("_k")
     )
@@ -460,7 +460,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = kept.select(
         F.coalesce("_k.doc_id", F.xxhash64("_k.node")).alias("_key"), F.col("_k.node").alias("_node")
     )
-    marked = with_node(docs).select("*", key).join(kept.withColumn("_kept", F.lit(True)), ["_key", "_node"], "left")
+    marked = with_node(docs, n).select("*", key).join(kept.withColumn("_kept", F.lit(True)), ["_key", "_node"], "left")
     first = F.row_number().over(Window.partitionBy("_key", "_node").orderBy(F.lit(0)))
     chosen = marked.withColumn("_first", first).where("_node IS NULL OR (_kept AND _first = 1)")
     return chosen.select(*docs.columns)
