@@ -141,6 +141,21 @@ def test_recurring_subtrees_of_a_host_are_deleted(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+def test_templates_of_sections_go_and_shared_passages_stay(spark):
+    menu = "<div>Section menu</div>"  # on 20 of 200 pages
+    rows = [(f"http://h/{i}", _page(f"{menu if i % 10 == 0 else ''}<p>story {i}</p>")) for i in range(200)]
+    for i in range(12):  # a passage at other places of 6 articles of 12; a notice at the end of all
+        body = [f"<p>own {i} {j}</p>" for j in range(9)]
+        if i < 6:
+            body[i] = "<p>shared</p>"
+        body += [f"<p>more {i} {j}</p>" for j in range(i)] + ["<p>notice</p>"]
+        rows.append((f"http://a/{i}", _page(f"<article>{''.join(body)}</article>")))
+    got = {r.url: r.text for r in html_text.extract(spark.createDataFrame(rows, "url string, html string")).collect()}
+    assert all(got[f"http://h/{i}"] == f"story {i}" for i in range(200))
+    assert ["shared" in got[f"http://a/{i}"] for i in range(12)] == [True] * 6 + [False] * 6
+    assert not any("notice" in t for t in got.values())
+
+
 def test_very_deep_page():
     deep = "<div>" * 5000 + "x" + "</div>" * 5000
     root = html_text.parsed(deep)

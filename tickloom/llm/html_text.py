@@ -3,9 +3,11 @@
 A page is read into a tree of elements. Every block element gets a hash of its
 tag, class and text; Spark counts on how many different pages of a host each
 hash occurs (pages with the same main text count once, so copies of an article
-do not make it a template). A subtree found on at least LEAST_PAGES pages and
-LEAST_SHARE of the host's pages belongs to the site's template and is deleted.
-The share bounds the templates of a host by a small multiple of one page.
+do not make it a template). A subtree found on at least LEAST_PAGES pages, and on as many as the cube root of
+the host's pages, belongs to a template of the site or of one of its sections
+and is deleted. A paragraph or heading inside an article or main element counts
+only where it recurs at the same place, for passages that articles share stay.
+A page is joined with its own recurring hashes, never with those of its host.
 
 What a page says about itself is used too: elements and class names for menus,
 headers, footers, adverts, forms and comments are left out, and a page with an
@@ -24,12 +26,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import extended, sliced, texts, travels, with_fields
+from tickloom.llm.common import extended, sliced, texts, travels, with_fields, written
 
 travels(__name__)
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.25
-SALTS = 64
+LEAST_PAGES = 5
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +42,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
+PASSAGES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 LEFT_OUT = frozenset("head nav footer aside form button menu dialog fieldset input label".split())
 CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -78,6 +80,7 @@ class Element:
     left_out: bool = False
     parts: list = field(default_factory=list)  # texts and elements in page order
     hash: int = 0
+    place: int | None = None  # of a passage inside an article
     said: str = ""
 
 
@@ -175,14 +178,31 @@ def _walk(root: Element) -> list[Element]:
     return found
 
 
+def _placed(root: Element) -> None:
+    """Mark passages of articles with their place: on the way down, which child each element is, from the nearer end."""
+    todo = [(root, 0, False)]
+    while todo:
+        e, place, inside = todo.pop()
+        if inside and e.tag in PASSAGES:
+            e.place = place
+        inside = inside or e.tag in ("article", "main")
+        children = [p for p in e.parts if isinstance(p, Element)]
+        for i, child in enumerate(children):
+            nearer = i if 2 * i < len(children) else i - len(children)
+            todo.append((child, (place * 1_000_003 + nearer) % (1 << 61) if inside else 0, inside))
+
+
 def hashed(root: Element) -> list[Element]:
-    """The block elements with text, each with its hash: tag, names and text of its subtree."""
+    """The block elements with text, each with its hash: tag, names and text of its subtree, a passage's place."""
     out = []
+    _placed(root)
     for e in reversed(_walk(root)):  # children come before their parents
         said = "".join(p if isinstance(p, str) else p.said for p in e.parts)
         e.said = said
         if e.tag in BLOCKS and (text := " ".join(said.split())):
-            e.hash = xxhash.xxh3_64_intdigest(f"{e.tag}\0{e.name}\0{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
+            place = "" if e.place is None else f"\0{e.place}"
+            content = f"{e.tag}\0{e.name}\0{text}{place}"
+            e.hash = xxhash.xxh3_64_intdigest(content.encode("utf-8", "surrogatepass")) - (1 << 63)
             out.append(e)
     return out
 
@@ -257,47 +277,51 @@ def host(url: Column) -> Column:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
-        hosts, hashes, pages = [], [], []
-        for name, page in zip(texts(batch, "_host"), texts(batch, "_html")):
+        hashes, pages = [], []
+        for page in texts(batch, "_html"):
             root = parsed(page or "")
-            found = {e.hash for e in hashed(root) if not e.left_out}
-            digest = xxhash.xxh3_64_intdigest(main_text(root).encode("utf-8", "surrogatepass")) - (1 << 63)
-            hosts += [name] * (len(found) + 1)
-            hashes += [None, *found]
-            pages += [digest] * (len(found) + 1)
+            hashes.append(list({e.hash for e in hashed(root) if not e.left_out}))
+            pages.append(xxhash.xxh3_64_intdigest(main_text(root).encode("utf-8", "surrogatepass")) - (1 << 63))
+        host, doc = (batch.column(batch.schema.get_field_index(c)) for c in ("_host", "_doc"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64())],
-            names=["host", "hash", "page"],
+            [doc, host, pa.array(pages, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))],
+            names=["doc", "host", "page", "hashes"],
         )
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hashes) of the hosts with recurring subtrees."""
-    rows = pages.select(host(F.col("url")).alias("_host"), F.col("html").alias("_html"))
-    seen = rows.mapInArrow(_subtrees, "host string, hash long, page long").distinct()
-    counts = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.where("hash IS NULL").select(F.col("host").alias("_of"), F.col("n").alias("pages"))
-    many = counts.where("hash IS NOT NULL").where(F.col("n") >= least_pages)
-    kept = many.join(sizes, F.col("host") == F.col("_of")).where(F.col("n") >= least_share * F.col("pages"))
-    # At most (subtrees of a page) / least_share hashes per host.
-    return kept.groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("hashes"))
+def _doc(url: Column, page: Column) -> Column:
+    return F.xxhash64(host(url), page)
+
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """(doc, host, page, hashes) of every row, written: doc stands for host and html, page for the main text."""
+    url, page = F.col("url"), F.col("html")
+    rows = pages.select(_doc(url, page).alias("_doc"), host(url).alias("_host"), page.alias("_html"))
+    return written(rows.mapInArrow(_subtrees, "doc long, host string, page long, hashes array<long>"), "subtrees")
+
+
+def templates(found: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(host, hash) of the subtrees that recur on enough pages of their host, written."""
+    seen = found.select("host", "page", F.explode("hashes").alias("hash")).distinct()
+    many = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    sizes = found.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    kept = many.join(sizes, "host").where(F.col("n") >= F.cbrt("pages"))
+    return written(kept.select("host", "hash"), "templates")
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Every row of ``pages`` with ``text`` and ``n_chars``; columns so named are replaced.
 
     A null or empty html, and a page without main text, give the empty text.
     Copies of a page and repeated rows are extracted alike. Pages without a
     host form one host. An empty table gives an empty result.
     """
-    # A host's pages are dealt over SALTS partitions; its short list of hashes is repeated for each.
-    found = templates(pages, least_pages, least_share).select(
-        F.col("host").alias("_of"), F.col("hashes").alias("_hashes"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part"),
-    )
-    salted = pages.withColumns({"_host": host(F.col("url")), "_salt": F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")})
-    same = (F.col("_host") == F.col("_of")) & (F.col("_salt") == F.col("_part"))
-    rows = salted.join(found, same, "left").drop("_of", "_host", "_salt", "_part")
+    found = subtrees(pages)
+    own = found.select("doc", "host", F.explode("hashes").alias("hash"))
+    # A page has at most as many of them as it has subtrees.
+    own = own.join(templates(found, least_pages), ["host", "hash"]).groupBy("doc").agg(F.collect_set("hash").alias("_hashes"))
+    marked = pages.withColumn("_doc", _doc(F.col("url"), F.col("html")))
+    rows = marked.join(own, F.col("_doc") == F.col("doc"), "left").select(*pages.columns, "_hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
