@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -56,6 +57,33 @@ def test_kneser_ney_probabilities_sum_to_one():
     assert 0 < unseen < model.probabilities(codes[:1], 5)[0, 0]
 
 
+def test_every_gram_counts_and_scores_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "_KEPT_WORDS", 64)  # most words are joined
+    rng = random.Random(8)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    rows = [("a", " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(80))) for _ in range(300)]
+    rows += [("b", " ".join("".join(rng.choices(letters, k=5)) for _ in range(80))) for _ in range(800)]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
+    counts = {"a": Counter(), "b": Counter()}
+    for lang, text in rows:
+        for w in language_id.words_of(text):
+            padded = language_id.START * 4 + w + language_id.END
+            counts[lang].update(padded[i : i + 5] for i in range(len(w) + 1))
+    # 2^18 grams over all languages were kept before.
+    assert sum(map(len, counts.values())) > 1 << 18
+    assert model.table.where("length(key) = 6 AND key LIKE 'd%'").count() == len(set().union(*counts.values()))
+    brute = language_id.Model(["a", "b"], alphabet=model.alphabet)
+    brute.levels = language_id._levels([counts["a"], counts["b"]], model.alphabet)
+    docs = [(i, t, None) for i, (_, t) in enumerate(rows[::40])] + [(100, "abc hgf xyz 12 zzzzz", 1), (101, "xyz " + rows[-1][1], 1)]
+    docs += docs[-2:]  # repeated rows
+    got = language_id.identify(spark.createDataFrame(docs, "doc_id long, text string, score int"), model).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        words = language_id.words_of(r.text)
+        h = -brute.word_scores(words).sum(axis=0) / sum(len(w) + 1 for w in words)
+        assert r.cross_entropy == pytest.approx(h.min(), abs=1e-5) and r.lang_pred == "ab"[int(h.argmin())]
+
+
 # exact search
 
 
