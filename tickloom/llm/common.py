@@ -29,6 +29,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *labels: str) -> list[str]:
+    """A name for each label that no column of ``df`` has, whatever the caller's columns are called."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for label in labels:
+        while label.lower() in taken:
+            label = f"{label}_"
+        taken.add(label.lower())
+        names.append(label)
+    return names
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is; null is the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), CAPITALS, SMALL)

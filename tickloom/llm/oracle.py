@@ -81,3 +81,23 @@ NGRAM_JOIN = rf"""
     SELECT s.doc_id, CAST(len(s.grams) AS bigint) AS n_shingles,
            least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS component_id
     FROM sets AS s LEFT JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) AS m ON m.a = s.doc_id"""
+
+DECONTAMINATION = rf"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
+    items AS (SELECT item_id, w, least(len(w), 10) AS m
+              FROM (SELECT item_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark) WHERE len(w) > 0),
+    wanted AS MATERIALIZED (
+      SELECT DISTINCT item_id, m, array_to_string(w[s + 1 : s + m], ' ') AS win
+      FROM (SELECT item_id, w, m, unnest(range(len(w) - m + 1)) AS s FROM items)),
+    placed AS (
+      SELECT rid, m, s, array_to_string(w[s + 1 : s + m], ' ') AS win
+      FROM (SELECT rid, w, m, unnest(range(len(w) - m + 1)) AS s
+            FROM d, (SELECT DISTINCT m FROM wanted) WHERE len(w) >= m)),
+    hits AS MATERIALIZED (SELECT DISTINCT rid, s, p.m, item_id FROM placed AS p JOIN wanted AS i ON p.win = i.win AND p.m = i.m),
+    hit_words AS (SELECT rid, count(DISTINCT s + k) AS n_hit FROM (SELECT rid, s, unnest(range(m)) AS k FROM hits) GROUP BY rid),
+    met AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)
+    SELECT doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS bigint) AS n_hit,
+           CAST(coalesce(n_items, 0) AS bigint) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN met USING (rid)"""

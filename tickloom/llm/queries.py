@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import (
     ball_search,
+    decontamination,
     html_text,
     language_id,
     licenses,
@@ -99,3 +100,9 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs).select("doc_id", "n_pretokens", "n_tokens")
+
+
+@query("op13_decontamination", oracle.DECONTAMINATION)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
