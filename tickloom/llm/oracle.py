@@ -101,3 +101,65 @@ DECONTAMINATION = rf"""
            CAST(coalesce(n_items, 0) AS bigint) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
            coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN met USING (rid)"""
+
+
+def centroid_clustering(k: int = 16, rounds: int = 3) -> str:
+    def nearest(n: int) -> str:
+        return f"""
+    a{n} AS MATERIALIZED (
+      SELECT rid, c AS cluster, dist FROM (
+        SELECT rid, c, dist, row_number() OVER (PARTITION BY rid ORDER BY dist, c) AS place FROM (
+          SELECT rid, c, CAST(list_sum(list_transform(list_zip(v.e, k.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS dist
+          FROM v, k{n} AS k)) WHERE place = 1)"""
+
+    def moved(n: int) -> str:
+        return f"""
+    k{n} AS MATERIALIZED (
+      SELECT k.c, coalesce(m.e, k.e) AS e FROM k{n - 1} AS k LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY i) AS e FROM (
+          SELECT cluster AS c, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+          FROM (SELECT a.cluster, unnest(v.e) AS x, unnest(range(64)) AS i FROM a{n - 1} AS a JOIN v USING (rid))
+          GROUP BY cluster, i) GROUP BY c) AS m USING (c))"""
+
+    steps = [nearest(0)]
+    for n in range(1, rounds + 1):
+        steps += [moved(n), nearest(n)]
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, CAST(vec_id AS BIGINT) AS vec_id,
+             list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) = 64
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    k0 AS MATERIALIZED (
+      SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS INT) AS c, e
+      FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT {k})),
+    {",".join(steps)},
+    per AS (SELECT cluster, CAST(sum(dist) AS BIGINT) AS s FROM a{rounds} GROUP BY cluster)
+    SELECT vec_id, CAST(cluster AS INT) AS cluster, dist AS distance, s AS cluster_inertia,
+           (SELECT CAST(sum(s) AS BIGINT) FROM per) AS inertia,
+           sha256(array_to_string(k.e, ',')) AS centroid_sha256
+    FROM v JOIN a{rounds} USING (rid) JOIN per USING (cluster) JOIN k{rounds} AS k ON k.c = cluster"""
+
+
+HARD_NEGATIVES = """
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, CAST(vec_id AS BIGINT) AS vec_id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS MATERIALIZED (
+      SELECT a.rid AS arid, a.vec_id AS anchor_id, a.label = c.label AS same, c.rid, c.vec_id,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.e, c.e), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+      FROM v AS a JOIN v AS c ON a.rid <> c.rid WHERE a.vec_id % 100 = 0),
+    p AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id NULLS LAST, rid) AS place
+        FROM s WHERE same) WHERE place <= 5)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+      SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid) AS INT) AS rank
+      FROM p JOIN s AS n ON n.arid = p.arid AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+    WHERE rank <= 5"""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tickloom.llm import (
     ball_search,
     decontamination,
+    dim_lloyd,
+    hard_negatives,
     html_text,
     language_id,
     licenses,
@@ -106,3 +108,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_centroid_clustering", oracle.centroid_clustering())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_lloyd.cluster(dim_lloyd.integer_vectors(table(spark, sf_dir, "embeddings")))
+
+
+@query("op11_hard_negatives", oracle.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.labelled_vectors(table(spark, sf_dir, "embeddings").withColumn("label", given))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
