@@ -193,7 +193,7 @@ def test_stages_take_empty_tables(spark, stage):
 
 def test_every_query_is_registered_and_runs():
     names = set(corpus_pipeline.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", [n for n, q in corpus_pipeline.QUERIES.items() if q.sql])
