@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scan import ema, smooth, wilder
-from tickloom.functions.series import in_era, in_order, is_complete
+from tickloom.functions.scan import Smoother, ema, smooth, wilder
+from tickloom.functions.series import in_era, in_order
 from tickloom.schemas import OHLCV
 
 # The indicator table's column names and order.
@@ -55,25 +55,6 @@ def _own(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.where(~F.col("is_context")).select(*KEY, *columns)
 
 
-def _with_all_bars(table: DataFrame, bars: DataFrame, needed: list[str], names: dict[str, str]) -> DataFrame:
-    """The table and, with NULL indicators, the dated bars that lack a needed price.
-
-    ``names`` maps columns of the table to columns of the bars; all others are
-    indicators. A scan for missing prices skips files without NULLs.
-    """
-    keyed = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull()
-    left_out = bars.where(keyed & ~is_complete(needed)).select(
-        *[
-            F.col(names[f.name]).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table.schema
-        ]
-    )
-    return table.unionByName(left_out)
-
-
-_CLOSE_ONLY = {"symbol": "symbol", "trade_date": "trade_date", "close": "close"}
-
-
 # -- columns ---------------------------------------------------------------
 
 
@@ -149,76 +130,87 @@ def _rsi_column() -> Column:
 def sma(bars: DataFrame, *lengths: int) -> DataFrame:
     rows = in_order(bars, ["close"], max(lengths) - 1)
     columns = {f"sma_{length}": sma_column(length) for length in lengths}
-    return _with_all_bars(_own(rows.withColumns(columns), "close", *columns), bars, ["close"], _CLOSE_ONLY)
+    return _own(rows.withColumns(columns), "close", *columns)
 
 
 def exponential_average(bars: DataFrame, length: int = EMA_LENGTH) -> DataFrame:
     rows = in_order(bars, ["close"])
     name = f"ema_{length}"
-    table = smooth(rows, [ema(name, F.col("close"), length)]).select(*KEY, "close", name)
-    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
+    return smooth(rows, [ema(name, F.col("close"), length)]).select(*KEY, "close", name)
 
 
 def bollinger(bars: DataFrame, length: int = BAND_LENGTH, width: float = BAND_WIDTH) -> DataFrame:
     columns = band_columns(length, width)
     rows = in_order(bars, ["close"], length - 1)
-    return _with_all_bars(_own(rows.withColumns(columns), "close", *columns), bars, ["close"], _CLOSE_ONLY)
+    return _own(rows.withColumns(columns), "close", *columns)
 
 
 def macd(
     bars: DataFrame, fast: int = MACD_FAST, slow: int = MACD_SLOW, signal: int = MACD_SIGNAL
 ) -> DataFrame:
     rows = smooth(in_order(bars, ["close"]), _macd_smoothers(fast, slow, signal))
-    table = rows.withColumns(_macd_columns()).select(*KEY, "close", "macd", "macd_signal", "macd_hist")
-    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
+    return rows.withColumns(_macd_columns()).select(*KEY, "close", "macd", "macd_signal", "macd_hist")
 
 
 def stochastic(
     bars: DataFrame, k: int = STOCH_K, d: int = STOCH_D, smooth_k: int = STOCH_SMOOTH
 ) -> DataFrame:
     rows = in_order(bars, ["high", "low", "close"], k + d + smooth_k - 3)
-    table = _own(_with_stochastic(rows, k, d, smooth_k), "close", "stoch_k", "stoch_d")
-    return _with_all_bars(table, bars, ["high", "low", "close"], _CLOSE_ONLY)
+    return _own(_with_stochastic(rows, k, d, smooth_k), "close", "stoch_k", "stoch_d")
 
 
 def average_true_range(bars: DataFrame, length: int = WILDER_LENGTH) -> DataFrame:
     rows = _with_moves(in_order(bars, ["high", "low", "close"], 1))
-    table = smooth(rows, [wilder("atr", F.col("_true_range"), length, first=2)]).select(*KEY, "close", "atr")
-    return _with_all_bars(table, bars, ["high", "low", "close"], _CLOSE_ONLY)
+    return smooth(rows, [wilder("atr", F.col("_true_range"), length, first=2)]).select(*KEY, "close", "atr")
 
 
 def relative_strength(bars: DataFrame, length: int = WILDER_LENGTH) -> DataFrame:
     rows = _with_moves(in_order(bars, ["close"], 1))
     name = f"rsi_{length}"
-    table = smooth(rows, _rsi_smoothers(length)).withColumn(name, _rsi_column()).select(*KEY, "close", name)
-    return _with_all_bars(table, bars, ["close"], _CLOSE_ONLY)
+    return smooth(rows, _rsi_smoothers(length)).withColumn(name, _rsi_column()).select(*KEY, "close", name)
 
 
-def indicator_table(bars: DataFrame) -> DataFrame:
-    """Symbol plus the 18 indicator columns, a row for every bar, from one shuffle of the bars.
-
-    Indicators read high, low and close. A bar without one of these enters none
-    of them and has NULL indicators; a missing open or volume does not matter.
-    """
-    lookback = max(SMA_LENGTH, BAND_LENGTH, STOCH_K + STOCH_D + STOCH_SMOOTH - 2) - 1
-    rows = in_order(bars, OHLCV, lookback, _READ)
-    rows = rows.withColumns({"sma_20": sma_column(SMA_LENGTH), **band_columns()})
-    rows = _with_moves(_with_stochastic(rows, STOCH_K, STOCH_D, STOCH_SMOOTH))
-    smoothers = [
+TABLE_LOOKBACK = max(SMA_LENGTH, BAND_LENGTH, STOCH_K + STOCH_D + STOCH_SMOOTH - 2) - 1
+def table_smoothers() -> list[Smoother]:
+    return [
         ema("ema_20", F.col("close"), EMA_LENGTH),
         wilder("atr", F.col("_true_range"), WILDER_LENGTH, first=2),
         *_rsi_smoothers(WILDER_LENGTH),
         *_macd_smoothers(MACD_FAST, MACD_SLOW, MACD_SIGNAL),
     ]
-    table = smooth(rows, smoothers).withColumns({**_macd_columns(), "rsi_14": _rsi_column()})
+
+
+def indicator_rows(bars: DataFrame, state: DataFrame | None = None, keep_states: bool = False) -> DataFrame:
+    """The columns of ``indicator_table`` under their own names, with ``usable`` and ``n``.
+
+    ``state`` (symbol, n, tail, carry) continues series whose earlier bars are
+    not in ``bars``; ``keep_states`` adds ``carry``, the smoothing states after
+    each bar.
+    """
+    rows = in_order(bars, OHLCV, TABLE_LOOKBACK, _READ, state)
+    rows = rows.withColumns({"sma_20": sma_column(SMA_LENGTH), **band_columns()})
+    rows = _with_moves(_with_stochastic(rows, STOCH_K, STOCH_D, STOCH_SMOOTH))
+    table = smooth(rows, table_smoothers(), state, keep_states)
+    return table.withColumns({**_macd_columns(), "rsi_14": _rsi_column()})
+
+
+def named_table(rows: DataFrame, *more: str) -> DataFrame:
+    """Symbol, the indicator table's columns and any ``more``, from ``indicator_rows``."""
     named = {"Date": "trade_date"}
-    table = table.select("symbol", *[F.col(named.get(c, c.lower())).alias(c) for c in INDICATOR_COLUMNS])
-    stored = {"symbol": "symbol", "Date": "trade_date", **{c.capitalize(): c for c in OHLCV}}
-    return _with_all_bars(table, bars, _READ, stored)
+    return rows.select("symbol", *[F.col(named.get(c, c.lower())).alias(c) for c in INDICATOR_COLUMNS], *more)
+
+
+def indicator_table(bars: DataFrame) -> DataFrame:
+    """Symbol plus the 18 indicator columns, a row for every bar, from one shuffle of the bars.
+
+    Indicators read high, low and close. A bar without one of these enters none
+    of them and has NULL indicators; a missing open or volume does not matter.
+    """
+    return named_table(indicator_rows(bars))
 
 
 def signals(bars: DataFrame, overbought: float = 70.0, oversold: float = 30.0) -> DataFrame:
-    """RSI thresholds and the sign of the MACD histogram as flags; NULL in, NULL out."""
+    """RSI thresholds and the sign of the MACD histogram as flags, a row for every bar; NULL in, NULL out."""
     rows = _with_moves(in_order(bars, ["close"], 1))
     smoothers = [
         *_rsi_smoothers(WILDER_LENGTH),
@@ -240,5 +232,5 @@ def numbered_series(bars: DataFrame) -> DataFrame:
 
     A bar counts whether or not it has prices. Rows are sorted within partitions.
     """
-    rows = in_order(bars, ["close"], needed=[])
+    rows = in_order(bars, ["close"], needed=[]).where(~F.col("is_context"))
     return rows.select(*KEY, "close", F.col("n").alias("bar_number")).sortWithinPartitions(*KEY)

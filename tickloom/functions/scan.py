@@ -71,24 +71,35 @@ def wilder(name: str, source: Column, length: int, first: int = 1) -> Smoother:
     return Smoother(name, source, length, 1.0 / length, first)
 
 
-def smooth(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
+def smooth(
+    rows: DataFrame, smoothers: list[Smoother], state: DataFrame | None = None, keep_states: bool = False
+) -> DataFrame:
     """Add one column per smoother to ``in_order`` rows; context rows are dropped.
 
-    A smoother that reads others comes after them in the list.
+    A smoother that reads others comes after them in the list. ``state``
+    (symbol, carry) holds the states before the first bar, as the struct of
+    ``carry_of``; ``keep_states`` adds that struct after each bar as ``carry``.
     """
     if any(not 0.0 < s.decay < 1.0 for s in smoothers):
         raise ValueError("a smoother needs a gain strictly between 0 and 1")
     local = _within_blocks(rows, smoothers).where(~F.col("is_context"))
-    carries = _carries(local, smoothers)
+    carries = _carries(local, smoothers, state)
     carried = F.array(F.col("_carries")[F.col("block")])
-    joined = local.join(carries, ERA).select(*local.columns, F.inline(carried))
-    outputs = []
+    joined = local.join(carries, ERA, "left").select(*local.columns, F.inline(carried))
+    outputs, states = [], []
     for s in smoothers:
-        state = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_c_{s.name}")
+        now = F.col(f"_l_{s.name}") + F.col(f"_d_{s.name}") * F.col(f"_c_{s.name}")
         for read, factor in _reads(s):
-            state = state + F.col(f"_g_{s.name}_{read.name}") * factor * F.col(f"_c_{read.name}")
-        outputs.append(F.when(F.col("n") >= s.defined_from, state / s.length).alias(s.name))
-    return joined.select(*rows.columns, *outputs).drop("is_context")
+            now = now + F.col(f"_g_{s.name}_{read.name}") * factor * F.col(f"_c_{read.name}")
+        outputs.append(F.when(F.col("n") >= s.defined_from, now / s.length).alias(s.name))
+        states.append(now.alias(f"_c_{s.name}"))
+    kept = [F.struct(*states).alias("carry")] if keep_states else []
+    return joined.select(*rows.columns, *outputs, *kept).drop("is_context")
+
+
+def carry_of(smoothers: list[Smoother]) -> str:
+    """The type of the states carried from bar to bar."""
+    return "struct<" + ", ".join(f"_c_{s.name}: double" for s in smoothers) + ">"
 
 
 def _reads(s: Smoother) -> list[tuple[Smoother, float]]:
@@ -125,7 +136,7 @@ def _within_blocks(rows: DataFrame, smoothers: list[Smoother]) -> DataFrame:
     return out
 
 
-def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
+def _carries(local: DataFrame, smoothers: list[Smoother], state: DataFrame | None) -> DataFrame:
     """(symbol, era) -> map from block to the states at the end of the block before.
 
     One row a block reaches the fold. A series has six blocks a year, so the
@@ -134,7 +145,8 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
     ends = local.where("_ends_block").groupBy("symbol").agg(
         F.sort_array(
             F.collect_list(
-                F.struct(
+                # A filter on usable bars would part this plan from the one it shares a shuffle with.
+                F.when(F.col("usable"), F.struct(
                     "block",
                     "era",
                     *[
@@ -146,14 +158,17 @@ def _carries(local: DataFrame, smoothers: list[Smoother]) -> DataFrame:
                             *[f"_g_{s.name}_{read.name}" for read, _ in _reads(s)],
                         )
                     ],
-                )
+                ))
             )
         ).alias("ends")
     )
-    fields = ", ".join(f"_c_{s.name}: double" for s in smoothers)
+    first = F.struct(*[F.lit(0.0).alias(f"_c_{s.name}") for s in smoothers])
+    if state is not None:
+        ends = ends.join(state.select("symbol", "carry"), "symbol", "left")
+        first = F.coalesce("carry", first)
     start = F.struct(
-        F.struct(*[F.lit(0.0).alias(f"_c_{s.name}") for s in smoothers]).alias("state"),
-        F.array().cast(f"array<struct<block: int, era: int, carry: struct<{fields}>>>").alias("seen"),
+        first.cast(carry_of(smoothers)).alias("state"),
+        F.array().cast(f"array<struct<block: int, era: int, carry: {carry_of(smoothers)}>>").alias("seen"),
     )
 
     def step(acc: Column, end: Column) -> Column:

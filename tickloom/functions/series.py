@@ -8,7 +8,9 @@ from earlier ones is small and is computed apart:
 * its *context*: the last ``lookback`` bars before it, for frames that reach back;
 * the number of bars before it, for positions counted from the first bar.
 
-The bars themselves are shuffled once, on (symbol, era).
+Bars that lack a needed price are *unusable*: they keep their rows, but in a
+window partition of their own, so that no frame meets them. The bars are read
+once and shuffled once, on (symbol, era).
 """
 
 from __future__ import annotations
@@ -29,13 +31,13 @@ ERA = ["symbol", "era"]
 
 
 def in_era() -> Window:
-    """All rows of one (symbol, era), by date. ``block`` rises with the date."""
-    return Window.partitionBy(*ERA).orderBy("block", "trade_date")
+    """All usable rows of one (symbol, era), by date. ``block`` rises with the date."""
+    return Window.partitionBy(*ERA, "usable").orderBy("block", "trade_date")
 
 
 def in_block() -> Window:
     """One two-month stretch of a series; needs the same sort as ``in_era``."""
-    return Window.partitionBy(*ERA, "block").orderBy("trade_date")
+    return Window.partitionBy(*ERA, "usable", "block").orderBy("trade_date")
 
 
 def _era() -> Column:
@@ -53,85 +55,78 @@ def is_complete(columns: Sequence[str]) -> Column:
 
 
 def in_order(
-    bars: DataFrame, values: Sequence[str], lookback: int = 0, needed: Sequence[str] | None = None
+    bars: DataFrame, values: Sequence[str], lookback: int = 0, needed: Sequence[str] | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Bars ready for windows: symbol, era, block, trade_date, values, n, is_context.
+    """Bars ready for windows: symbol, era, usable, block, trade_date, values, n, is_context.
 
-    ``n`` counts a symbol's bars from 1. Rows with ``is_context`` belong to an
-    earlier era; they serve the frames of this one and must be dropped after.
-    Bars with a NULL or NaN in ``needed`` (all ``values``, unless fewer are
-    named) are left out: they enter no frame and no count.
-    (symbol, trade_date) is unique.
+    ``n`` counts a symbol's usable bars from 1. Rows with ``is_context`` belong
+    to an earlier era; they serve the frames of this one and must be dropped
+    after. A bar with a NULL or NaN in ``needed`` (all ``values``, unless fewer
+    are named) is not usable: it enters no frame and no count and its ``n`` is
+    NULL. Rows without a symbol or a date are left out; (symbol, trade_date) is
+    unique.
+
+    ``state`` (symbol, n, tail) continues series: the number of usable bars
+    before the first of ``bars``, and the last of them.
     """
-    # Filters and the era are spelled out so that neither join side gets further
-    # NOT NULL filters of its own: both then read the same shuffle.
+    lookback = max(1, lookback)
     complete = is_complete(values if needed is None else needed)
-    usable = bars.select("symbol", "trade_date", *values).where(complete).withColumn("era", F.coalesce(_era(), F.lit(0)))
-    placed = usable.repartition(*ERA).withColumn("block", _block())
+    keyed = bars.select("symbol", "trade_date", *values).where(is_complete([]))
+    marked = keyed.withColumns({"era": F.coalesce(_era(), F.lit(0)), "usable": complete})
+    placed = marked.repartition(*ERA).withColumn("block", _block())
     bar = F.struct("trade_date", *values)
-    if lookback:
-        # Only an era's last bars are ever held in an array.
-        latest = Window.partitionBy(*ERA).orderBy(F.desc("trade_date"))
-        numbered = placed.withColumn("_from_end", F.row_number().over(latest))
-        size = F.count(F.lit(1)).over(Window.partitionBy(*ERA))
-        first = F.min("trade_date").over(Window.partitionBy(*ERA))
-        eras = (
-            numbered.withColumns({"bars_here": size, "first_day": first})
-            .where(F.col("_from_end") <= lookback)
-            .groupBy(*ERA)
-            .agg(
-                F.first("bars_here").alias("bars_here"),
-                F.first("first_day").alias("first_day"),
-                F.sort_array(F.collect_list(bar)).alias("tail"),
-            )
-        )
-    else:
-        # Counted before the shuffle: at most one row per task, symbol and era moves.
-        eras = usable.groupBy(*ERA).agg(F.count(F.lit(1)).alias("bars_here"))
-    history = Window.partitionBy("symbol").orderBy("era")
-    before = F.coalesce(
-        F.sum("bars_here").over(history.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    # Only an era's last bars are ever held in an array. Unusable ones are left out inside the
+    # aggregates: a filter would reach the scan and part this plan from the one it shares a shuffle with.
+    ends = placed.withColumns({
+        "_place": F.row_number().over(in_era()),
+        "_first": F.first("trade_date").over(in_era()),
+        "_ahead": F.lead("trade_date", lookback).over(in_era()),
+    }).where(F.col("_ahead").isNull())
+    eras = ends.groupBy(*ERA).agg(
+        F.coalesce(F.max(F.when(F.col("usable"), F.col("_place"))), F.lit(0)).alias("bars_here"),
+        F.min(F.when(F.col("usable"), F.col("_first"))).alias("first_day"),
+        F.sort_array(F.collect_list(F.when(F.col("usable"), bar))).alias("tail"),
     )
-    if not lookback:
-        starts = eras.select(*ERA, before.alias("bars_before"))
-        return placed.join(starts, ERA).select(
-            *ERA,
-            "block",
-            "trade_date",
-            *values,
-            (F.col("bars_before") + F.row_number().over(in_era())).cast("int").alias("n"),
-            F.lit(False).alias("is_context"),
+    history = Window.partitionBy("symbol").orderBy("era").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("bars_here").over(history), F.lit(0))
+    tails = F.flatten(F.collect_list("tail").over(history))
+    starts = eras.select(*ERA, "first_day", before.alias("bars_before"), tails.alias("context"))
+    if state is not None:
+        kept = F.transform("tail", lambda b: F.struct(b["trade_date"].alias("trade_date"), *[b[v].alias(v) for v in values]))
+        earlier = state.select("symbol", F.col("n").alias("_n"), kept.alias("_tail"))
+        starts = starts.join(earlier, "symbol", "left").select(
+            *ERA, "first_day",
+            (F.col("bars_before") + F.coalesce("_n", F.lit(0))).alias("bars_before"),
+            F.concat(F.coalesce("_tail", F.array().cast(eras.schema["tail"].dataType)), "context").alias("context"),
         )
-    # Every era holds a bar, so `lookback` eras back always suffice.
-    tails = F.flatten(F.collect_list("tail").over(history.rowsBetween(-lookback, -1)))
-    starts = eras.select(
-        *ERA, "first_day", before.alias("bars_before"), _last(tails, lookback).alias("context")
-    )
+    starts = starts.withColumn("context", last_of(F.col("context"), lookback))
     own = F.array(bar)
-    rows = F.when(
-        F.col("trade_date") == F.col("first_day"), F.concat("context", own)
-    ).otherwise(own)
+    opens = F.col("usable") & (F.col("trade_date") == F.col("first_day"))
+    rows = F.when(opens, F.concat("context", own)).otherwise(own)
     return (
         placed.join(starts, ERA)
         .select(
             *ERA,
+            "usable",
             "first_day",
             (F.col("bars_before") - F.size("context")).alias("bars_before"),
             F.explode(rows).alias("bar"),
         )
-        .select(*ERA, "first_day", "bars_before", "bar.*")
+        .select(*ERA, "usable", "first_day", "bars_before", "bar.*")
         .withColumn("block", _block())
         .select(
             *ERA,
+            "usable",
             "block",
             "trade_date",
             *values,
-            (F.col("bars_before") + F.row_number().over(in_era())).cast("int").alias("n"),
-            (F.col("trade_date") < F.col("first_day")).alias("is_context"),
+            F.when(F.col("usable"), F.col("bars_before") + F.row_number().over(in_era())).cast("int").alias("n"),
+            (F.col("usable") & (F.col("trade_date") < F.col("first_day"))).alias("is_context"),
         )
     )
 
 
-def _last(array: Column, k: int) -> Column:
+def last_of(array: Column, k: int) -> Column:
     """The last ``k`` items of an array, or all of a shorter one."""
     return F.slice(array, F.greatest(F.size(array) - k + 1, F.lit(1)), k)

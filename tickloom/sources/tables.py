@@ -95,6 +95,12 @@ def prices_in_months(spark: SparkSession, name: str, months: Iterable[int]) -> D
     return spark.table(name).where(F.col(MONTH).isin(sorted(months))).drop(MONTH)
 
 
+def prices_from(spark: SparkSession, name: str, first_day: date) -> DataFrame:
+    """The bars from a day on; only the folders of its month and later ones are read."""
+    month = first_day.year * 100 + first_day.month
+    return spark.table(name).where((F.col(MONTH) >= month) & (F.col("trade_date") >= F.lit(first_day))).drop(MONTH)
+
+
 def prices_on(spark: SparkSession, name: str, day: date) -> DataFrame:
     """The bars of one day; only its month's folder is read."""
     return prices_in_months(spark, name, [day.year * 100 + day.month]).where(F.col("trade_date") == F.lit(day))

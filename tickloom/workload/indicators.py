@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import indicators as ind
 from tickloom.plans.explore import explore
+from tickloom.plans.indicator_store import IndicatorStore, refresh
+from tickloom.sources import tables as t
 from tickloom.workload import fixtures as fx
 from tickloom.workload.registry import query
 from tickloom.workload.relational import CHOSEN, CHOSEN_SQL, FIRST_DAY
+from tickloom.workload.tables import new_namespace, price_table
 
 
 def rounded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -184,40 +188,57 @@ def ind_rsi(spark, sf):
     return rounded(ind.relative_strength(fx.bars(spark, sf)), ["rsi_14"])
 
 
-@query(
-    "indicator_bundle",
-    joined(
-        f"""SELECT p.symbol, p.trade_date AS "Date", p.open AS "Open", p.high AS "High", p.low AS "Low",
-                   p.close AS "Close", p.volume AS "Volume", round(f.sma, 4) AS "SMA_20",
-                   round(ema.y, 4) AS "EMA_20", round(f.sma + f.spread, 4) AS "BB_upper",
-                   round(f.sma, 4) AS "BB_middle", round(f.sma - f.spread, 4) AS "BB_lower",
-                   round(line.macd, 4) AS "MACD", round(signal.y, 4) AS "MACD_signal",
-                   round({HISTOGRAM}, 4) AS "MACD_hist", round(stoch.stoch_k, 4) AS "STOCH_k",
-                   round(stoch.stoch_d, 4) AS "STOCH_d", round(atr.y, 4) AS "ATR",
-                   round({RSI}, 4) AS "RSI_14"
-            FROM patchy_bars AS p
-            LEFT JOIN numbered AS b ON p.symbol = b.symbol AND p.trade_date = b.trade_date
-            LEFT JOIN frames AS f ON f.symbol = b.symbol AND f.n = b.n""",
-        "ema",
-        "line",
-        "signal",
-        "stoch",
-        "atr",
-        "up",
-        "down",
-    ),
+BUNDLE_SQL = joined(
+    f"""SELECT p.symbol, p.trade_date AS "Date", p.open AS "Open", p.high AS "High", p.low AS "Low",
+               p.close AS "Close", p.volume AS "Volume", round(f.sma, 4) AS "SMA_20",
+               round(ema.y, 4) AS "EMA_20", round(f.sma + f.spread, 4) AS "BB_upper",
+               round(f.sma, 4) AS "BB_middle", round(f.sma - f.spread, 4) AS "BB_lower",
+               round(line.macd, 4) AS "MACD", round(signal.y, 4) AS "MACD_signal",
+               round({HISTOGRAM}, 4) AS "MACD_hist", round(stoch.stoch_k, 4) AS "STOCH_k",
+               round(stoch.stoch_d, 4) AS "STOCH_d", round(atr.y, 4) AS "ATR",
+               round({RSI}, 4) AS "RSI_14"
+        FROM patchy_bars AS p
+        LEFT JOIN numbered AS b ON p.symbol = b.symbol AND p.trade_date = b.trade_date
+        LEFT JOIN frames AS f ON f.symbol = b.symbol AND f.n = b.n""",
+    "ema",
+    "line",
+    "signal",
+    "stoch",
+    "atr",
+    "up",
+    "down",
+)
+BUNDLE_CTES = {
     **series_ctes("whole_bars"),
-    frames=f"SELECT symbol, n, {BAND_MIDDLE} AS sma, {BAND_SPREAD} AS spread FROM numbered",
+    "frames": f"SELECT symbol, n, {BAND_MIDDLE} AS sma, {BAND_SPREAD} AS spread FROM numbered",
     **mean_cte("ema", "numbered", "close", 20, 2 / 21),
     **macd_ctes(),
     **STOCH_CTES,
     **mean_cte("atr", "moves", "true_range", 14, 1 / 14, first=2),
     **rsi_ctes(),
-)
+}
+
+
+@query("indicator_bundle", BUNDLE_SQL, **BUNDLE_CTES)
 def indicator_bundle(spark, sf):
     return rounded(ind.indicator_table(fx.patchy_bars(spark, sf)), ind.INDICATOR_COLUMNS[6:])
 
 
+@query("indicator_increment", BUNDLE_SQL, **BUNDLE_CTES)
+def indicator_increment(spark, sf):
+    """The stored table after history, one more year, and late bars of an earlier one."""
+    bars = fx.patchy_bars(spark, sf)
+    late = (F.year("trade_date") == fx.STORED_BEFORE.year - 1) & F.col("symbol").endswith("3")
+    recent = F.col("trade_date") >= F.lit(fx.STORED_BEFORE)
+    prices = price_table(spark, bars.where(~recent & ~late))
+    store = IndicatorStore(spark, new_namespace(spark)).create()
+    refresh(store, prices)
+    for batch, first in ((recent, fx.STORED_BEFORE), (late, date(fx.STORED_BEFORE.year - 1, 1, 1))):
+        t.append(t.by_month(bars.where(batch)), prices)
+        refresh(store, prices, first)
+    return rounded(store.indicators(), ind.INDICATOR_COLUMNS[6:])
+
+
 SIGNALS = f"""round({RSI}, 4) AS rsi_14, round({HISTOGRAM}, 4) AS macd_hist, {RSI} > 70 AS is_overbought,
               {RSI} < 30 AS is_oversold, {HISTOGRAM} > 0 AS is_rising"""
 
@@ -225,14 +246,16 @@ SIGNALS = f"""round({RSI}, 4) AS rsi_14, round({HISTOGRAM}, 4) AS macd_hist, {RS
 @query(
     "indicator_signals",
     joined(
-        f"SELECT b.symbol, b.trade_date, {SIGNALS} FROM numbered AS b", "line", "signal", "up", "down"
+        f"""SELECT p.symbol, p.trade_date, {SIGNALS} FROM patchy_bars AS p
+            LEFT JOIN numbered AS b ON p.symbol = b.symbol AND p.trade_date = b.trade_date""",
+        "line", "signal", "up", "down",
     ),
-    **series_ctes(),
+    **series_ctes("whole_bars"),
     **macd_ctes(),
     **rsi_ctes(),
 )
 def indicator_signals(spark, sf):
-    return rounded(ind.signals(fx.bars(spark, sf)), ["rsi_14", "macd_hist"])
+    return rounded(ind.signals(fx.patchy_bars(spark, sf)), ["rsi_14", "macd_hist"])
 
 
 @query(
@@ -240,8 +263,8 @@ def indicator_signals(spark, sf):
     """SELECT c.symbol, c.row_count, c.null_rows, c.first_day, c.last_day, c.min_close, c.max_close,
               c.avg_close, c.close_count, l.rsi_14, l.macd_hist, l.is_overbought, l.is_oversold, l.is_rising
        FROM counts AS c LEFT JOIN latest AS l ON c.symbol = l.symbol""",
-    chosen=f"SELECT * FROM bars WHERE symbol IN {CHOSEN_SQL}",
-    recent="SELECT * FROM chosen WHERE trade_date >= DATE '1998-01-01'",
+    chosen=f"SELECT * FROM patchy_bars WHERE symbol IN {CHOSEN_SQL}",
+    recent="SELECT * FROM chosen WHERE trade_date >= DATE '1998-01-01' AND close IS NOT NULL",
     **series_ctes("recent"),
     **macd_ctes(),
     **rsi_ctes(),
@@ -250,10 +273,12 @@ def indicator_signals(spark, sf):
                      min(trade_date) AS first_day, max(trade_date) AS last_day, min(close) AS min_close,
                      max(close) AS max_close, round(avg(close), 4) AS avg_close,
                      CAST(count(close) AS bigint) AS close_count FROM chosen GROUP BY symbol""",
-    latest=joined(f"SELECT b.symbol, {SIGNALS} FROM numbered AS b", "line", "signal", "up", "down")
-    + """ JOIN (SELECT symbol, max(n) AS n FROM numbered GROUP BY symbol) AS z
-          ON z.symbol = b.symbol AND z.n = b.n""",
+    latest=joined(
+        f"""SELECT z.symbol, {SIGNALS} FROM (SELECT symbol, max(trade_date) AS trade_date FROM chosen GROUP BY symbol) AS z
+            LEFT JOIN numbered AS b ON z.symbol = b.symbol AND z.trade_date = b.trade_date""",
+        "line", "signal", "up", "down",
+    ),
 )
 def explore_summary(spark, sf):
-    summary = explore(fx.bars(spark, sf), CHOSEN, FIRST_DAY)
+    summary = explore(fx.patchy_bars(spark, sf), CHOSEN, FIRST_DAY)
     return rounded(summary, ["avg_close", "rsi_14", "macd_hist"])
