@@ -21,6 +21,7 @@ from tickloom.plans.star import STAR_TABLES, Star, load_star
 from tickloom.sources import tables as t
 from tickloom.storage import fresh_path
 from tickloom.streaming.ingest import ingest_stream as stream
+from tickloom.streaming.stateful import ingest_stream_stateful as stateful_stream
 from tickloom.workload import fixtures as fx
 from tickloom.workload.dimensions import relisted
 from tickloom.workload.fixtures import RUN_DATE
@@ -133,6 +134,23 @@ def ingest_stream(spark, sf):
     return t.prices(spark, store.prices)
 
 
+@query("ingest_stream_stateful", INGESTED_SQL)
+def ingest_stream_stateful(spark, sf):
+    """Three runs: half of the symbols are listed, then all, some of whose rows land late, then nothing is new."""
+    store = filled_store(spark, sf)
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "stream")
+    raw, directory = fx.incoming(spark, sf), fx.directory(spark, sf)
+    even = F.substring("symbol", 4, 20).cast("int") % 2 == 0
+    early = even | F.coalesce(F.month("dt") < 10, F.lit(True))
+    raw.where(early).write.parquet(landing)
+    half = directory.where(even)
+    stateful_stream(store, half, landing, raw.schema, checkpoint, RUN_DATE, COMMITTED_AT, files_per_batch=3)
+    raw.where(~early).write.mode("append").parquet(landing)
+    for committed_at in (LATER, LATER):
+        stateful_stream(store, directory, landing, raw.schema, checkpoint, RUN_DATE, committed_at)
+    return t.prices(spark, store.prices)
+
+
 @query(
     "upsert_prices",
     f"""SELECT {PRICES} FROM stored_prices AS s
