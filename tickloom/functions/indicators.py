@@ -9,11 +9,11 @@ look-back is not yet filled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scan import Smoother, ema, smooth, wilder
-from tickloom.functions.series import in_era, in_order
+from tickloom.functions.series import ERA, in_era, in_order
 from tickloom.schemas import OHLCV
 
 # The indicator table's column names and order.
@@ -209,6 +209,30 @@ def indicator_table(bars: DataFrame) -> DataFrame:
     return named_table(indicator_rows(bars))
 
 
+def rolling_extremes(bars: DataFrame, length: int) -> DataFrame:
+    """The lowest low and the highest high of the last ``length`` bars, NULL before there are as many.
+
+    Constant work a row, however long the frame: bars are cut into blocks of
+    ``length``, and a frame is the end of one block and the start of the next.
+    So its extreme is that of two running ones, from the block's end backwards
+    and from its start onwards. A sliding frame would hold ``length`` bars at
+    every row.
+    """
+    rows = in_order(bars, ["high", "low"], length - 1)
+    rows = rows.withColumn("_place", F.row_number().over(in_era()) - 1)
+    rows = rows.withColumn("_part", F.floor(F.col("_place") / length))
+    block = Window.partitionBy(*ERA, "usable", "_part")
+    running = {"low": F.min, "high": F.max}
+    ends = {"_back": block.orderBy(F.desc("_place")), "_on": block.orderBy("_place")}
+    for way, order in ends.items():
+        frame = order.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({f"{way}_{c}": f(c).over(frame) for c, f in running.items()})
+    combined = {"low": F.least, "high": F.greatest}
+    opened = {c: F.lag(f"_back_{c}", length - 1).over(in_era()) if length > 1 else F.col(f"_back_{c}") for c in running}
+    columns = {f"{c}_{length}": F.when(F.col("n") >= length, f(opened[c], F.col(f"_on_{c}"))) for c, f in combined.items()}
+    return _own(rows.withColumns(columns), "low", "high", *columns)
+
+
 def signals(bars: DataFrame, overbought: float = 70.0, oversold: float = 30.0) -> DataFrame:
     """RSI thresholds and the sign of the MACD histogram as flags, a row for every bar; NULL in, NULL out."""
     rows = _with_moves(in_order(bars, ["close"], 1))

@@ -54,3 +54,30 @@ def with_position_in(
     return placed.join(starts, same_group).select(
         *df.columns, (F.col("_overall") - F.col("_start") + 1).alias(name)
     )
+
+
+def with_running_sum(df: DataFrame, weight: str, *order_by: str | Column, name: str = "running") -> DataFrame:
+    """Add the sum of ``weight`` over all rows up to each one, in the order of ``order_by``.
+
+    As ``with_position``: a distributed sort, sums within its partitions, and the
+    sums of the partitions before. A NULL weight counts as 0. ``order_by`` must
+    be unique for the result to be reproducible; pass narrow frames.
+    """
+    ready_for_checkpoint(df.sparkSession)
+    ordered = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    own = F.coalesce(F.col(weight), F.lit(0))
+    marked = ordered.withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    # One row per partition: as many as the sort had tasks, not as the data has rows.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        marked.groupBy("_part")
+        .agg(F.sum(own).alias("_sum"))
+        .select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    )
+    # A partition of the sort is one task's share of the rows.
+    within = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        marked.withColumn("_within", F.sum(own).over(within))
+        .join(F.broadcast(offsets), "_part")
+        .select(*df.columns, (F.col("_before") + F.col("_within")).alias(name))
+    )

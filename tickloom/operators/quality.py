@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import is_missing
+from tickloom.operators.positions import with_position
 from tickloom.schemas import OHLC, OHLCV
 
 # Columns a symbol directory must have, and its ETF marks.
@@ -182,3 +183,27 @@ def integrity_report(
     )
     checks = [F.col(f"`{c}`") for c in totals.columns]
     return totals.unpivot([], checks, "check_name", "violations")
+
+
+def missing_intervals(bars: DataFrame, calendar: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
+    """(symbol, first_day, last_day, days): the runs of trading days of ``calendar`` without a bar.
+
+    Trading days are numbered, bars take the number of their day, and a jump in
+    a symbol's numbers is a gap; what lies before its first and after its last
+    bar counts too. Symbols times days are never made: a symbol has as many
+    rows as bars. Symbols of ``symbols`` (by default those of the bars) without
+    any bar lack the whole calendar. Bars on other days fill nothing.
+    """
+    days = with_position(calendar.select("trade_date").distinct(), "trade_date", name="day_no")
+    known = (bars if symbols is None else symbols).select("symbol").where("symbol IS NOT NULL").distinct()
+    numbered = bars.select("symbol", "trade_date").join(days, "trade_date").select("symbol", "day_no").distinct()
+    # The end of the calendar as one more row of every symbol, so that the last gap is one like the others.
+    end = days.agg((F.coalesce(F.max("day_no"), F.lit(0)) + 1).alias("day_no"))
+    held = numbered.join(known, "symbol", "left_semi").unionByName(known.join(F.broadcast(end)))  # one number
+    # One bar a day: a symbol has at most as many rows as the calendar has days.
+    before = F.coalesce(F.lag("day_no").over(Window.partitionBy("symbol").orderBy("day_no")), F.lit(0))
+    gaps = held.select("symbol", (before + 1).alias("first_no"), (F.col("day_no") - 1).alias("last_no")).where("last_no >= first_no")
+    first, last = (days.select(F.col("day_no").alias(f"{e}_no"), F.col("trade_date").alias(f"{e}_day")) for e in ("first", "last"))
+    return gaps.join(first, "first_no").join(last, "last_no").select(
+        "symbol", "first_day", "last_day", (F.col("last_no") - F.col("first_no") + 1).alias("days")
+    )

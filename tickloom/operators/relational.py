@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import clean_symbol, is_blank, request_period
-from tickloom.operators.positions import with_position, with_position_in
+from tickloom.operators.positions import with_position, with_position_in, with_running_sum
 from tickloom.schemas import OHLCV, PRICE_COLUMNS, PRICE_KEY
 
 # -- projections and filters -------------------------------------------------
@@ -216,6 +216,21 @@ def batch_assignment(symbols: DataFrame, size: int = 100) -> DataFrame:
     )
 
 
+def balanced_batches(symbols: DataFrame, bound: int, weight: str = "days") -> DataFrame:
+    """Every symbol with a batch, cut in symbol order where the running weight crosses a multiple of ``bound``.
+
+    ``symbols`` has symbol and a weight, for instance the days it is behind, so
+    batches are of about equal work whatever a symbol needs. A batch weighs less
+    than ``bound`` plus its last symbol, and one symbol is never split. Symbols
+    of weight 0 or NULL go with the next one.
+    """
+    if bound < 1:
+        raise ValueError("a batch needs a bound of at least 1")
+    summed = with_running_sum(symbols.select("symbol", weight), weight, "symbol")
+    start = F.col("running") - F.coalesce(F.col(weight), F.lit(0))
+    return summed.select("symbol", weight, F.floor(start / bound).cast("int").alias("batch_id"))
+
+
 # -- order and samples -------------------------------------------------------
 
 

@@ -188,6 +188,18 @@ def ind_rsi(spark, sf):
     return rounded(ind.relative_strength(fx.bars(spark, sf)), ["rsi_14"])
 
 
+@query(
+    "rolling_extremes",
+    f"""SELECT p.symbol, p.trade_date, p.low, p.high, w.low_250, w.high_250 FROM holed AS p LEFT JOIN (
+          SELECT symbol, trade_date, {full('min', 'low', 250)} AS low_250, {full('max', 'high', 250)} AS high_250
+          FROM holed WHERE high IS NOT NULL) AS w ON p.symbol = w.symbol AND p.trade_date = w.trade_date""",
+    holed="SELECT symbol, trade_date, low, CASE WHEN volume % 23 <> 0 THEN high END AS high FROM bars",
+)
+def rolling_extremes(spark, sf):
+    holed = fx.bars(spark, sf).withColumn("high", F.when(F.col("volume") % 23 != 0, F.col("high")))
+    return ind.rolling_extremes(holed, 250)
+
+
 BUNDLE_SQL = joined(
     f"""SELECT p.symbol, p.trade_date AS "Date", p.open AS "Open", p.high AS "High", p.low AS "Low",
                p.close AS "Close", p.volume AS "Volume", round(f.sma, 4) AS "SMA_20",

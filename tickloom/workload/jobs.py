@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators import enrich
+from tickloom.operators.positions import with_position
 from tickloom.operators.relational import (
     distinct_symbols,
     missing_sector,
@@ -18,6 +19,7 @@ from tickloom.plans.backfill import backfill_to_fixpoint
 from tickloom.plans.flat import FlatStore
 from tickloom.plans.flat import flat_load as load_flat
 from tickloom.plans.star import STAR_TABLES, Star, load_star
+from tickloom.sources import provider
 from tickloom.sources import tables as t
 from tickloom.storage import fresh_path
 from tickloom.streaming.ingest import ingest_stream as stream
@@ -74,6 +76,42 @@ def enrich_sector(spark, sf):
     return enrich.enrich_sector(missing_sector(fx.metadata(spark, sf)), fx.sector_lookup(spark, sf))
 
 
+@query(
+    "fetch_source",
+    """SELECT i.symbol, i.dt, i.open, i.high, i.low, i.close, i.volume, CAST(w.no AS int) AS request_no, 'ok' AS status,
+              CAST(CASE WHEN w.no = 1 THEN 2 ELSE 1 END AS int) AS attempts,
+              CASE WHEN w.no = 1 THEN 'ConnectionError: provider refused' END AS error
+       FROM (SELECT upper(symbol) AS symbol, dt, open, high, low, close, volume FROM incoming WHERE dt IS NOT NULL) AS i
+       JOIN wanted AS w ON w.symbol = i.symbol
+       WHERE w.no <> 0 AND i.dt > w.last_update AND i.dt >= DATE '2000-06-01'
+       UNION ALL SELECT symbol, NULL, NULL, NULL, NULL, NULL, NULL, 0, 'failed', 3, 'ConnectionError: provider refused' FROM wanted WHERE no = 0""",
+    wanted="""SELECT symbol, last_update, floor((row_number() OVER (ORDER BY symbol) - 1) / 5) AS no
+              FROM (SELECT symbol, coalesce(last_update - CAST(200 AS int), DATE '1990-01-01') AS last_update FROM metadata) AS m""",
+)
+def fetch_source(spark, sf):
+    """Landed files read as a provider: the first request fails for good, the second once."""
+    landed, plans = fresh_path(spark, "landed"), fresh_path(spark, "plans")
+    rows = fx.incoming(spark, sf).where("dt IS NOT NULL")
+    by_symbol = rows.withColumn("symbol", F.upper("symbol")).repartition("symbol")
+    by_symbol.write.partitionBy("symbol").parquet(landed)
+    held_since = F.coalesce(F.date_sub("last_update", 200), F.lit(date(1990, 1, 1)))
+    wanted = fx.metadata(spark, sf).select("symbol", held_since.alias("after"))
+    numbered = with_position(wanted, "symbol").withColumn("request_no", F.floor((F.col("position") - 1) / 5))
+    # Symbols with different days get partitions of their own within a request number.
+    requests = numbered.groupBy("request_no", "after").agg(F.sort_array(F.collect_list("symbol")).alias("symbols"))
+    provider.write_plan(requests, plans, "2001-01-02")
+    answer = provider.landed_files(landed)
+
+    def fetch(request):
+        if request.request_no == 0 or (request.request_no == 1 and request.attempt == 1):
+            raise ConnectionError("provider refused")
+        return answer(request)
+
+    provider.register(spark, "landed_provider", fetch)
+    fetched = spark.read.format("landed_provider").option("requests", plans).load()
+    return fetched.where((F.col("dt") >= F.lit(date(2000, 6, 1))) | (F.col("status") == "failed"))
+
+
 INGESTED_SQL = f"SELECT {PRICES} FROM stored_prices UNION ALL SELECT {PRICES} FROM ingested"
 
 

@@ -99,3 +99,20 @@ def integrity_report(spark, sf):
     rows = fx.incoming(spark, sf).select(F.upper("symbol").alias("symbol"), F.col("dt").alias("trade_date"), *OHLCV)
     references = {"symbol": fx.symbols(spark, sf), "trade_date": fx.trading_days(spark, sf)}
     return q.integrity_report(rows, ["symbol", "trade_date"], ["trade_date", "close"], references)
+
+
+@query(
+    "missing_intervals",
+    """SELECT symbol, min(trade_date) AS first_day, max(trade_date) AS last_day, CAST(count(*) AS bigint) AS days
+       FROM (SELECT *, day_no - row_number() OVER (PARTITION BY symbol ORDER BY day_no) AS island
+             FROM (SELECT s.symbol, d.trade_date, d.day_no
+                   FROM (SELECT symbol FROM directory) AS s
+                   CROSS JOIN (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS day_no FROM calendar) AS d
+                   WHERE NOT EXISTS (SELECT 1 FROM stored_prices AS b
+                                     WHERE b.symbol = s.symbol AND b.trade_date = d.trade_date)) AS m) AS i
+       GROUP BY symbol, island""",
+    calendar=CALENDAR_SQL,
+)
+def missing_intervals(spark, sf):
+    listed = fx.directory(spark, sf).select("symbol")
+    return q.missing_intervals(fx.stored_prices(spark, sf), trading_calendar(spark, sf), listed)

@@ -10,8 +10,9 @@ from tickloom.functions import scalars as s
 from tickloom.functions.indicators import numbered_series
 from tickloom.operators import relational as r
 from tickloom.operators.dimensions import absent_keys, fact_keys
-from tickloom.sources.shape import enforce_schema, flatten_names, wide_to_long
 from tickloom.schemas import OHLCV, PRICE_COLUMNS, schema_for
+from tickloom.sources.shape import enforce_schema, flatten_names, wide_to_long
+from tickloom.sources.variants import as_variant, variant_to_long
 from tickloom.workload import fixtures as fx
 from tickloom.workload.fixtures import RUN_DATE
 from tickloom.workload.registry import query
@@ -258,6 +259,23 @@ def distinct_symbols(spark, sf):
     return r.distinct_symbols(fx.incoming(spark, sf))
 
 
+def _work(spark, sf):
+    """Listed symbols with the days they are behind, ten years for a new one."""
+    requested = r.symbols_with_metadata(listing(spark, sf), fx.metadata(spark, sf))
+    days = F.coalesce(s.days_behind(RUN_DATE, F.col("last_update")), F.lit(3650))
+    return requested.select("symbol", days.cast("bigint").alias("days"))
+
+
+@query(
+    "balanced_batches",
+    """SELECT symbol, days, CAST(floor((sum(days) OVER (ORDER BY symbol) - days) / 10000.0) AS int) AS batch_id
+       FROM (SELECT l.symbol, CAST(coalesce(date_diff('day', m.last_update, DATE '2001-01-02'), 3650) AS bigint) AS days
+             FROM listing AS l LEFT JOIN metadata AS m ON l.symbol = m.symbol) AS w""",
+)
+def balanced_batches(spark, sf):
+    return r.balanced_batches(_work(spark, sf), 10_000)
+
+
 @query(
     "request_plan",
     """SELECT period, request_no, CAST(count(*) AS bigint) AS symbol_count,
@@ -363,6 +381,21 @@ def union_distinct(spark, sf):
 # -- shapes ------------------------------------------------------------------
 
 
+@query(
+    "variant_to_long",
+    "SELECT symbol, trade_date, close, CASE WHEN volume % 5 <> 0 THEN volume END AS volume FROM bars",
+)
+def variant_to_long_(spark, sf):
+    """Grids of fifty tickers a record, as text: no column or ticker is named."""
+    bars = fx.bars(spark, sf).withColumn("volume", F.when(F.col("volume") % 5 != 0, F.col("volume")))
+    block = F.floor(F.substring("symbol", 4, 20).cast("int") / 50)
+    cell = F.struct("symbol", F.struct("close", "volume", F.lit("USD").alias("currency")))
+    records = bars.groupBy("trade_date", block.alias("grid")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(cell))).alias("record")
+    )
+    return variant_to_long(as_variant(records), {"close": "double", "volume": "bigint"})
+
+
 @query(
     "wide_to_long",
     """SELECT symbol, trade_date, close, volume FROM bars WHERE NOT (close IS NULL AND volume IS NULL)""",

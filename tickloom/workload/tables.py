@@ -7,9 +7,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tickloom.operators.relational import union_all
+from tickloom.operators import digest
+from tickloom.operators.relational import clean_rows, normalize_prices, union_all
 from tickloom.schemas import OHLCV, PRICE_COLUMNS, schema_for
-from tickloom.sources import files, ledger
+from tickloom.sources import buckets, files, ledger
 from tickloom.sources import tables as t
 from tickloom.storage import fresh_path
 from tickloom.workload import fixtures as fx
@@ -124,6 +125,43 @@ def migrate_tables(spark, sf):
     )
 
 
+@query(
+    "migrate_verified",
+    """SELECT 'orders' AS table_name, CAST(part AS varchar) AS part, n AS rows_source, n + (part = changed - 3)::int AS rows_target,
+              part NOT IN (changed, changed - 3) AS is_equal
+       FROM (SELECT CAST(floor(o_orderkey / 1000) AS bigint) AS part, CAST(count(*) AS bigint) AS n FROM orders GROUP BY 1),
+            (SELECT CAST(floor(max(o_orderkey) / 1000) AS bigint) - 3 AS changed FROM orders)
+       UNION ALL
+       SELECT 'customer', CAST(CAST(floor(c_custkey / 1000) AS bigint) AS varchar), count(*), count(*), true
+       FROM customer GROUP BY floor(c_custkey / 1000)""",
+)
+def migrate_verified(spark, sf):
+    """Two tables; in the copy of one, a row is changed in one key range and one repeated in another."""
+    sources = {name: fx.table(spark, sf, name) for name in ("orders", "customer")}
+    parts = {"orders": F.floor(F.col("o_orderkey") / 1000), "customer": F.floor(F.col("c_custkey") / 1000)}
+    targets, report = digest.migrate_verified(spark, sources, fresh_path(spark, "verified"), parts)
+    changed = sources["orders"].agg(F.floor(F.max("o_orderkey") / 1000)).first()[0] - 3
+    copy = spark.read.parquet(targets["orders"])
+    in_part = copy.where(parts["orders"] == changed).agg(F.max("o_orderkey")).first()[0]
+    planted = copy.withColumn("o_orderpriority", F.when(F.col("o_orderkey") != in_part, F.col("o_orderpriority")))
+    other = copy.where(parts["orders"] == changed - 3).orderBy("o_orderkey").limit(1)
+    again = digest.verified(sources["orders"], planted.unionByName(other), parts["orders"])
+    named = again.select(F.lit("orders").alias("table_name"), F.col("part").cast("string").alias("part"), "rows_source", "rows_target", "is_equal")
+    return named.unionByName(report.where("table_name = 'customer'"))
+
+
+@query(
+    "new_bars_bucketed",
+    """SELECT c.symbol, c.trade_date, c.open, c.high, c.low, c.close, c.volume FROM clean_incoming AS c
+       WHERE NOT EXISTS (SELECT 1 FROM stored_prices AS s WHERE s.symbol = c.symbol AND s.trade_date = c.trade_date)""",
+)
+def new_bars_bucketed(spark, sf):
+    name = f"{new_namespace(spark)}.bucketed"
+    buckets.create_bucketed(spark, name, 8)
+    buckets.append_bucketed(fx.stored_prices(spark, sf), name)
+    return buckets.new_bars_bucketed(normalize_prices(clean_rows(fx.incoming(spark, sf), "dt"), "dt"), name)
+
+
 # -- tables ------------------------------------------------------------------
 
 
