@@ -45,6 +45,18 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in language_id.identify(docs, none).collect()} == {"und"}
 
 
+def test_learning_and_identifying_at_once_is_the_same(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    held = F.col("doc_id") % 4 == 0
+    model = language_id.fit(docs.where(~held))
+    apart = language_id.identify(docs, model).select("doc_id", *language_id._NEW)
+    label = F.when(~held, F.col("lang"))
+    once = language_id.learn_and_identify(docs, label).select("doc_id", *language_id._NEW)
+    assert Counter(map(tuple, apart.collect())) == Counter(map(tuple, once.collect()))
+    rows = language_id.learn_and_identify(docs.limit(3).withColumn("_key", F.lit("mine")), F.lit(None).cast("string")).collect()
+    assert {(r.lang_pred, r._key) for r in rows} == {("und", "mine")}
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams = {"aabab": 3, "abaab": 1, "babab": 2, "aabaa": 1}
     model = language_id.Model(["x"], alphabet=3)
@@ -59,6 +71,7 @@ def test_kneser_ney_probabilities_sum_to_one():
 
 def test_every_gram_counts_and_scores_agree_with_brute_force(spark, monkeypatch):
     monkeypatch.setattr(language_id, "_KEPT_WORDS", 64)  # most words are joined
+    monkeypatch.setattr(language_id, "_BLOCK_WINDOWS", 1 << 16)  # and scored in several blocks
     rng = random.Random(8)
     letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
     rows = [("a", " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(80))) for _ in range(300)]

@@ -9,11 +9,13 @@ number per language.
 
 A text is a sequence of words, each preceded by four start marks and followed
 by an end mark; a character's history does not reach beyond its word. So the
-score of a word is computed once, by a join of its windows with the model, and
-added up per text. Scores are whole numbers of 1/SCALE nats, so sums do not
-depend on their order. The scores of the most common words (at most
-``_KEPT_WORDS``) are sent to every task; this only saves their rows a shuffle,
-all other words are joined.
+window of a character is scored once, by joins with the model, a word once, from
+its windows, and a text from its words. Window scores are sorted arrays of
+hashes, searched by binary search; they go to the tasks in blocks of at most
+``_BLOCK_WINDOWS`` windows, and what a word has in each block is added up. Scores
+are whole numbers of 1/SCALE nats, so sums do not depend on their order. The
+scores of the most common words (at most ``_KEPT_WORDS``) are sent to every task;
+this only saves their rows a shuffle, all other words are joined.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import received, shared, sliced, texts, travels, written
+from tickloom.llm.common import received, shared, sliced, texts, travels, unused, written
+from tickloom.storage import Scratch, remove_folder
 
 travels(__name__)
 
@@ -42,7 +45,8 @@ SCALE = 1 << 20
 BUCKETS = 64  # hash buckets of words, each with the same share of the common ones
 BANDS = (0, 64, 256, 1024)  # lower ends of the length bands of the calibration
 _COUNTED_WORDS = 200_000  # counts kept by a task, a bound of its memory
-_KEPT_WORDS = 1 << 16  # common words whose scores every task has
+_BLOCK_WINDOWS = 1 << 20  # windows whose scores a task holds at once
+_KEPT_WORDS = 1 << 17  # common words whose scores every task has
 _KEPT_SCORES = 1 << 22  # and at most so many numbers
 _WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -106,7 +110,6 @@ class Model:
     levels: list[Level] = field(default_factory=list)  # order 1 first; only of a model in memory
     table: DataFrame | None = None  # (key, v): d and a gram, or g and a context, with one number per language
     first: list[float] = field(default_factory=list)  # back-off weight of the empty context per language
-    common: dict[str, list[int]] = field(default_factory=dict)  # scores of common words
     alphabet: int = 1
     limits: np.ndarray | None = None  # per language and length band: the highest accepted cross-entropy
 
@@ -196,11 +199,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def word_counts(labelled: DataFrame) -> DataFrame:
-    """(lang, word, n) over all labelled rows, written."""
-    words = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n) over all rows (lang, text); a NULL language is one of its own."""
+    words = docs.where("text IS NOT NULL").select("lang", "text")
     counted = words.mapInArrow(_count_words, "lang string, word string, n long")
-    return written(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _grams(word: str) -> Column:
@@ -217,46 +220,44 @@ def _vectors(rows: DataFrame, languages: int) -> DataFrame:
     return known.select("key", F.transform(places, lambda i: F.coalesce(F.try_element_at("m", i), other)).alias("v"))
 
 
-def _fill(model: Model, words: DataFrame) -> None:
+def _fill(model: Model, words: DataFrame, scratch: Scratch, keep: bool) -> None:
     """The model's table, from the counts of all grams of all orders."""
     known = F.array(*map(F.lit, model.languages))
     k = (F.array_position(known, F.col("lang")) - 1).cast("int").alias("k")
-    frame = words.select(k, "n", F.explode(_grams("word")).alias("gram")).groupBy("k", "gram").agg(F.sum("n").alias("n"))
-    parts = []
-    for order in range(ORDER, 0, -1):
-        frame = written(frame, "grams")
-        stats = frame.groupBy("k").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
-        discounts = [0.5] * len(model.languages)
-        for r in stats.collect():
-            discounts[r.k] = min(0.9, max(0.1, r.once / (r.once + 2 * r.twice))) if r.once else 0.5
-        discount = F.get(F.array(*map(F.lit, discounts)), F.col("k"))
-        placed = frame.withColumn("context", F.col("gram").substr(1, order - 1))
-        contexts = placed.groupBy("k", "context").agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("size"))
-        weight = (discount * F.col("size") / F.col("sum")).alias("v")
-        if order > 1:
-            parts.append(contexts.select(F.concat(F.lit("g"), "context").alias("key"), "k", weight))
-        else:
-            model.first = [r.v for r in contexts.select("k", weight).orderBy("k").collect()]
-            model.alphabet = frame.select("gram").distinct().count()
-        probability = ((F.col("n") - discount) / F.col("sum")).alias("v")
-        joined = placed.join(contexts, ["k", "context"])
-        parts.append(joined.select(F.concat(F.lit("d"), "gram").alias("key"), "k", probability))
-        # The lower order counts in how many different contexts a gram was seen.
-        frame = frame.select("k", F.col("gram").substr(2, ORDER).alias("gram")).groupBy("k", "gram").agg(F.count(F.lit(1)).alias("n"))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    model.table = written(_vectors(rows, len(model.languages)), "model")
-
-
-def score_words(words: DataFrame, model: Model) -> DataFrame:
-    """(word, s) of distinct words: log p in every language, in 1/SCALE nats."""
+    longest = words.select(k, "n", F.explode(_grams("word")).alias("gram")).groupBy("k", "gram").agg(F.sum("n").alias("n"))
+    longest = scratch.stage(longest.select("k", F.lit(ORDER).alias("o"), "gram", "n"), "grams")
+    # A lower order counts in how many different contexts a gram was seen: the different grams one
+    # character longer that end in it.
+    ends = F.array(*[F.struct(F.lit(o).alias("o"), F.right("gram", F.lit(o + 1)).alias("wide")) for o in range(1, ORDER)])
+    wide = longest.select("k", F.explode(ends).alias("e")).select("k", "e.o", "e.wide").distinct()
+    lower = wide.groupBy("k", "o", F.col("wide").substr(2, ORDER).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    orders = scratch.stage(longest.unionByName(lower), "orders")
+    stats = orders.groupBy("k", "o").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+    discounts = [0.5] * (len(model.languages) * ORDER)
+    for r in stats.collect():
+        discounts[r.k * ORDER + r.o - 1] = min(0.9, max(0.1, r.once / (r.once + 2 * r.twice))) if r.once else 0.5
+    discount = F.get(F.array(*map(F.lit, discounts)), F.col("k") * ORDER + F.col("o") - 1)
+    placed = orders.withColumn("context", F.left("gram", F.col("o") - 1))
+    contexts = placed.groupBy("k", "o", "context").agg(F.sum("n").alias("sum"), F.count(F.lit(1)).alias("size"))
+    contexts = scratch.stage(contexts, "contexts")
+    weight = (discount * F.col("size") / F.col("sum")).alias("v")
+    model.first = [r.v for r in contexts.where("o = 1").select("k", weight).orderBy("k").collect()]
+    model.alphabet = orders.where("o = 1").select("gram").distinct().count()
+    probability = ((F.col("n") - discount) / F.col("sum")).alias("v")
+    grams = placed.join(contexts, ["k", "o", "context"]).select(F.concat(F.lit("d"), "gram").alias("key"), "k", probability)
+    weights = contexts.where("o > 1").select(F.concat(F.lit("g"), "context").alias("key"), "k", weight)
+    table = _vectors(grams.unionByName(weights), len(model.languages))
+    model.table = written(table, "model") if keep else scratch.stage(table, "model")
+
+
+def window_scores(words: DataFrame, model: Model) -> DataFrame:
+    """(w, lp) of the different windows of ``words``: log p of the last character in every language, in 1/SCALE nats."""
     places = F.sequence(F.lit(0), F.lit(len(model.languages) - 1))
-    windows = words.select("word", F.explode(_grams("word")).alias("w"))
     w = F.col("w")
     keys = [F.concat(F.lit("d"), w.substr(ORDER - o + 1, o)) for o in range(1, ORDER + 1)]
     keys += [F.concat(F.lit("g"), w.substr(ORDER - o + 1, o - 1)) for o in range(2, ORDER + 1)]
-    wanted = windows.select("w").distinct().select("w", F.posexplode(F.array(*keys)).alias("slot", "key"))
+    windows = words.select(F.explode(_grams("word")).alias("w")).distinct()
+    wanted = windows.select("w", F.posexplode(F.array(*keys)).alias("slot", "key"))
     met = wanted.join(model.table, "key", "left").groupBy("w").agg(
         F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m")
     )
@@ -270,40 +271,92 @@ def score_words(words: DataFrame, model: Model) -> DataFrame:
             p = F.coalesce(F.get(f"v{o - 1}", i), F.lit(0.0)) + backoff * p
         return F.round(F.log(p) * SCALE).cast("long")
 
-    scored = met.select("w", *parts).select("w", F.transform(places, log_p).alias("lp"))
-    sums = F.array(*[F.sum(F.get("lp", F.lit(i))) for i in range(len(model.languages))])
-    return windows.join(scored, "w").groupBy("word").agg(sums.alias("s"))
+    return met.select("w", *parts).select("w", F.transform(places, log_p).alias("lp"))
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    """A list column with the rows of a matrix."""
+    offsets = np.arange(len(matrix) + 1) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(matrix.reshape(-1), pa.int64()))
+
+
+def _summed(handle):
+    """What the windows of each word within the block of sorted hashes add up to; words without a letter are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, scores = received(handle)
+        for batch in sliced(batches, 16_384):
+            words = [w for w in batch.column(0).to_pylist()]
+            kept = np.fromiter(map(has_letter, words), dtype=bool, count=len(words))
+            if not kept.any():
+                continue
+            codes, sizes = _windows([w for w, k in zip(words, kept) if k])
+            at, known = _found(keys, _hashes(codes))
+            sums = np.vstack([np.zeros((1, scores.shape[1]), dtype=np.int64), np.cumsum(scores[at] * known[:, None], axis=0)])
+            ends = np.cumsum(sizes)
+            out = batch.filter(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([*out.columns, _lists(sums[ends] - sums[ends - sizes])], names=["word", "n", "s"])
+
+    return run
+
+
+def score_words(words: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
+    """(word, n, s) of distinct words (word, n) with a letter: log p in every language, in 1/SCALE nats; written."""
+    languages = len(model.languages)
+    windows = scratch.stage(window_scores(words, model), "windows")
+    blocks = max(1, -(-windows.count() * languages // (4 * _BLOCK_WINDOWS)))
+    parts = []
+    for block in range(blocks):
+        rows = windows.where(F.pmod(F.xxhash64("w"), F.lit(blocks)) == block).toArrow()  # about _BLOCK_WINDOWS rows
+        keys = _keys(rows.column("w").to_pylist(), ORDER)
+        order = np.argsort(keys)
+        scores = rows.column("lp").combine_chunks().flatten().to_numpy().reshape(len(keys), languages)[order]
+        handle = shared(words.sparkSession, (keys[order], scores))
+        parts.append(words.select("word", "n").mapInArrow(_summed(handle), "word string, n long, s array<long>"))
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.union(part)
+    if blocks > 1:
+        sums = F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(languages)])
+        scored = scored.groupBy("word").agg(F.any_value("n").alias("n"), sums.alias("s"))
+    return scratch.stage(scored, "scores")
 
 
-def _common(words: DataFrame, model: Model) -> dict[str, list[int]]:
-    share = max(1, min(_KEPT_WORDS, _KEPT_SCORES // len(model.languages)) // BUCKETS)
-    counts = words.groupBy("word").agg(F.sum("n").alias("n"))
+def _common(scored: DataFrame, model: Model) -> tuple[list[str], np.ndarray]:
+    """The most common words with their scores: a fixed number of rows."""
+    languages = len(model.languages)
+    share = max(1, min(_KEPT_WORDS, _KEPT_SCORES // languages) // BUCKETS)
     bucket = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS))).orderBy(F.desc("n"), "word")
-    top = counts.withColumn("_rank", F.row_number().over(bucket)).where(F.col("_rank") <= share)
-    return {r.word: r.s for r in score_words(top.select("word"), model).toLocalIterator() if has_letter(r.word)}
+    top = scored.withColumn("_rank", F.row_number().over(bucket)).where(F.col("_rank") <= share).select("word", "s").toArrow()
+    words = top.column("word").to_pylist()
+    return words, top.column("s").combine_chunks().flatten().to_numpy().reshape(len(words), languages).astype(np.int64)
 
 
-def fit(labelled: DataFrame, calibration_rows: int = 20_000, slack: float = 1.0) -> Model:
-    """Train on the columns ``lang`` and ``text`` of all labelled rows, then calibrate.
+def _model(words: DataFrame, scratch: Scratch, keep: bool) -> Model:
+    """The model of the counted words that have a language, without limits; ``keep`` its table beyond the scratch rows."""
+    known = words.where("lang IS NOT NULL")
+    model = Model(sorted(r.lang for r in known.select("lang").distinct().collect()))
+    if model.languages:
+        _fill(model, known, scratch, keep)
+    return model
 
-    Rows without a language or a text are no training rows; without any the
-    model knows no language and every text is ``und``. Calibration scores a
-    bounded sample (about ``calibration_rows`` rows, chosen by a hash of the
-    text) and takes, for each language and length band, the 99.9 % quantile of
-    the cross-entropy plus ``slack`` nats as the highest accepted one: ordinary
-    texts with codes or foreign passages in them stay well below it.
+
+def _totals(words: DataFrame) -> DataFrame:
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _band() -> Column:
+    return sum(((F.col("_chars") >= low).cast("int") for low in BANDS[1:]), F.lit(0))
+
+
+def _calibrate(model: Model, entropies: DataFrame, slack: float) -> None:
+    """Limits from the entropies of all different labelled texts that are not ``und``.
+
+    For each language and length band the 99.9 % quantile of the cross-entropy
+    plus ``slack`` nats is the highest accepted one: ordinary texts with codes or
+    foreign passages in them stay well below it.
     """
-    words = word_counts(labelled)
-    model = Model(sorted(r.lang for r in words.select("lang").distinct().collect()))
-    if not model.languages:
-        return model
-    _fill(model, words)
-    model.common = _common(words, model)
-    total = labelled.count()
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(-(-total // calibration_rows) or 1)) == 0)
-    scored = identify(sample.select("text"), model).where("lang_pred <> 'und'")
-    band = sum((F.col("_chars") >= low).cast("int") for low in BANDS[1:])
-    stats = scored.groupBy("lang_pred", F.lit(band).alias("band")).agg(
+    stats = entropies.where("known AND lang_pred <> 'und'").groupBy("lang_pred", _band().alias("band")).agg(
         F.percentile_approx("cross_entropy", 0.999, 10_000).alias("q")
     )
     # Few rows say little about a language's spread: up to three quarters of a uniform guess is accepted.
@@ -314,7 +367,66 @@ def fit(labelled: DataFrame, calibration_rows: int = 20_000, slack: float = 1.0)
     # A band without rows takes the highest limit of its language, and one of no language never rejects.
     highest = np.where(np.isnan(limits).all(axis=1), np.inf, np.nanmax(np.nan_to_num(limits, nan=-1.0), axis=1))
     model.limits = np.where(np.isnan(limits), highest[:, None], limits)
-    return model
+
+
+def _key(text: Column | str) -> Column:
+    return F.unhex(F.md5((F.col(text) if isinstance(text, str) else text).cast("binary")))
+
+
+def fit(labelled: DataFrame, slack: float = 1.0) -> Model:
+    """Train on the columns ``lang`` and ``text`` of all labelled rows, then calibrate on all of their texts.
+
+    Rows without a language or a text are no training rows; without any the
+    model knows no language and every text is ``und``. The model's table stays
+    in the shared folder.
+    """
+    with Scratch(labelled.sparkSession) as scratch:
+        rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+        words = scratch.stage(word_counts(rows), "words")
+        model = _model(words, scratch, keep=True)
+        if model.languages:
+            keyed = rows.select(_key("text").alias("_key"), "text", F.lit(True).alias("known"))
+            _calibrate(model, scratch.stage(_entropies(keyed, model, _totals(words), scratch), "entropies"), slack)
+        return model
+
+
+_NEW = ("lang_pred", "score", "cross_entropy", "rejected", "_chars")
+
+
+def learn_and_identify(docs: DataFrame, label: Column | str = "lang", text_col: str = "text", slack: float = 1.0) -> DataFrame:
+    """``identify(docs, fit(...))`` with the label of each row given by ``label``, reading the texts only twice.
+
+    Rows whose label is NULL are identified, but nothing is learned from them:
+    they add words to be scored, not counts.
+    """
+    docs = docs.drop(*_NEW)
+    with Scratch(docs.sparkSession) as scratch:
+        named = docs.select((F.col(label) if isinstance(label, str) else label).alias("lang"), F.col(text_col).alias("text"))
+        words = scratch.stage(word_counts(named), "words")
+        model = _model(words, scratch, keep=False)
+        if not model.languages:
+            return _placed(docs, None, model, text_col)
+        keyed = named.where("text IS NOT NULL").select(_key("text").alias("_key"), "text", F.col("lang").isNotNull().alias("known"))
+        found = written(_entropies(keyed, model, _totals(words), scratch), "languages")
+        _calibrate(model, found, slack)
+        return _placed(docs, found, model, text_col)
+
+
+def _placed(docs: DataFrame, found: DataFrame | None, model: Model, text_col: str) -> DataFrame:
+    """The rows of ``docs`` with what was found for their texts, and the verdict on it."""
+    if found is None:
+        kinds = ("string", "double", "double", "boolean", "long")
+        docs = docs.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip(_NEW, kinds)])
+    else:
+        limits = F.array(*[F.lit(float(x)) for x in model.limits.reshape(-1)])
+        known = F.array(*map(F.lit, model.languages))
+        place = (F.array_position(known, F.col("lang_pred")) - 1) * len(BANDS) + _band()
+        judged = found.withColumn("rejected", (F.col("lang_pred") == "und") | (F.col("cross_entropy") > F.get(limits, place.cast("int"))))
+        (key,) = unused(docs, "_key")
+        judged = judged.select(F.col("_key").alias(key), *_NEW)
+        docs = docs.select("*", _key(F.col(text_col)).alias(key)).join(judged, key, "left").select(*docs.columns, *_NEW)
+    none = {"lang_pred": "und", "score": 0.0, "rejected": True, "_chars": 0}
+    return docs.withColumns({c: F.coalesce(c, F.lit(v).cast("long") if c == "_chars" else F.lit(v)) for c, v in none.items()})
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -327,27 +439,25 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     rejected. Ties go to the language that sorts first. Repeated rows are
     scored alike and all returned; an empty table gives an empty result.
     """
-    new = ("lang_pred", "score", "cross_entropy", "rejected", "_chars")
-    docs = docs.drop(*new)
-    if model.languages:
-        key = F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("_key")
-        found = _verdicts(docs.where(F.col(text_col).isNotNull()).select(key, F.col(text_col).alias("text")), model)
-        docs = docs.select("*", key).join(found, "_key", "left").select(*docs.columns, *new)
-    else:
-        docs = docs.selectExpr(
-            "*", "string(null) AS lang_pred", "double(null) AS score", "double(null) AS cross_entropy",
-            "boolean(null) AS rejected", "bigint(null) AS _chars",
+    docs = docs.drop(*_NEW)
+    if not model.languages:
+        return _placed(docs, None, model, text_col)
+    with Scratch(docs.sparkSession) as scratch:
+        keyed = docs.where(F.col(text_col).isNotNull()).select(
+            _key(text_col).alias("_key"), F.col(text_col).alias("text"), F.lit(False).alias("known")
         )
-    none = {"lang_pred": "und", "score": 0.0, "rejected": True, "_chars": 0}
-    return docs.withColumns({c: F.coalesce(c, F.lit(v).cast("long") if c == "_chars" else F.lit(v)) for c, v in none.items()})
+        words = scratch.stage(_totals(word_counts(keyed.select(F.lit(None).cast("string").alias("lang"), "text"))), "words")
+        return _placed(docs, written(_entropies(keyed, model, words, scratch), "languages"), model, text_col)
 
 
-def _verdicts(keyed: DataFrame, model: Model) -> DataFrame:
-    """One row for each different text of ``keyed`` (_key, text), written; only short rows are shuffled."""
+def _entropies(keyed: DataFrame, model: Model, vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
+    """The best language of each different text of ``keyed`` (_key, text, known); only short rows are shuffled.
+
+    ``vocabulary`` (word, n) holds all words of the texts.
+    """
     spark, languages = keyed.sparkSession, len(model.languages)
-    common = list(model.common)
-    scores = np.array([model.common[w] for w in common], dtype=np.int64).reshape(len(common), languages)
-    handle = shared(spark, (common, scores))
+    scored = score_words(vocabulary, model, scratch)
+    handle = shared(spark, _common(scored, model))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """What the common words of a text add up to, and its other words with their numbers."""
@@ -375,46 +485,48 @@ def _verdicts(keyed: DataFrame, model: Model) -> DataFrame:
                 chars.append(size), others.append(rest), numbers.append(times)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(batch.schema.get_field_index("_key")), pa.array(chars, pa.int64()),
+                    batch.column(batch.schema.get_field_index("_key")), batch.column(batch.schema.get_field_index("known")),
+                    pa.array(chars, pa.int64()),
                     pa.array(sums, pa.list_(pa.int64())), pa.array(others, pa.list_(pa.string())),
                     pa.array(numbers, pa.list_(pa.int64())),
                 ],
-                names=["_key", "_chars", "s", "words", "times"],
+                names=["_key", "known", "_chars", "s", "words", "times"],
             )
 
-    parts = "_key binary, _chars long, s array<long>, words array<string>, times array<long>"
-    parts = written(keyed.mapInArrow(split, parts), "parts")
+    parts = "_key binary, known boolean, _chars long, s array<long>, words array<string>, times array<long>"
+    parts = scratch.stage(keyed.mapInArrow(split, parts), "parts")
     others = parts.where(F.size("words") > 0).dropDuplicates(["_key"])
     others = others.select("_key", F.explode(F.arrays_zip("words", "times")).alias("o"))
     others = others.select("_key", F.col("o.words").alias("word"), F.col("o.times").alias("n"))
-    known = score_words(parts.select(F.explode("words").alias("word")).distinct(), model)
     sums = F.array(*[F.sum(F.col("n") * F.get("s", F.lit(i))) for i in range(languages)])
-    added = others.join(known, "word").groupBy("_key").agg(sums.alias("more"))
-    whole = parts.select("_key", "_chars", "s").dropDuplicates(["_key"]).join(added, "_key", "left")
-    names, limits = model.languages, model.limits
+    added = others.join(scored.select("word", "s"), "word").groupBy("_key").agg(sums.alias("more"))
+    # Repeated texts are alike in all but ``known``.
+    single = parts.groupBy("_key").agg(
+        F.bool_or("known").alias("known"), F.max("_chars").alias("_chars"), F.max("s").alias("s")
+    )
+    whole = single.join(added, "_key", "left")
+    names = model.languages
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4096):
-            key, chars = batch.column(0), batch.column(1).to_pylist()
-            lang, score, entropy, rejected = [], [], [], []
+            key, known, chars = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+            lang, score, entropy = [], [], []
             for n, s, more in zip(chars, texts(batch, "s"), texts(batch, "more")):
                 if not n:
-                    lang.append("und"), score.append(0.0), entropy.append(None), rejected.append(True)
+                    lang.append("und"), score.append(0.0), entropy.append(None)
                     continue
                 h = -(np.array(s) + np.array(more or [0])) / (SCALE * n)
                 best = int(np.argmin(h))
-                band = sum(n >= low for low in BANDS[1:])
                 lang.append(names[best])
                 score.append(float(1.0 / np.exp((h[best] - h) * min(n, 200)).sum()))
                 entropy.append(float(h[best]))
-                rejected.append(bool(limits is not None and h[best] > limits[best, band]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    key, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
-                    pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(chars, pa.int64()),
+                    key, known, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                    pa.array(entropy, pa.float64()), pa.array(chars, pa.int64()),
                 ],
-                names=["_key", "lang_pred", "score", "cross_entropy", "rejected", "_chars"],
+                names=["_key", "known", "lang_pred", "score", "cross_entropy", "_chars"],
             )
 
-    schema = "_key binary, lang_pred string, score double, cross_entropy double, rejected boolean, _chars long"
-    return written(whole.select("_key", "_chars", "s", "more").mapInArrow(judge, schema), "languages")
+    schema = "_key binary, known boolean, lang_pred string, score double, cross_entropy double, _chars long"
+    return whole.select("_key", "known", "_chars", "s", "more").mapInArrow(judge, schema)
