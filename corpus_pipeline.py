@@ -16,19 +16,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is recognised; a null ``lang`` gets the recognised one."""
-    model = language_id.fit(docs.select("text", "lang"))
-    found = language_id.identify(docs, model).where("NOT rejected")
+    """Rows whose language is recognised; a null ``lang`` gets the recognised one.
+
+    Null and empty texts and texts without a letter have no language and go.
+    Repeated rows are judged alike; no rows give no rows.
+    """
+    found = language_id.learn_and_identify(docs).where("NOT rejected")
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group whose sets of five-word shingles overlap by 80 percent."""
+    """One document of every group whose sets of five-word shingles overlap by 80 percent.
+
+    Documents without words are linked with nothing and stay, one for each
+    repeated row; ties are decided by the texts, not by the order of rows.
+    """
     return ngram_join.one_of_each(docs, percent=80, n=5)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with personal data replaced by its kind, and ``n_chars`` of the new text."""
+    """All rows, with personal data replaced by its kind, and ``n_chars`` of the new text.
+
+    Null and empty texts have none and stay as they are, repeated rows are masked alike.
+    """
     found = pii.find(docs, pii.train(docs), name="_pii")
     text = F.when(F.col("text").isNotNull(), pii.masked(F.col("text"), F.col("_pii")))
     masked = found.withColumn("_masked", text)
@@ -44,7 +54,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row at least once, rarer sources up to twice as often as the largest."""
+    """Every row at least once, rarer sources up to twice as often as the largest.
+
+    A null source is a source of its own; null and empty texts are drawn like others.
+    """
     return mixing.mix(docs).select(*docs.columns)
 
 
