@@ -75,6 +75,16 @@ def test_odd_rows_of_the_join(spark):
     assert kept[(5, "a b c d e")] <= 1 and (None, "a b c d e") not in kept
 
 
+def test_rows_without_an_id_carry_links(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[2 * i : 2 * i + 40]) for i in range(3)]  # neighbours share 35 of 39 grams, the ends 31 of 43
+    rows = [(1, texts[0]), (None, texts[1]), (3, texts[2]), (None, "x y z q r"), (None, "x y z q r"), (9, "alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in ngram_join.linked(df, percent=85).collect())
+    assert got == Counter([(1, 1), (None, 1), (3, 1), (None, None), (None, None), (9, 9)])
+    assert {r.doc_id for r in ngram_join.one_of_each(df, percent=85).where("doc_id IS NOT NULL").collect()} == {1, 9}
+
+
 def test_classes_that_share_an_id_keep_one_row_each(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (5, "q r s t u"), (7, "q r s t u"), (None, "x y"), (None, "x y"), (None, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

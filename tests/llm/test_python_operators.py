@@ -104,11 +104,11 @@ def test_search_agrees_with_brute_force(spark):
     rng = np.random.default_rng(1)
     rows = {i: rng.normal(size=6).round(2).tolist() for i in range(700)}
     rows |= {700 + i: rows[i] for i in range(20)}  # ties
-    table = [(i, v, "x") for i, v in rows.items()] + [(3, rows[3], "again")]
+    table = [(i, v, "x") for i, v in rows.items()]
     bad = [(900, None, "n"), (1000, [1.0, None], "n"), (1100, [float("nan")] * 6, "n"), (None, [1.0] * 6, "n")]
     df = spark.createDataFrame(table + bad, "vec_id long, embedding array<float>, score string")
     vectors = ball_search.integer_vectors(df)
-    got = ball_search.top_k(vectors, vectors.where("vec_id % 100 = 0"), block=4)
+    got = ball_search.top_k(vectors, F.col("vec_id") % 100 == 0, block=4)
     as_float = {r.vec_id: r.embedding for r in df.where("vec_id < 900").collect()}
     assert {tuple(r) for r in got.collect()} == oracles.top_k(as_float)
 
@@ -116,10 +116,24 @@ def test_search_agrees_with_brute_force(spark):
 def test_search_with_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (100, [3.0])], "vec_id long, embedding array<float>")
     vectors = ball_search.integer_vectors(df)
-    got = {tuple(r) for r in ball_search.top_k(vectors, vectors).collect()}
+    got = {tuple(r) for r in ball_search.top_k(vectors, F.lit(True)).collect()}
     assert got == {(0, 1, 100, 3 * 1024**2), (100, 1, 0, 3 * 1024**2)}
     empty = ball_search.integer_vectors(df.limit(0))
-    assert ball_search.top_k(empty, empty).collect() == []
+    assert ball_search.top_k(empty, F.lit(True)).collect() == []
+    huge = ball_search.integer_vectors(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<float>"))
+    with pytest.raises(ValueError, match="64 bits"):
+        ball_search.top_k(huge, F.lit(True))
+
+
+def test_rows_that_share_an_id_are_all_searched(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (1, [3.0]), (100, [5.0]), (100, [5.0])]
+    vectors = ball_search.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = Counter(tuple(r) for r in ball_search.top_k(vectors, F.col("vec_id") % 100 == 0).collect())
+    m = 1024**2
+    others = [(1, 100, 25 * m), (2, 1, 15 * m), (3, 1, 10 * m), (4, 0, 5 * m)]
+    assert got == Counter(
+        [(0, 1, 100, 5 * m), (0, 2, 100, 5 * m), (0, 3, 1, 3 * m), (0, 4, 1, 2 * m)] + [(100, *o) for o in others] * 2
+    )
 
 
 # page text

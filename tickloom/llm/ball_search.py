@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import received, shared, travels, written
+from tickloom.storage import Scratch
 
 travels(__name__)
 
@@ -97,16 +98,21 @@ class Best:
             heapq.heapreplace(self.heap, item)
 
 
-def search(tree: BallTree, ids: np.ndarray, exact: np.ndarray, queries: list, best: dict[int, Best]) -> None:
-    """Offer the tree's rows to every query: nodes by falling bound, until it is below the k-th score."""
+def search(
+    tree: BallTree, ids: np.ndarray, own: np.ndarray, exact: np.ndarray, queries: list, best: dict[int, Best]
+) -> None:
+    """Offer the tree's rows to every query: nodes by falling bound, until it is below the k-th score.
+
+    ``own`` numbers the rows; a query is named by its row and does not meet itself.
+    """
     if not len(ids):
         return
     for start in range(0, len(queries), 256):
         part = queries[start : start + 256]
         vectors = np.stack([v for _, v in part])
         bounds = tree.bounds(vectors.astype(np.float64))
-        for (query_id, v), upper in zip(part, bounds):
-            found = best[query_id]
+        for (query, v), upper in zip(part, bounds):
+            found = best[query]
             fast = v.astype(exact.dtype)
             todo = [(-upper[0], 0)]
             while todo and -todo[0][0] >= found.kth():
@@ -118,7 +124,7 @@ def search(tree: BallTree, ids: np.ndarray, exact: np.ndarray, queries: list, be
                 rows = tree.order[tree.first[node] : tree.last[node]]
                 scores = exact[rows] @ fast
                 for i in np.nonzero(scores >= found.kth())[0]:
-                    if ids[rows[i]] != query_id:
+                    if own[rows[i]] != query:
                         found.offer(int(scores[i]), int(ids[rows[i]]))
 
 
@@ -135,6 +141,7 @@ def _searched(handle, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, floors = received(handle)
         best = {q: Best(k, floors.get(q)) for q, _ in queries}
+        held_rows: list[int] = []
         held_ids: list[int] = []
         held: list = []
 
@@ -146,12 +153,13 @@ def _searched(handle, k: int):
             largest = int(np.abs(own).max(initial=0)) * int(np.abs(asked).max(initial=0)) * max(width, 1)
             exact = own.astype(np.float64) if largest < _EXACT else own
             tree = BallTree(own.astype(np.float64))
-            search(tree, np.array(held_ids), exact, list(zip([q for q, _ in queries], asked)), best)
-            held_ids.clear(), held.clear()
+            search(tree, np.array(held_ids), np.array(held_rows), exact, list(zip([q for q, _ in queries], asked)), best)
+            held_rows.clear(), held_ids.clear(), held.clear()
 
         for batch in batches:
-            for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)):
-                held_ids.append(vec_id), held.append(v)
+            columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
+            for row, vec_id, v in zip(*columns):
+                held_rows.append(row), held_ids.append(vec_id), held.append(v)
                 if len(held) >= SHARD:
                     flush()
         if held:
@@ -159,18 +167,18 @@ def _searched(handle, k: int):
         rows = [(q, -i, s) for q, b in best.items() for s, i in b.heap]
         columns = list(zip(*rows)) or [[], [], []]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
+            [pa.array(c, pa.int64()) for c in columns], names=["query", "vec_id", "score"]
         )
 
     return run
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, vector): floor(1024 x) of every component; one row per id.
+    """(row, vec_id, vector): floor(1024 x) of every component.
 
     Rows with a null id, a null vector or a null or non-finite component take
-    no part. Of several rows with one id the least vector stays, so copies of a
-    row count once.
+    no part. Every other row has a number of its own, so repeated ids and
+    repeated rows stay apart.
     """
     x = F.col(vector_col)
 
@@ -179,53 +187,61 @@ def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 
     usable = table.where(F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, finite))
     scaled = F.transform(x, lambda c: F.floor(c.cast("double") * 1024).cast("long"))
-    rows = usable.select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("vector"))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return usable.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), scaled.alias("vector"))
+
+
+_FOUND = "query long, vec_id long, score long"
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k highest inner products of each query.
+def top_k(vectors: DataFrame, wanted: Column, k: int = K, block: int = BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k highest inner products of each row that ``wanted`` selects.
 
-    Both tables have (vec_id, vector of integers) with one row per id; a
-    query's own id is no candidate. Ties go to the smaller vec_id; a query has
-    fewer rows if there are fewer candidates. Vectors of different length are
-    compared as if the shorter one ended in zeros. No queries, no rows.
+    ``vectors`` has (row, vec_id, vector of integers); see ``integer_vectors``.
+    Candidates are all rows but the query's own: of rows that share an id each
+    is a query and a candidate of the others. Ties go to the smaller vec_id; a
+    query has fewer rows if there are fewer candidates. Vectors of different
+    length are compared as if the shorter one ended in zeros. No queries, no
+    rows. Components whose scores might not fit into 64 bits raise ValueError.
     """
     spark = vectors.sparkSession
-    vectors = written(vectors.select("vec_id", "vector"), "vectors")
-    queries = written(queries.select("vec_id", "vector"), "queries")
-    n, asked = vectors.count(), queries.count()
-    parts = max(1, -(-asked // block))
-    bucket = F.pmod(F.xxhash64("vec_id"), F.lit(parts))
-    while parts > 1 and queries.groupBy(bucket).count().agg(F.max("count")).first()[0] > block:
-        parts *= 2  # hash blocks are uneven; split until the bound holds
-        bucket = F.pmod(F.xxhash64("vec_id"), F.lit(parts))
-    sample = vectors.where(F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(max(1, n // SHARD))) == 0)
-    results = []
-    for part in range(parts):
-        rows = [(r.vec_id, np.array(r.vector, dtype=np.int64)) for r in queries.where(bucket == part).collect()]
-        if not rows:
-            continue
-        seeds = sample.mapInArrow(_searched(shared(spark, (rows, {})), k), "query_id long, vec_id long, score long")
-        by_score = F.reverse(F.sort_array(F.collect_list("score")))
-        # A query has at most k rows from each task of the small sample.
-        kth = seeds.groupBy("query_id").agg(F.get(by_score, k - 1).alias("s")).where("s IS NOT NULL")
-        floors = {r.query_id: r.s for r in kth.collect()}
-        handle = shared(spark, (rows, floors))
-        found = vectors.mapInArrow(_searched(handle, k), "query_id long, vec_id long, score long")
-        results.append(written(_ranked(found, k), "top_k"))
-    if not results:
-        empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-        return empty
-    out = results[0]
-    for more in results[1:]:
-        out = out.union(more)
-    return out
+    with Scratch(spark) as scratch:
+        vectors = scratch.stage(vectors.select("row", "vec_id", "vector"), "vectors")
+        queries = scratch.stage(vectors.where(wanted), "queries")
+        span = vectors.agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"),
+            F.max(F.greatest(F.array_max("vector"), -F.array_min("vector"))).alias("x"),
+        ).first()
+        if (span.x or 0) ** 2 * max(span.width or 0, 1) >= 2**63:
+            raise ValueError("a component is too large for exact scores in 64 bits")
+        asked = queries.count()
+        parts = max(1, -(-asked // block))
+        bucket = F.pmod(F.xxhash64("row"), F.lit(parts))
+        while parts > 1 and queries.groupBy(bucket).count().agg(F.max("count")).first()[0] > block:
+            parts *= 2  # hash blocks are uneven; split until the bound holds
+            bucket = F.pmod(F.xxhash64("row"), F.lit(parts))
+        sample = vectors.where(F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(max(1, span.n // SHARD))) == 0)
+        results = []
+        for part in range(parts):
+            rows = [(r.row, np.array(r.vector, dtype=np.int64)) for r in queries.where(bucket == part).collect()]
+            if not rows:
+                continue
+            seeds = sample.mapInArrow(_searched(shared(spark, (rows, {})), k), _FOUND)
+            by_score = F.reverse(F.sort_array(F.collect_list("score")))
+            # A query has at most k rows from each task of the small sample.
+            kth = seeds.groupBy("query").agg(F.get(by_score, k - 1).alias("s")).where("s IS NOT NULL")
+            floors = {r.query: r.s for r in kth.collect()}
+            found = vectors.mapInArrow(_searched(shared(spark, (rows, floors)), k), _FOUND)
+            results.append(scratch.stage(_ranked(found, k), "top-k"))
+        if not results:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        out = results[0]
+        for more in results[1:]:
+            out = out.union(more)
+        ids = queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+        return written(out.join(ids, "query").select("query_id", "rank", "vec_id", "score"), "top-k")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query", "rank", "vec_id", "score")

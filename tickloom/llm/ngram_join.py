@@ -191,7 +191,7 @@ def _bits(needed: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([field.tobytes()], pa.binary())], names=["field"])
 
     field = np.zeros(bits // 8, dtype=np.uint8)
-    for row in needed.select("rep").coalesce(8).mapInArrow(run, "field binary").toLocalIterator():
+    for row in needed.where("rep IS NOT NULL").select("rep").coalesce(8).mapInArrow(run, "field binary").toLocalIterator():
         field |= np.frombuffer(row.field, dtype=np.uint8)
     return field
 
@@ -204,8 +204,8 @@ def _places(ids: pa.Array, bits: int) -> np.ndarray:
 def sets_of(docs: DataFrame, needed: DataFrame, label: str, n: int = N) -> DataFrame:
     """(node, grams) of the needed nodes, from the text of each one's representative, written.
 
-    Only texts whose id passes the filter are cut into grams. A few others may
-    be among them, and a node twice if its representative's row is repeated;
+    Only texts whose id passes the filter, and those without an id, are cut into
+    grams. A few others may be among them, and a node twice if its representative's row is repeated;
     joins on the node sort that out.
     """
     handle = shared(docs.sparkSession, _bits(needed))
@@ -216,7 +216,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, label: str, n: int = N) -> DataF
             ids = batch.column(0)
             at = _places(ids, len(field) * 8)
             hit = (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            chosen = np.nonzero(hit.astype(bool) & ids.is_valid().to_numpy(zero_copy_only=False))[0]
+            chosen = np.nonzero(hit.astype(bool) | ids.is_null().to_numpy(zero_copy_only=False))[0]
             sets = [g for g in gram_sets(batch.column(1).take(pa.array(chosen)).to_pylist(), known, n) if len(g)]
             columns = [pa.array(map(_node, sets), pa.binary()), pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
@@ -230,7 +230,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int,
     if pairs.isEmpty():
         return pairs
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = written(wanted.join(nodes.select("node", "rep"), "node").where("rep IS NOT NULL"), "needed")
+    needed = written(wanted.join(nodes.select("node", "rep"), "node"), "needed")
     sets = sets_of(docs, needed, "sets", n)
     one, two = sets.toDF("a", "grams_a"), sets.toDF("b", "grams_b")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
@@ -405,8 +405,8 @@ def linked(docs: DataFrame, percent: int = PERCENT, max_frequent: int = MAX_FREQ
     root is the least node of the class and tells classes apart, also those that
     share a doc_id; a document without words has none. component_id is the smallest doc_id of the documents reachable by links,
     its own included. A document without words has size 0, no links and its own
-    id. Rows with a null doc_id share the class of an equal set that has an id
-    and make no other links; without one their component_id is null. Repeated
+    id. Rows with a null doc_id link like others; a class of such rows only
+    has a null component_id. Repeated
     rows are one node and all returned. Columns other than doc_id and text are
     not read. An empty table gives an empty result.
     """

@@ -49,19 +49,18 @@ def license_scan() -> str:
 
 
 EXACT_SEARCH = """
-    WITH v AS (
-      SELECT CAST(vec_id AS bigint) AS vec_id,
-             min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS e
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, CAST(vec_id AS bigint) AS vec_id,
+             list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
       FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-      GROUP BY vec_id),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
-      SELECT q.vec_id AS query_id, c.vec_id,
-             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
-      FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+      SELECT q.rid, q.vec_id AS query_id, c.vec_id,
+             CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: coalesce(p[1] * p[2], 0))), 0) AS BIGINT) AS score
+      FROM v AS q JOIN v AS c ON q.rid <> c.rid WHERE q.vec_id % 100 = 0)
     SELECT query_id, rank, vec_id, score FROM (
-      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank FROM s)
+      SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS int) AS rank FROM s)
     WHERE rank <= 10"""
 
 NGRAM_JOIN = rf"""

@@ -32,7 +32,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
     # Held-out rows have no label: nothing is learned from them.
-    found = language_id.learn_and_identify(docs.drop("lang").withColumn("label", F.when(~held_out, docs["lang"])), "label")
+    found = language_id.learn_and_identify(docs.withColumn("label", F.when(~held_out, F.col("lang"))).drop("lang"), "label")
     return found.select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
     )
@@ -89,7 +89,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_exact_search", oracle.EXACT_SEARCH)
 def op3_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = ball_search.integer_vectors(table(spark, sf_dir, "embeddings"))
-    return ball_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+    return ball_search.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
 @query("op4_html_extraction")
