@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.relational import backfill_sector, missing_sector, with_sector
-from tickloom.plans.ingest import staged
+from tickloom.storage import fresh_path, remove_folder
 
 
 def backfill_to_fixpoint(
@@ -20,12 +20,26 @@ def backfill_to_fixpoint(
     call. A round that finds nothing is the last one. Only symbols that were
     asked for count as found, so every round fills at least one and the loop
     ends. Every round is written to the shared folder, so plans do not grow and
-    a lost executor costs one round.
+    a lost executor costs one round; of all rounds only the last one's metadata
+    stays there, for the caller to read.
     """
+    spark, kept = metadata.sparkSession, None
+
+    def stored(rows: DataFrame, path: str) -> DataFrame:
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
     while True:
         symbols = missing_sector(metadata).select("symbol").distinct()
         answers = with_sector(lookup(symbols)).join(symbols, "symbol", "left_semi")
-        found = staged(answers.groupBy("symbol").agg(F.max("sector").alias("sector")), "sectors")
-        if found.isEmpty():
+        sectors, filled = fresh_path(spark, "sectors"), fresh_path(spark, "metadata")
+        found = stored(answers.groupBy("symbol").agg(F.max("sector").alias("sector")), sectors)
+        done = found.isEmpty()
+        if not done:
+            metadata = stored(backfill_sector(metadata, found), filled)
+            if kept:
+                remove_folder(spark, kept)
+            kept = filled
+        remove_folder(spark, sectors)
+        if done:
             return metadata
-        metadata = staged(backfill_sector(metadata, found), "metadata")

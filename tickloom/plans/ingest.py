@@ -64,13 +64,6 @@ class Upserted(NamedTuple):
     rejected: int
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Rows written once to the shared folder, for plans that read them several times."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def requested_symbols(directory: DataFrame, metadata: DataFrame, run_date: date) -> DataFrame:
     """Listed stocks due for an update, with their last update."""
     stocks = listing_universe(directory).where("not is_etf").select("symbol")
@@ -136,7 +129,9 @@ def finish_interrupted(store: Store) -> None:
             batch = spark.read.schema(schema_for("stock_prices")).parquet(row.path)
             if row.operation == "append":
                 stored = t.prices_in_months(spark, store.prices, t.months_in(batch))
-                t.append(t.by_month(staged(new_bars(batch, stored), "missing-bars")), store.prices)
+                # Written before the append, which changes the table it is computed from.
+                with Scratch(spark) as scratch:
+                    t.append(t.by_month(scratch.stage(new_bars(batch, stored), "missing-bars")), store.prices)
                 rows = batch.count()
             else:
                 rows = _overwrite(store, batch)

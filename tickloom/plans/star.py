@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.dimensions import (
@@ -18,7 +19,7 @@ from tickloom.operators.dimensions import (
     upsert,
 )
 from tickloom.operators.relational import directory_projection, listing_universe
-from tickloom.schemas import PRICE_KEY, schema_for
+from tickloom.schemas import schema_for
 from tickloom.sources import tables as t
 from tickloom.storage import Scratch
 
@@ -47,22 +48,41 @@ class Star:
         return self
 
 
-def load_star(star: Star, directory: DataFrame, bars: DataFrame) -> None:
+class Loaded(NamedTuple):
+    """Bars of listed symbols that were loaded, bars without a symbol or a date, and bars of symbols not listed."""
+
+    facts: int
+    rejected: int
+    unlisted: int
+
+
+def load_star(star: Star, directory: DataFrame, bars: DataFrame) -> Loaded:
     """Add what is new to the dimensions, then insert or replace the facts.
 
     ``directory`` and ``bars`` may carry an ``arrival`` column; the last row of a
     key wins. A symbol listed more than once is one row of the metadata. Bars
-    without a symbol or a date belong to no key and are left out; the
-    completeness checks report them. Intermediate rows are deleted at the end.
+    without a symbol or a date belong to no key; they and the bars of symbols
+    that are not listed are left out and counted in what is returned, with the
+    distinct bars loaded. Intermediate rows are deleted at the end.
     """
     with Scratch(star.spark) as scratch:
-        _load(star, directory, bars, scratch)
+        return _load(star, directory, bars, scratch)
 
 
-def _load(star: Star, directory: DataFrame, bars: DataFrame, scratch: Scratch) -> None:
+def _load(star: Star, directory: DataFrame, bars: DataFrame, scratch: Scratch) -> Loaded:
     listing = listing_universe(directory)
-    listed = bars.dropna(subset=PRICE_KEY).join(listing.select("symbol"), "symbol", "left_semi")
-    batch = scratch.stage(dedupe_bars(listed), "star-bars")
+    keyed = F.col("symbol").isNotNull() & F.col("trade_date").isNotNull()
+    seen = Observation()
+    # Counted while the batch is written, without another pass over the bars.
+    counted = bars.withColumn("_keyed", keyed).join(
+        listing.select("symbol", F.lit(True).alias("_listed")).distinct(), "symbol", "left"
+    ).withColumn("_listed", F.coalesce("_listed", F.lit(False))).observe(
+        seen,
+        F.count_if(~F.col("_keyed")).alias("rejected"),
+        F.count_if(F.col("_keyed") & ~F.col("_listed")).alias("unlisted"),
+    )
+    batch = scratch.stage(dedupe_bars(counted.where("_keyed AND _listed").drop("_keyed", "_listed")), "star-bars")
+    facts = batch.count()
     t.append(new_trading_days(batch, star.table("trading_days")), star.name("trading_days"))
     t.append(new_symbols(listing.select("symbol", "is_etf"), star.table("symbols")), star.name("symbols"))
     days = star.table("trading_days")
@@ -72,6 +92,7 @@ def _load(star: Star, directory: DataFrame, bars: DataFrame, scratch: Scratch) -
     arrival = ["arrival"] if "arrival" in directory.columns else []
     known = replace_metadata(directory_projection(directory, *arrival), "arrival")
     t.replace_table(known, star.name("metadata"))
+    return Loaded(facts, seen.get["rejected"], seen.get["unlisted"])
 
 
 def _upsert_facts(star: Star, table: str, rows: DataFrame, days: DataFrame) -> None:
