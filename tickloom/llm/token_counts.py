@@ -27,9 +27,10 @@ from tickloom.llm.common import extended, sliced, texts, travels, with_fields
 
 travels(__name__)
 
-MAX_NODES = 300_000
+MAX_NODES = 500_000
 LONGEST = 64  # longer pre-tokens are scored without the trie
 SCALE = 1000
+_COST = 1 << 32  # a score is its cost times this plus its tokens, so that one sum and one comparison serve both
 MARK = "▁"
 
 
@@ -38,8 +39,13 @@ class Vocabulary:
         self.cost = {}
         for rank, piece in enumerate(pieces):
             self.cost.setdefault(piece, round(SCALE * math.log(rank + 2)))
-        # Ends of pieces, so that the search for pieces ending at a place stops early.
-        self.tails = {piece[i:]: self.cost.get(piece[i:]) for piece in self.cost for i in range(len(piece))}
+        # The pieces read backwards, as a trie: all pieces that end at a place are met on one walk.
+        self.ends: dict = {}
+        for piece, cost in self.cost.items():
+            node = self.ends
+            for ch in reversed(piece):
+                node = node.setdefault(ch, {})
+            node[""] = cost * _COST + 1
         self.byte_cost = byte_cost
 
     @staticmethod
@@ -54,31 +60,31 @@ class Vocabulary:
         ]
         return Vocabulary(usable, round(SCALE * math.log(len(usable) + 2)))
 
-    def step(self, text: str, end: int, scores: list[tuple[int, int]]) -> tuple[int, int]:
+    def step(self, text: str, end: int, scores: list[int]) -> int:
         """Forward score of text[:end] from those of its shorter prefixes."""
-        best = None
+        best, node = -1, self.ends
         for start in range(end - 1, -1, -1):
-            cost = self.tails.get(text[start:end], -1)
-            if cost == -1:
+            node = node.get(text[start])
+            if node is None:
                 break
-            if cost is not None:
-                before = scores[start]
-                score = (before[0] + cost, before[1] + 1)
-                if best is None or score < best:
+            piece = node.get("")
+            if piece is not None:
+                score = scores[start] + piece
+                if score < best or best < 0:
                     best = score
-        if text[end - 1] not in self.cost:
-            n = len(text[end - 1].encode("utf-8", "surrogatepass"))
-            before = scores[end - 1]
-            score = (before[0] + n * self.byte_cost, before[1] + n)
-            if best is None or score < best:
+        last = text[end - 1]
+        if last not in self.cost:
+            n = len(last.encode("utf-8", "surrogatepass"))
+            score = scores[end - 1] + n * (self.byte_cost * _COST + 1)
+            if score < best or best < 0:
                 best = score
         return best
 
     def count(self, text: str) -> int:
-        scores = [(0, 0)]
+        scores = [0]
         for end in range(1, len(text) + 1):
             scores.append(self.step(text, end, scores))
-        return scores[-1][1]
+        return scores[-1] % _COST
 
 
 class Trie:
@@ -89,8 +95,8 @@ class Trie:
         self.clear()
 
     def clear(self) -> None:
-        self.children: dict[tuple[int, str], int] = {}
-        self.scores: list[tuple[int, int]] = [(0, 0)]
+        self.children: list[dict[str, int] | None] = [None]
+        self.scores: list[int] = [0]
         self.counts: dict[str, int] = {}
 
     def count(self, pretoken: str) -> int:
@@ -105,15 +111,20 @@ class Trie:
         return known
 
     def _insert(self, text: str) -> int:
-        node, path = 0, [self.scores[0]]
+        children, scores, step = self.children, self.scores, self.vocabulary.step
+        node, path = 0, [0]
         for end, ch in enumerate(text, 1):
-            child = self.children.get((node, ch))
+            below = children[node]
+            if below is None:
+                below = children[node] = {}
+            child = below.get(ch)
             if child is None:
-                child = self.children[node, ch] = len(self.scores)
-                self.scores.append(self.vocabulary.step(text, end, path))
-            path.append(self.scores[child])
+                child = below[ch] = len(scores)
+                scores.append(step(text, end, path))
+                children.append(None)
+            path.append(scores[child])
             node = child
-        return path[-1][1]
+        return path[-1] % _COST
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text") -> DataFrame:
