@@ -154,6 +154,63 @@ PAGES = {
 }
 
 
+LOST_BEFORE = {
+    _page(f"<h1>Title</h1><p>{'Long body. ' * 20}</p><article class='teaser'>Read on</article>"):
+        f"Title\n{('Long body. ' * 20).strip()}\nRead on",
+    _page("<div class='content related-work'><p>Main story of the day.</p></div>"): "Main story of the day.",
+    _page("<p class='share-price'>Shares rose.</p><p>More.</p>"): "Shares rose.\nMore.",
+    _page("<div class='nav-top'>Home</div><div class='comments_list'>me</div><p>text</p>"): "text",
+    _page('<p title="a > b">x</p><p title=\'c\'>y</p>'): "x\ny",
+    '<p>a</p><p title="never closed>b</p><p>c</p>': "a\nb\nc",
+    "<p>a <b <i>c</i>": "a c", "<p>a <b": "a", "<p>a <b c <": "a <b c <",
+}
+
+
+def test_main_text_is_not_lost():
+    for page, text in LOST_BEFORE.items():
+        got = html_text.main_text(html_text.parsed(page))
+        assert " ".join(got.split()) == " ".join(text.split()), page
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a b="', "<svg ", "<svg><svg ", "<b></i>", "<!--", "<p title='", "<select><option ", "</script", "<li "])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    def seconds(n):
+        page, start = piece * (n // len(piece)), time.process_time()
+        html_text.main_text(html_text.parsed(page))
+        return time.process_time() - start
+
+    assert seconds(1_000_000) < 4
+
+
+def test_host_counting_agrees_with_brute_force(spark):
+    rng = random.Random(6)
+    menus = [f"<div class=m{i}><p>Menu {i}</p><ul><li>one<li>two {i}</ul></div>" for i in range(3)]
+    rows = []
+    for i in range(120):
+        own = "".join(f"<p>Text {rng.randrange(10**6)} of {i}</p>" for _ in range(3))
+        parts = [m for m, share in zip(menus, (0.9, 0.3, 0.03)) if rng.random() < share] + [own]
+        rows.append((i, f"http://{rng.choice('abc')}.org/{i}", _page("".join(parts))))
+    rows += [(200 + i, *rows[i][1:]) for i in range(5)] + [(300, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    seen, sizes = {}, {}
+    for _, url, page in rows:
+        site, root = (url or "//").split("/")[2], html_text.parsed(page or "")
+        key = html_text.main_text(root)
+        sizes.setdefault(site, set()).add(key)
+        for e in html_text.hashed(root):
+            seen.setdefault((site, e.hash), set()).add(key)
+    want = {}
+    for page_id, url, page in rows:
+        site, root = (url or "//").split("/")[2], html_text.parsed(page or "")
+        html_text.hashed(root)
+        gone = {h for (s, h), k in seen.items() if s == site and len(k) >= 5 and len(k) >= len(sizes[site]) ** (1 / 3)}
+        want[page_id] = html_text.main_text(root, frozenset(gone))
+    got = {r.page_id: r.text for r in html_text.extract(pages.withColumn("doc", F.lit(1)).withColumn("hashes", F.lit(2))).collect()}
+    assert got == want and any("Menu" in html_text.main_text(html_text.parsed(p or "")) and "Menu 0" not in want[i] for i, _, p in rows)
+
+
 def test_pages(spark):
     rows = [(i, "http://h.example/x", h, "y") for i, h in enumerate(PAGES)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -10,14 +10,18 @@ only where it recurs at the same place, for passages that articles share stay.
 A page is joined with its own recurring hashes, never with those of its host.
 
 What a page says about itself is used too: elements and class names for menus,
-headers, footers, adverts, forms and comments are left out, and a page with an
-article or main element is read only there.
+headers, footers, adverts, forms and comments are left out, and a page whose
+article and main elements hold a third of its remaining text or more is read only there.
+
+Reading takes time in proportion to the page: tags are found by their first
+characters and closed by a scanner that looks for a missing end once.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import extended, sliced, texts, travels, with_fields, written
+from tickloom.llm.common import extended, sliced, texts, travels, unused, with_fields, written
 
 travels(__name__)
 
@@ -51,26 +55,26 @@ CLOSED_BY = {
 }
 HOLDS = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]),
          "tr": frozenset(["table"]), "td": frozenset(["table"]), "th": frozenset(["table"])}
-# Words of class, id and role that name such parts.
+# Classes, ids and roles that name such parts, as a whole.
 NAMES = frozenset(
     "nav navbar navigation menu footer sidebar aside ad ads advert adverts advertisement advertising banner promo "
     "sponsor sponsored cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login "
     "comment comments disqus replies reply respond share sharing social breadcrumb breadcrumbs pagination pager related "
     "recommended widget toolbar copyright masthead contentinfo complementary search".split()
 )
-_ATTRIBUTES = r"""((?:[^>"']|"[^"]*"|'[^']*')*+)"""
-_TOKEN = re.compile(
-    # One literal first character lets the search skip plain text.
-    rf"<(?:!--.*?(?:-->|\Z)|({CODE}|{EMBEDDED})(?=[\s/>])(?:{_ATTRIBUTES}>|[^>]*>)|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^<>]*\Z)",
-    re.S | re.I,
+# Those that also count as the first part of a longer name, before - or _.
+FIRST_PARTS = frozenset(
+    "nav navbar menu footer sidebar ad ads advert cookie cookies newsletter breadcrumb breadcrumbs pagination comments "
+    "disqus".split()
 )
+# The start of a tag, and all of it where it holds no other < or >; a scanner reads the others.
+_START = re.compile(r"""<(?:(!--)|([!?])|(/?)([a-zA-Z][\w:-]*)(?:((?:[^<>"']|"[^"<>]*"|'[^'<>]*')*+)>)?)""")
+_RAW = frozenset(f"{CODE}|{EMBEDDED}".split("|"))
 _CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in CODE.split("|")}
-_PAIRED = {tag: re.compile(rf"<(/?){tag}(?=[\s/>]){_ATTRIBUTES}>", re.I) for tag in EMBEDDED.split("|")}
+_PAIRED = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])", re.I) for tag in EMBEDDED.split("|")}
 _OPTIONS = re.compile(r"(?:\s*</?opt(?:ion|group)\b[^>]*>[^<]*)*", re.I)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 @dataclass
@@ -86,86 +90,164 @@ class Element:
 
 def _named(attributes: str) -> tuple[str, bool]:
     found = " ".join(a or b or c for a, b, c in _NAME.findall(attributes))
-    words = {w.lower() for w in _WORD.findall(found)}
-    return found, bool(words & NAMES) or bool(_HIDDEN.search(attributes))
-
-
-def _pairs(page: str, tag: str) -> dict[int, int]:
+    names = found.lower().split()
+    out = any(n in NAMES or n.replace("_", "-").partition("-")[0] in FIRST_PARTS for n in names)
+    return found, out or bool(_HIDDEN.search(attributes))
+
+
+class _Tags:
+    """Finds where tags end. A quote that never closes is searched for once; tags from there on end at the next >."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.plain_from = page, page.rfind(">"), len(page)
+
+    def end(self, at: int) -> int:
+        """The place of the > of the tag whose attributes begin at ``at``, or -1."""
+        if at > self.last:
+            return -1
+        page, i = self.page, at
+        while i <= self.last and at < self.plain_from:
+            close = page.find(">", i)
+            if close < 0:
+                break
+            quotes = [q for q in (page.find('"', i, close), page.find("'", i, close)) if q >= 0]
+            if not quotes:
+                return close
+            ends = page.find(page[min(quotes)], min(quotes) + 1)
+            if ends < 0:
+                break
+            i = ends + 1
+        self.plain_from = min(self.plain_from, at)
+        return page.find(">", at)
+
+
+def _pairs(tags: _Tags, tag: str) -> dict[int, int]:
     """Start of each element with a closing tag of its own, and its end."""
-    found, opened = {}, []
-    for m in _PAIRED[tag].finditer(page):
+    found, opened, at = {}, [], 0
+    while m := _PAIRED[tag].search(tags.page, at):
+        close = tags.end(m.end())
+        if close < 0:
+            break
+        at = close + 1
         if not m[1]:
-            if not (tag in ("svg", "math") and m[2].endswith("/")):
+            if not (tag in ("svg", "math") and tags.page[close - 1] == "/"):
                 opened.append(m.start())
         elif opened:
-            found[opened.pop()] = m.end()
+            found[opened.pop()] = at
     return found
 
 
-def _end(page: str, m: re.Match, pairs: dict[str, dict[int, int]]) -> int:
-    """Where an element that is left out ends.
+def _end(tags: _Tags, tag: str, start: int, after: int, pairs: dict[str, dict[int, int]]) -> int:
+    """Where an element that is left out ends; its start tag is from ``start`` to ``after``.
 
     Without a closing tag it is its start tag alone (and a select its options),
     only a script or style takes the rest of the page.
     """
-    tag = m[1].lower()
+    page = tags.page
     if tag in _CLOSING:
-        closing = None if tag in pairs else _CLOSING[tag].search(page, m.end())
+        closing = None if tag in pairs else _CLOSING[tag].search(page, after)
         if closing:
             return closing.end()
         pairs[tag] = {}
-        return len(page) if tag in ("script", "style") else m.end()
+        return len(page) if tag in ("script", "style") else after
     if tag not in pairs:
-        pairs[tag] = _pairs(page, tag)
-    end = pairs[tag].get(m.start(), m.end())
-    return _OPTIONS.match(page, end).end() if tag == "select" and end == m.end() else end
+        pairs[tag] = _pairs(tags, tag)
+    end = pairs[tag].get(start, after)
+    return _OPTIONS.match(page, end).end() if tag == "select" and end == after else end
+
+
+class _Open:
+    """The open elements, with a count by tag, so that a search for one that is not open costs nothing."""
+
+    def __init__(self, root: Element):
+        self.stack, self.count = [root], Counter()
+
+    def push(self, e: Element) -> None:
+        self.stack.append(e)
+        self.count[e.tag] += 1
+
+    def close(self, i: int) -> None:
+        for e in self.stack[i:]:
+            self.count[e.tag] -= 1
+        del self.stack[i:]
+
+    def any(self, tags: frozenset[str]) -> bool:
+        return any(self.count[t] > 0 for t in tags)
+
+    def ended_by(self, tag: str) -> None:
+        """A closing tag ends the innermost element of its kind and all within."""
+        if self.count[tag] > 0:
+            i = len(self.stack) - 1
+            while self.stack[i].tag != tag:
+                i -= 1
+            self.close(i)
+
+    def before(self, tag: str) -> None:
+        """End what an opening tag ends: a paragraph before a block, an item before the next one."""
+        if tag in BLOCKS and self.count["p"] > 0:
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i].tag == "p":
+                    self.close(i)
+                    break
+                if self.stack[i].tag in BLOCKS:
+                    break
+        if tag in CLOSED_BY and self.any(CLOSED_BY[tag]):
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i].tag in HOLDS.get(tag, ()):
+                    break
+                if self.stack[i].tag in CLOSED_BY[tag]:
+                    self.close(i)
+                    break
 
 
 def parsed(page: str) -> Element:
-    """The element tree; unclosed and stray tags are mended as browsers commonly do."""
+    """The element tree; unclosed and stray tags are mended as browsers commonly do.
+
+    A tag that never closes is text, but for one that the page breaks off in.
+    """
     root = Element("html")
-    stack = [root]
-    at = 0
+    opened, tags = _Open(root), _Tags(page)
+    at = done = 0  # searched and taken up to here
     pairs: dict[str, dict[int, int]] = {}
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            stack[-1].parts.append(html.unescape(page[at : m.start()]))
-        at = m.end()
-        tag = (m[4] or "").lower()
-        if not tag:
-            if m[1]:
-                stack[-1].parts.append(" ")
-                at = _end(page, m, pairs)
+    while m := _START.search(page, at):
+        tag, attributes, close = (m[4] or "").lower(), "", -1
+        if m[1]:
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+        elif m[2]:
+            end = page.find(">", m.end()) + 1 or len(page)
+        elif m[5] is not None:
+            end, attributes = m.end(), m[5]
+            close = end - 1
+        else:
+            close = tags.end(m.end())
+            if close < 0:
+                at = page.find("<", m.end())
+                if at >= 0:
+                    continue
+                at = end = len(page)
+            else:
+                end, attributes = close + 1, page[m.end() : close]
+        if m.start() > done:
+            opened.stack[-1].parts.append(html.unescape(page[done : m.start()]))
+        at = done = end
+        if close < 0:
             continue
         if m[3]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            opened.ended_by(tag)
             continue
-        if tag in BLOCKS:
-            for i in range(len(stack) - 1, 0, -1):  # an open paragraph ends where a block begins
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
-        if tag in CLOSED_BY:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in HOLDS.get(tag, ()):
-                    break
-                if stack[i].tag in CLOSED_BY[tag]:
-                    del stack[i:]
-                    break
-        name, out = _named(m[5]) if m[5].strip() else ("", False)
-        element = Element(tag, name, tag in LEFT_OUT or (out and tag not in ("html", "body", "article", "main")))
-        if tag == "article" and out:
-            element.left_out = True
-        stack[-1].parts.append(element)
-        if tag not in VOID and not m[5].endswith("/"):
-            stack.append(element)
-    if at < len(page):
-        stack[-1].parts.append(html.unescape(page[at:]))
+        if tag in _RAW:
+            opened.stack[-1].parts.append(" ")
+            at = done = _end(tags, tag, m.start(), end, pairs)
+            continue
+        opened.before(tag)
+        name, out = _named(attributes) if attributes.strip() else ("", False)
+        element = Element(tag, name, tag in LEFT_OUT or (out and tag not in ("html", "body", "main")))
+        opened.stack[-1].parts.append(element)
+        if tag not in VOID and not attributes.endswith("/"):
+            opened.push(element)
+    if done < len(page):
+        opened.stack[-1].parts.append(html.unescape(page[done:]))
     return root
 
 
@@ -198,6 +280,9 @@ def hashed(root: Element) -> list[Element]:
     _placed(root)
     for e in reversed(_walk(root)):  # children come before their parents
         said = "".join(p if isinstance(p, str) else p.said for p in e.parts)
+        for p in e.parts:
+            if not isinstance(p, str):
+                p.said = ""  # now part of its parent's
         e.said = said
         if e.tag in BLOCKS and (text := " ".join(said.split())):
             place = "" if e.place is None else f"\0{e.place}"
@@ -207,69 +292,66 @@ def hashed(root: Element) -> list[Element]:
     return out
 
 
-def _has_text(e: Element) -> bool:
-    return any(isinstance(p, str) and p.strip() for x in _walk(e) for p in x.parts)
-
-
 def _is_header(e: Element) -> bool:
     """A header is left out unless it holds the article's heading."""
     return e.tag == "header" and not any(x.tag == "h1" for x in _walk(e))
 
 
 def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
-    """Blocks of the main part in page order, joined by line feeds."""
-    scopes = [e for e in _scopes(root, templates)]
+    """Blocks of the main part in page order, joined by line feeds.
+
+    The main part is what article and main elements hold, if that is at least
+    a third of all text that is not left out, else the whole page.
+    """
+    blocks, inside = _blocks(root, templates)
+    marked = [b for b, i in zip(blocks, inside) if i]
+    if 3 * sum(map(len, marked)) >= sum(map(len, blocks)):
+        blocks = marked or blocks
+    return "\n".join(blocks)
+
+
+def _blocks(root: Element, templates: frozenset[int]) -> tuple[list[str], list[bool]]:
+    """The blocks that are not left out, and whether an article or main element holds them."""
     blocks: list[str] = []
-    for scope in scopes or [root]:
-        current: list[str] = []
-
-        def flush() -> None:
-            text = " ".join("".join(current).split())
-            if text:
-                blocks.append(text)
-            current.clear()
-
-        todo: list = [scope]
-        while todo:
-            e = todo.pop()
-            if e is None:
+    inside: list[bool] = []
+    current: list[str] = []
+    depth = 0  # of open article and main elements
+
+    def flush() -> None:
+        text = " ".join("".join(current).split())
+        if text:
+            blocks.append(text)
+            inside.append(depth > 0)
+        current.clear()
+
+    todo: list = [root]
+    while todo:
+        e = todo.pop()
+        if isinstance(e, int):  # the end of a block
+            flush()
+            depth -= e
+        elif isinstance(e, str):
+            current.append(e)
+        elif e.tag == "br":
+            current.append(" ")
+        elif e is not root and _dropped(e, templates):
+            if e.tag in BLOCKS:
                 flush()
-            elif isinstance(e, str):
-                current.append(e)
-            elif e.tag == "br":
-                current.append(" ")
-            elif e is not scope and _dropped(e, templates):
-                if e.tag in BLOCKS:
-                    flush()
-            else:
-                block = e.tag in BLOCKS
-                if block:
-                    flush()
-                    todo.append(None)
-                todo += reversed(e.parts)
-        flush()
-    return "\n".join(blocks)
+        else:
+            if e.tag in BLOCKS:
+                flush()
+                scope = int(e.tag in ("article", "main"))
+                depth += scope
+                todo.append(scope)
+            todo += reversed(e.parts)
+    flush()
+    return blocks, inside
 
 
 def _dropped(e: Element, templates: frozenset[int]) -> bool:
     return e.left_out or _is_header(e) or (e.hash in templates and e.tag not in ("html", "body"))
 
 
-def _scopes(root: Element, templates: frozenset[int]) -> list[Element]:
-    """Outermost article or main elements that are not left out and have text."""
-    found: list[Element] = []
-    todo = [root]
-    while todo:
-        e = todo.pop()
-        if e is not root and _dropped(e, templates):
-            continue
-        if e.tag in ("article", "main") and _has_text(e):
-            found.append(e)
-            continue
-        todo += reversed([p for p in e.parts if isinstance(p, Element)])
-    return found
-
-
 def host(url: Column) -> Column:
     """The host in lower case; a null url, or one without a host, is the host ''."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -318,20 +400,23 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """
     found = subtrees(pages)
     own = found.select("doc", "host", F.explode("hashes").alias("hash"))
+    doc, hashes = unused(pages, "doc", "hashes")
     # A page has at most as many of them as it has subtrees.
-    own = own.join(templates(found, least_pages), ["host", "hash"]).groupBy("doc").agg(F.collect_set("hash").alias("_hashes"))
-    marked = pages.withColumn("_doc", _doc(F.col("url"), F.col("html")))
-    rows = marked.join(own, F.col("_doc") == F.col("doc"), "left").select(*pages.columns, "_hashes")
+    own = own.join(templates(found, least_pages), ["host", "hash"]).groupBy(F.col("doc").alias(doc)).agg(
+        F.collect_set("hash").alias(hashes)
+    )
+    marked = pages.withColumn(doc, _doc(F.col("url"), F.col("html")))
+    rows = marked.join(own, doc, "left").select(*[f"`{c}`" for c in pages.columns], hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             out = []
-            for page, hashes in zip(texts(batch, "html"), texts(batch, "_hashes")):
+            for page, recurring in zip(texts(batch, "html"), texts(batch, hashes)):
                 root = parsed(page or "")
-                if hashes:
+                if recurring:
                     hashed(root)
-                out.append(main_text(root, frozenset(hashes or ())))
+                out.append(main_text(root, frozenset(recurring or ())))
             new = {"text": pa.array(out, pa.string()), "n_chars": pa.array(map(len, out), pa.int64())}
-            yield extended(batch.select([n for n in batch.schema.names if n != "_hashes"]), new)
+            yield extended(batch.select([n for n in batch.schema.names if n != hashes]), new)
 
     return rows.mapInArrow(run, with_fields(pages.schema, text="string", n_chars="long"))
