@@ -50,14 +50,18 @@ def validate_prices(rows: DataFrame, day: str = "trade_date", arrival: str = "se
     before = Window.unboundedPreceding, -1
     in_block = Window.partitionBy("symbol", "_block").orderBy(arrival).rowsBetween(*before)
     judged = (
-        rows.select("symbol", F.when(usable, F.col(day)).alias("_day"), *OHLCV, arrival, block)
+        rows.select(
+            "symbol", F.when(usable, F.col(day)).alias("_day"), arrival, block,
+            # Flags instead of the prices: all that the window and the shuffle carry.
+            (usable & (F.least(*OHLC) <= 0)).alias("_price"), (usable & (F.col("volume") < 0)).alias("_volume"),
+        )
         .withColumn("_seen", F.last("_day", ignorenulls=True).over(in_block))
         .withColumn("_arrived", F.when(F.col("_day").isNotNull(), F.col(arrival)))
         .groupBy("symbol", "_block")
         .agg(
             F.count("_day").alias("rows_here"),
-            _any_usable(F.least(*OHLC) <= 0).alias("bad_price"),
-            _any_usable(F.col("volume") < 0).alias("bad_volume"),
+            F.bool_or(F.coalesce("_price", F.lit(False))).alias("bad_price"),
+            F.bool_or(F.coalesce("_volume", F.lit(False))).alias("bad_volume"),
             _any_usable(F.col("_seen") > F.col("_day")).alias("falls"),
             F.min_by("_day", "_arrived").alias("first_day"),
             F.max_by("_day", "_arrived").alias("last_day"),

@@ -129,8 +129,8 @@ def migrate_tables(spark, sf):
     "migrate_verified",
     """SELECT 'orders' AS table_name, CAST(part AS varchar) AS part, n AS rows_source, n + (part = changed - 3)::int AS rows_target,
               part NOT IN (changed, changed - 3) AS is_equal
-       FROM (SELECT CAST(floor(o_orderkey / 1000) AS bigint) AS part, CAST(count(*) AS bigint) AS n FROM orders GROUP BY 1),
-            (SELECT CAST(floor(max(o_orderkey) / 1000) AS bigint) - 3 AS changed FROM orders)
+       FROM (SELECT CAST(floor(o_orderkey / 100) AS bigint) AS part, CAST(count(*) AS bigint) AS n FROM orders GROUP BY 1),
+            (SELECT CAST(floor(max(o_orderkey) / 100) AS bigint) - 3 AS changed FROM orders)
        UNION ALL
        SELECT 'customer', CAST(CAST(floor(c_custkey / 1000) AS bigint) AS varchar), count(*), count(*), true
        FROM customer GROUP BY floor(c_custkey / 1000)""",
@@ -138,9 +138,9 @@ def migrate_tables(spark, sf):
 def migrate_verified(spark, sf):
     """Two tables; in the copy of one, a row is changed in one key range and one repeated in another."""
     sources = {name: fx.table(spark, sf, name) for name in ("orders", "customer")}
-    parts = {"orders": F.floor(F.col("o_orderkey") / 1000), "customer": F.floor(F.col("c_custkey") / 1000)}
+    parts = {"orders": F.floor(F.col("o_orderkey") / 100), "customer": F.floor(F.col("c_custkey") / 1000)}
     targets, report = digest.migrate_verified(spark, sources, fresh_path(spark, "verified"), parts)
-    changed = sources["orders"].agg(F.floor(F.max("o_orderkey") / 1000)).first()[0] - 3
+    changed = sources["orders"].agg(F.floor(F.max("o_orderkey") / 100)).first()[0] - 3
     copy = spark.read.parquet(targets["orders"])
     in_part = copy.where(parts["orders"] == changed).agg(F.max("o_orderkey")).first()[0]
     planted = copy.withColumn("o_orderpriority", F.when(F.col("o_orderkey") != in_part, F.col("o_orderpriority")))
