@@ -201,11 +201,22 @@ def test_stages_take_empty_tables(spark, stage):
     assert stage(spark, empty, SF_DIR).collect() == []
 
 
-def test_every_query_is_registered_and_runs():
+def test_every_query_is_registered():
     names = set(corpus_pipeline.QUERIES)
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
+@pytest.mark.parametrize("name", [n for n, q in corpus_pipeline.QUERIES.items() if not q.sql])
+def test_query_without_sql_runs_whole(spark, name):
+    """A row for every row of its table; mixing repeats some, packing cuts some, the pipeline does both and drops some."""
+    rows = corpus_pipeline.QUERIES[name].run(spark, SF_DIR)
+    table, key = ("pages", "page_id") if name.startswith("op4") else ("documents", "doc_id")
+    every = {r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect()}
+    got = Counter(r[0] for r in rows.select(key).collect())
+    assert set(got) <= every and (name == "pipeline" or set(got) == every)
+    assert name in ("op7_mixing", "op9_packing", "pipeline") or set(got.values()) == {1}
+
+
 @pytest.mark.parametrize("name", [n for n, q in corpus_pipeline.QUERIES.items() if q.sql])
 def test_query_agrees_with_its_sql(spark, name):
     from compare import connect, difference
