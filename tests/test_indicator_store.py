@@ -41,6 +41,11 @@ def _bars(spark):
     return bars.withColumn("close", F.when(~odd, F.col("close")))
 
 
+@pytest.fixture(scope="module")
+def prices(spark):
+    return price_table(spark, _bars(spark))
+
+
 def _same(got, want):
     got, want = (df.toPandas().sort_values(["symbol", "Date"]).reset_index(drop=True) for df in (got, want))
     assert len(got) == len(want) and list(got.symbol) == list(want.symbol) and list(got.Date) == list(want.Date)
@@ -76,8 +81,7 @@ def test_late_and_corrected_bars_are_taken_in(spark):
     _same(store.indicators(), ind.indicator_table(bars))
 
 
-def test_only_new_months_and_one_folder_of_states_are_read(spark, monkeypatch):
-    prices = price_table(spark, _bars(spark))
+def test_only_new_months_and_one_folder_of_states_are_read(spark, prices, monkeypatch):
     store = IndicatorStore(spark, new_namespace(spark)).create()
     whole = refresh(store, prices)
     seen = {}
@@ -110,10 +114,9 @@ def test_no_bars_no_rows(spark):
     [ind.sma, ind.exponential_average, ind.bollinger, ind.macd, ind.stochastic, ind.average_true_range,
      ind.relative_strength, ind.indicator_table, ind.signals, ind.numbered_series],
 )
-def test_stored_bars_are_scanned_once(spark, compute):
-    prices = t.prices(spark, price_table(spark, _bars(spark)))
+def test_stored_bars_are_scanned_once(spark, prices, compute):
     arguments = [20, 50] if compute is ind.sma else []
-    assert len(_scans(compute(prices, *arguments))) == 1
+    assert len(_scans(compute(t.prices(spark, prices), *arguments))) == 1
 
 
 def test_signals_have_a_row_for_every_bar_and_explore_reads_the_last(spark):
