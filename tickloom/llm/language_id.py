@@ -44,9 +44,9 @@ LONGEST = 40  # longer words are scored in parts of so many characters
 SCALE = 1 << 20
 BUCKETS = 64  # hash buckets of words, each with the same share of the common ones
 BANDS = (0, 64, 256, 1024)  # lower ends of the length bands of the calibration
-_COUNTED_WORDS = 200_000  # counts kept by a task, a bound of its memory
+_COUNTED_WORDS = 400_000  # counts kept by a task, a bound of its memory
 _BLOCK_WINDOWS = 1 << 20  # windows whose scores a task holds at once
-_KEPT_WORDS = 1 << 17  # common words whose scores every task has
+_KEPT_WORDS = 1 << 18  # common words whose scores every task has
 _KEPT_SCORES = 1 << 22  # and at most so many numbers
 _WORD = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
