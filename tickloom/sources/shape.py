@@ -15,11 +15,16 @@ def wide_to_long(
     fields: Sequence[str],
     day: str = "trade_date",
     separator: str = "_",
+    names: str | None = None,
 ) -> DataFrame:
     """One row per (ticker, day) from a grid with a column per (ticker, field).
 
     Tickers with no column in the grid are skipped, a missing field is NULL and
     rows with no value at all are dropped. Each grid row unfolds in place.
+
+    Many grids of one width may lie in one frame: their columns then have the
+    names of slots, ``tickers`` lists the slots, and the column ``names`` maps
+    those of its row to tickers. A slot that has no ticker there is skipped.
     """
     types = {f.name: f.dataType for f in grid.schema}
 
@@ -41,11 +46,12 @@ def wide_to_long(
     rows = F.array(
         *[F.struct(F.lit(t).alias("symbol"), *[cell(t, f) for f in fields]) for t in present]
     )
-    return (
-        grid.select(day, F.inline(rows))
-        .dropna("all", subset=list(fields))
-        .select("symbol", day, *fields)
-    )
+    if names is None:
+        unfolded = grid.select(day, F.inline(rows)).dropna("all", subset=list(fields))
+    else:
+        slots = grid.select(day, names, F.inline(rows)).dropna("all", subset=list(fields))
+        unfolded = slots.withColumn("symbol", F.try_element_at(names, "symbol")).dropna(subset=["symbol"])
+    return unfolded.select("symbol", day, *fields)
 
 
 def enforce_schema(records: DataFrame, schema: StructType, report: str = "cast_errors") -> DataFrame:

@@ -159,22 +159,32 @@ def dirty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 GRID_SIZE = 50
 
 
-def tickers(spark: SparkSession, sf_dir: str) -> list[list[str]]:
-    """All symbols in blocks of GRID_SIZE: the column names of the grids a provider would send."""
-    names = sorted(r.symbol for r in directory(spark, sf_dir).select("symbol").distinct().collect())
-    return [names[i : i + GRID_SIZE] for i in range(0, len(names), GRID_SIZE)]
+def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All symbols in blocks of GRID_SIZE, each with its slot in its block: the grids a provider would send."""
+    names = directory(spark, sf_dir).select("symbol").where("symbol IS NOT NULL").distinct()
+    place = F.col("position") - 1
+    return with_position(names, "symbol").select(
+        "symbol", F.floor(place / GRID_SIZE).alias("grid"), (place % GRID_SIZE).cast("int").alias("slot")
+    )
+
 
+def wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider-style grids: one row a grid and day, one column per (slot, field), ``names`` from slot to ticker.
 
-def wide_prices(spark: SparkSession, sf_dir: str, tickers: list[str]) -> DataFrame:
-    """Provider-style grid: one row a day, one column per (ticker, field)."""
+    All grids have the same columns, so their number is one of rows and not of plans.
+    """
+    places = tickers(spark, sf_dir)
+    slot = F.col("slot")
     cells = [
-        F.max(F.when(F.col("symbol") == t, F.col(c))).alias(f"{t}_{c}")
-        for t in tickers
+        F.max(F.when(slot == i, F.col(c))).alias(f"{i}_{c}")
+        for i in range(GRID_SIZE)
         for c in ("close", "volume")
     ]
-    return (
-        bars(spark, sf_dir).where(F.col("symbol").isin(tickers)).groupBy("trade_date").agg(*cells)
-    )
+    # Dealt before it is grouped: a wide row for every bar would be moved otherwise.
+    laid = bars(spark, sf_dir).join(places, "symbol").repartition("grid", "trade_date")
+    name = F.struct(slot.cast("string").alias("slot"), "symbol")
+    names = places.groupBy("grid").agg(F.map_from_entries(F.collect_list(name)).alias("names"))
+    return laid.groupBy("grid", "trade_date").agg(*cells).join(names, "grid").drop("grid")
 
 
 def patchy_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
