@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.sources import shape
+from tickloom.sources import buckets, shape
 from tickloom.storage import fresh_path
 from tickloom.workload import QUERIES
 
@@ -52,3 +52,7 @@ def test_a_row_names_the_tickers_of_its_slots(spark):
     )
     got = shape.wide_to_long(grids, ["NONE", "0", "1"], ["close", "volume"], day="d", names="names")
     assert sorted(map(tuple, got.collect())) == [("A", 1, 1.0, None), ("B", 1, 2.0, 5), ("C", 1, 3.0, None)]
+
+
+def test_buckets_grow_with_the_bars():
+    assert [buckets.buckets_for(n) for n in (0, 1, 8_000_000, 8_000_001, 140_000_000)] == [8, 8, 8, 9, 140]

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 from tickloom.schemas import PRICE_COLUMNS, PRICE_KEY
 from tickloom.sources import tables as t
 
+BUCKET_ROWS = 1_000_000  # what one task lays out and sorts on an append
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """How many buckets keep each near BUCKET_ROWS bars; a bucket is one task, however many bars it has."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
 
 def create_bucketed(spark: SparkSession, name: str, buckets: int) -> None:
     """An empty bucketed price table, if there is none."""

@@ -12,7 +12,7 @@ from tickloom.operators.relational import clean_rows, normalize_prices, union_al
 from tickloom.schemas import OHLCV, PRICE_COLUMNS, schema_for
 from tickloom.sources import buckets, files, ledger
 from tickloom.sources import tables as t
-from tickloom.storage import fresh_path
+from tickloom.storage import Scratch, fresh_path
 from tickloom.workload import fixtures as fx
 from tickloom.workload.registry import query
 
@@ -157,8 +157,11 @@ def migrate_verified(spark, sf):
 )
 def new_bars_bucketed(spark, sf):
     name = f"{new_namespace(spark)}.bucketed"
-    buckets.create_bucketed(spark, name, 8)
-    buckets.append_bucketed(fx.stored_prices(spark, sf), name)
+    with Scratch(spark) as scratch:
+        # Counted before the table is made: its number of buckets is for good.
+        stored = scratch.stage(fx.stored_prices(spark, sf), "stored")
+        buckets.create_bucketed(spark, name, buckets.buckets_for(stored.count()))
+        buckets.append_bucketed(stored, name)
     return buckets.new_bars_bucketed(normalize_prices(clean_rows(fx.incoming(spark, sf), "dt"), "dt"), name)
 
 
