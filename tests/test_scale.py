@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
+from test_indicators import daily, make_bars
 from pyspark.sql import functions as F
 
+from tickloom.functions import indicators as ind
 from tickloom.sources import buckets, shape
 from tickloom.storage import fresh_path
 from tickloom.workload import QUERIES
@@ -56,3 +58,12 @@ def test_a_row_names_the_tickers_of_its_slots(spark):
 
 def test_buckets_grow_with_the_bars():
     assert [buckets.buckets_for(n) for n in (0, 1, 8_000_000, 8_000_001, 140_000_000)] == [8, 8, 8, 9, 140]
+
+
+def test_every_frame_is_run_once(spark):
+    bars = make_bars(spark, {"S": daily(date(2000, 1, 1), range(1, 60))})
+    for table in (ind.bollinger, ind.indicator_table):
+        plan = plan_of(table(bars))
+        frames = {line.split("Window [")[1] for line in plan.splitlines() if "Window [" in line and "stddev_pop(" in line}
+        # Several readers of the same rows repeat a window, so windows are told apart, not counted.
+        assert frames and all(f.count("stddev_pop(") == 1 and f.count("avg(close") <= 1 for f in frames)

@@ -62,10 +62,17 @@ def sma_column(length: int) -> Column:
     return _over_last(F.avg, "close", length)
 
 
-def band_columns(length: int = BAND_LENGTH, width: float = BAND_WIDTH) -> dict[str, Column]:
-    middle = sma_column(length)
-    spread = _over_last(F.stddev_pop, "close", length) * width
-    return {"bb_upper": middle + spread, "bb_middle": middle, "bb_lower": middle - spread}
+def _with_bands(rows: DataFrame, length: int = BAND_LENGTH, width: float = BAND_WIDTH, middle: str | None = None) -> DataFrame:
+    """Bollinger bands; ``middle`` is a column that holds the average already.
+
+    Each frame is run once: a window expression that is written several times is computed as often.
+    """
+    found = {"bb_middle": F.col(middle) if middle else sma_column(length)}
+    return (
+        rows.withColumns({**found, "_spread": _over_last(F.stddev_pop, "close", length) * width})
+        .withColumns({"bb_upper": F.col("bb_middle") + F.col("_spread"), "bb_lower": F.col("bb_middle") - F.col("_spread")})
+        .drop("_spread")
+    )
 
 
 def _with_stochastic(rows: DataFrame, k: int, d: int, smooth_k: int) -> DataFrame:
@@ -140,9 +147,8 @@ def exponential_average(bars: DataFrame, length: int = EMA_LENGTH) -> DataFrame:
 
 
 def bollinger(bars: DataFrame, length: int = BAND_LENGTH, width: float = BAND_WIDTH) -> DataFrame:
-    columns = band_columns(length, width)
-    rows = in_order(bars, ["close"], length - 1)
-    return _own(rows.withColumns(columns), "close", *columns)
+    rows = _with_bands(in_order(bars, ["close"], length - 1), length, width)
+    return _own(rows, "close", "bb_upper", "bb_middle", "bb_lower")
 
 
 def macd(
@@ -188,7 +194,8 @@ def indicator_rows(bars: DataFrame, state: DataFrame | None = None, keep_states:
     each bar.
     """
     rows = in_order(bars, OHLCV, TABLE_LOOKBACK, _READ, state)
-    rows = rows.withColumns({"sma_20": sma_column(SMA_LENGTH), **band_columns()})
+    rows = rows.withColumn("sma_20", sma_column(SMA_LENGTH))
+    rows = _with_bands(rows, middle="sma_20" if SMA_LENGTH == BAND_LENGTH else None)
     rows = _with_moves(_with_stochastic(rows, STOCH_K, STOCH_D, STOCH_SMOOTH))
     table = smooth(rows, table_smoothers(), state, keep_states)
     return table.withColumns({**_macd_columns(), "rsi_14": _rsi_column()})
