@@ -56,10 +56,25 @@ def test_a_row_names_the_tickers_of_its_slots(spark):
     assert sorted(map(tuple, got.collect())) == [("A", 1, 1.0, None), ("B", 1, 2.0, 5), ("C", 1, 3.0, None)]
 
 
+def sorts_of(spark, df) -> int:
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    return sum("Sort [symbol" in line and "usable" in line for line in lines)
+
+
 def test_buckets_grow_with_the_bars():
     assert [buckets.buckets_for(n) for n in (0, 1, 8_000_000, 8_000_001, 140_000_000)] == [8, 8, 8, 9, 140]
 
 
+def test_running_extremes_are_sorted_once_each_way(spark):
+    bars = make_bars(spark, {"S": daily(date(2000, 1, 1), range(1, 60))})
+    # To number the bars, to find the starts, and for the extremes from either end of a block.
+    assert sorts_of(spark, ind.rolling_extremes(bars, 30)) == 4
+
+
 def test_every_frame_is_run_once(spark):
     bars = make_bars(spark, {"S": daily(date(2000, 1, 1), range(1, 60))})
     for table in (ind.bollinger, ind.indicator_table):

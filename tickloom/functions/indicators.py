@@ -235,7 +235,9 @@ def rolling_extremes(bars: DataFrame, length: int) -> DataFrame:
         frame = order.rowsBetween(Window.unboundedPreceding, 0)
         rows = rows.withColumns({f"{way}_{c}": f(c).over(frame) for c, f in running.items()})
     combined = {"low": F.least, "high": F.greatest}
-    opened = {c: F.lag(f"_back_{c}", length - 1).over(in_era()) if length > 1 else F.col(f"_back_{c}") for c in running}
+    # The order of in_era(), in the terms of the running extremes: the rows are not sorted once more.
+    in_place = Window.partitionBy(*ERA, "usable").orderBy("_part", "_place")
+    opened = {c: F.lag(f"_back_{c}", length - 1).over(in_place) if length > 1 else F.col(f"_back_{c}") for c in running}
     columns = {f"{c}_{length}": F.when(F.col("n") >= length, f(opened[c], F.col(f"_on_{c}"))) for c, f in combined.items()}
     return _own(rows.withColumns(columns), "low", "high", *columns)
 
