@@ -82,3 +82,23 @@ def test_every_frame_is_run_once(spark):
         frames = {line.split("Window [")[1] for line in plan.splitlines() if "Window [" in line and "stddev_pop(" in line}
         # Several readers of the same rows repeat a window, so windows are told apart, not counted.
         assert frames and all(f.count("stddev_pop(") == 1 and f.count("avg(close") <= 1 for f in frames)
+
+
+def test_eras_are_dealt_over_tasks_of_few_bars(spark):
+    bars = make_bars(spark, {f"S{i}": daily(date(2000, 1, 1), range(1, 40)) for i in range(30)})
+    for table in (ind.sma(bars, 20, 50), ind.macd(bars)):
+        # Neither merged by the size of their files nor broadcast because the bars compress well.
+        assert table.rdd.getNumPartitions() >= 192
+        plan = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        moved = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+        assert "BuildLeft" not in plan and sum("ReusedExchange" not in line for line in moved) == 1
+
+
+def test_bars_without_look_back_carry_no_context(spark):
+    bars = make_bars(spark, {"S": daily(date(1999, 12, 1), range(1, 60)), "T": daily(date(1999, 12, 30), [3.0, float("nan"), 5.0, 10.0])})
+    got = ind.macd(bars, 2, 3, 2)
+    # One sort for the states at the ends of blocks and one for the rows.
+    assert sorts_of(spark, got) == 2 and "explode(CASE" not in plan_of(got)
+    line = {r.trade_date.day: r.macd for r in got.where("symbol = 'T'").collect()}
+    assert line == {30: None, 31: None, 1: None, 2: pytest.approx(2.0)}
+    assert got.where("symbol = 'S'").count() == 59

@@ -8,6 +8,9 @@ from earlier ones is small and is computed apart:
 * its *context*: the last ``lookback`` bars before it, for frames that reach back;
 * the number of bars before it, for positions counted from the first bar.
 
+Eras are dealt over at least ``PARTITIONS`` tasks. Bars compress well, so tasks
+merged by the size of their files would sort millions of them at once.
+
 Bars that lack a needed price are *unusable*: they keep their rows, but in a
 window partition of their own, so that no frame meets them. The bars are read
 once and shuffled once, on (symbol, era).
@@ -26,6 +29,7 @@ from tickloom.functions.scalars import is_missing
 
 ERA_YEARS = 10
 BLOCK_MONTHS = 2  # divides a year, so a block never spans two eras
+PARTITIONS = 192  # tasks that the eras are dealt over, or the session's shuffle partitions if they are more
 
 ERA = ["symbol", "era"]
 
@@ -49,6 +53,14 @@ def _block() -> Column:
     return F.floor(month / BLOCK_MONTHS).cast("int")
 
 
+def _dealt(keyed: DataFrame) -> DataFrame:
+    """By symbol and era, over a number of tasks that adaptive execution keeps; without it the session's number holds."""
+    conf = keyed.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") != "true":
+        return keyed.repartition(*ERA)
+    return keyed.repartition(max(PARTITIONS, int(conf.get("spark.sql.shuffle.partitions"))), *ERA)
+
+
 def is_complete(columns: Sequence[str]) -> Column:
     """A symbol, a date, and neither NULL nor NaN in ``columns``."""
     return reduce(and_, [~is_missing(c) for c in ("symbol", "trade_date", *columns)])
@@ -70,11 +82,14 @@ def in_order(
     ``state`` (symbol, n, tail) continues series: the number of usable bars
     before the first of ``bars``, and the last of them.
     """
-    lookback = max(1, lookback)
-    complete = is_complete(values if needed is None else needed)
+    needed = list(values) if needed is None else list(needed)
     keyed = bars.select("symbol", "trade_date", *values).where(is_complete([]))
-    marked = keyed.withColumns({"era": F.coalesce(_era(), F.lit(0)), "usable": complete})
-    placed = marked.repartition(*ERA).withColumn("block", _block())
+    dealt = _dealt(keyed.withColumn("era", F.coalesce(_era(), F.lit(0))))
+    # Judged after the bars are dealt: what reads ``usable`` then reads the same shuffle as the bars.
+    placed = dealt.withColumns({"usable": is_complete(needed), "block": _block()})
+    if not lookback and set(values) <= set(needed) and state is None:
+        return _numbered(placed, values)
+    lookback = max(1, lookback)
     bar = F.struct("trade_date", *values)
     # Only an era's last bars are ever held in an array. Unusable ones are left out inside the
     # aggregates: a filter would reach the scan and part this plan from the one it shares a shuffle with.
@@ -88,10 +103,8 @@ def in_order(
         F.min(F.when(F.col("usable"), F.col("_first"))).alias("first_day"),
         F.sort_array(F.collect_list(F.when(F.col("usable"), bar))).alias("tail"),
     )
-    history = Window.partitionBy("symbol").orderBy("era").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("bars_here").over(history), F.lit(0))
-    tails = F.flatten(F.collect_list("tail").over(history))
-    starts = eras.select(*ERA, "first_day", before.alias("bars_before"), tails.alias("context"))
+    tails = F.flatten(F.collect_list("tail").over(_history()))
+    starts = eras.select(*ERA, "first_day", _bars_before().alias("bars_before"), tails.alias("context"))
     if state is not None:
         kept = F.transform("tail", lambda b: F.struct(b["trade_date"].alias("trade_date"), *[b[v].alias(v) for v in values]))
         earlier = state.select("symbol", F.col("n").alias("_n"), kept.alias("_tail"))
@@ -105,7 +118,7 @@ def in_order(
     opens = F.col("usable") & (F.col("trade_date") == F.col("first_day"))
     rows = F.when(opens, F.concat("context", own)).otherwise(own)
     return (
-        placed.join(starts, ERA)
+        placed.join(_hashed(starts), ERA)
         .select(
             *ERA,
             "usable",
@@ -127,6 +140,34 @@ def in_order(
     )
 
 
+def _numbered(placed: DataFrame, values: Sequence[str]) -> DataFrame:
+    """``in_order`` without context: the bars of earlier eras are counted, none is carried over or sorted for it."""
+    eras = placed.groupBy(*ERA).agg(F.count_if("usable").alias("bars_here"))
+    starts = eras.select(*ERA, _bars_before().alias("bars_before"))
+    return placed.join(_hashed(starts), ERA).select(
+        *ERA,
+        "usable",
+        "block",
+        "trade_date",
+        *values,
+        F.when(F.col("usable"), F.col("bars_before") + F.row_number().over(in_era())).cast("int").alias("n"),
+        F.lit(False).alias("is_context"),
+    )
+
+
+def _history() -> Window:
+    return Window.partitionBy("symbol").orderBy("era").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _bars_before() -> Column:
+    return F.coalesce(F.sum("bars_here").over(_history()), F.lit(0))
+
+
+def _hashed(starts: DataFrame) -> DataFrame:
+    """One row an era, so hashed in each task; left to its estimates Spark may sort the bars for the join or broadcast them."""
+    return starts.hint("shuffle_hash")
+
+
 def last_of(array: Column, k: int) -> Column:
     """The last ``k`` items of an array, or all of a shorter one."""
     return F.slice(array, F.greatest(F.size(array) - k + 1, F.lit(1)), k)
