@@ -17,7 +17,7 @@ from tickloom.operators.positions import with_running_sum
 from tickloom.operators.quality import missing_intervals
 from tickloom.operators.relational import balanced_batches
 from tickloom.schemas import schema_for
-from tickloom.sources import buckets, provider
+from tickloom.sources import buckets, files, provider
 from tickloom.sources.variants import as_variant, variant_to_long
 from tickloom.storage import fresh_path
 from tickloom.workload.tables import new_namespace
@@ -172,3 +172,36 @@ def test_provider_filters_retries_and_stream_offsets(spark):
     assert run() == 3  # nothing new
     provider.write_plan(plan.where("request_no = 1"), plans, "p2")
     assert run() == 4
+
+
+def test_many_requests_share_the_tasks_of_a_scan():
+    asked = [provider.Request(i, ("A",), None) for i in range(1000)]
+    dealt = provider._dealt(asked)
+    assert len(dealt) == provider.MAX_TASKS
+    assert sorted(r.request_no for part in dealt for r in part.requests) == list(range(1000))
+    assert [len(part.requests) for part in provider._dealt(asked[:3])] == [1, 1, 1]
+
+
+def test_folders_by_symbol_hold_every_row(spark):
+    names = F.expr("CASE WHEN id < 45000 THEN 'HOT' WHEN id % 5 < 4 THEN concat('S', id % 5) END")
+    rows = spark.range(50_000).select(
+        names.alias("symbol"), F.when(F.col("id") % 9 > 0, F.date_add(F.lit(DAY), F.col("id").cast("int") % 700)).alias("dt"),
+        F.when(F.col("id") % 7 > 0, F.col("id") / 3).alias("close"),
+    ).repartition(3, "symbol").sortWithinPartitions("symbol")
+    folder = fresh_path(spark, "landed")
+    provider.write_by_symbol(rows, folder)
+    back = spark.read.parquet(folder).select(*rows.columns)
+    assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+    hot = provider.landed_files(folder)(provider.Request(0, ("HOT", "NONE"), DAY))
+    assert hot.num_rows == rows.where((F.col("symbol") == "HOT") & (F.col("dt") > F.lit(DAY))).count()
+    # One file a symbol and task, whether its rows fill many batches or few.
+    assert len(back.inputFiles()) == 6
+
+
+def test_csv_files_by_symbol_keep_names(spark):
+    root = fresh_path(spark, "tree")
+    days = spark.createDataFrame([(DAY, 2.0, 3.0, 1e20, None, 7)], "Date date, Close double, High double, Low double, Open double, Volume long")
+    names = spark.createDataFrame([(n,) for n in ("BRK B", "A^A", "C+%20", "É/x")], "symbol string")
+    provider.write_by_symbol(names.crossJoin(days).coalesce(1).sortWithinPartitions("symbol"), f"{root}/etfs", "csv")
+    got = sorted((r.kind, r.symbol, r.trade_date, r.open, r.close, r.low, r.volume) for r in files.price_csv_tree(spark, root).collect())
+    assert got == sorted(("etfs", s, DAY, None, 2.0, 1e20, 7) for s in ("A^A", "BRK B", "C+%20", "É/x"))

@@ -2,7 +2,8 @@
 
 Requests (a few symbols and the day from which on they are wanted) are planned
 as a table and become the partitions of the scan: each is fetched by one task,
-retried there, and reported row by row if it keeps failing. Filters on symbol
+retried there, and reported row by row if it keeps failing. Of a plan of more
+than ``MAX_TASKS`` requests a task fetches several, one after the other. Filters on symbol
 and day reach the provider. As a stream the source fetches every plan once; its
 offset is the name of the last plan.
 """
@@ -13,11 +14,15 @@ import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.csv as pacsv
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
-from pyspark import cloudpickle
+import pyarrow.parquet as pq
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -41,6 +46,7 @@ from tickloom.operators.enrich import MAX_ATTEMPTS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BARS = "symbol string, dt date, open double, high double, low double, close double, volume bigint"
+MAX_TASKS = 256  # a task costs more than a small request
 REPORT = "request_no int, status string, attempts int, error string"
 _ARROW = pa.schema([
     ("symbol", pa.string()), ("dt", pa.date32()), *[(c, pa.float64()) for c in ("open", "high", "low", "close")],
@@ -63,9 +69,21 @@ class Request(InputPartition):
     attempt: int = 1
 
 
+@dataclass
+class Requests(InputPartition):
+    """What one task fetches."""
+
+    requests: tuple[Request, ...]
+
+
 Fetch = Callable[[Request], pa.Table]
 
 
+def _dealt(requests: Sequence[Request]) -> list[Requests]:
+    n = min(len(requests), MAX_TASKS)
+    return [Requests(tuple(requests[i::n])) for i in range(n)]
+
+
 def write_plan(requests: DataFrame, folder: str, name: str) -> None:
     """Store requests (request_no, symbols, after) as the plan ``name``; later plans need greater names."""
     requests.select(
@@ -141,10 +159,11 @@ class _Reader(DataSourceReader):
             symbols = r.symbols if self.symbols is None else tuple(s for s in r.symbols if s in self.symbols)
             if symbols:
                 found.append(replace(r, symbols=symbols, first=self.first, last=self.last))
-        return found or [Request(-1, (), None)]
+        return _dealt(found) or [Requests(())]
 
-    def read(self, partition: Request) -> Iterator[pa.RecordBatch]:
-        return _rows(self.fetch, partition, self.attempts) if partition.symbols else iter(())
+    def read(self, partition: Requests) -> Iterator[pa.RecordBatch]:
+        for request in partition.requests:
+            yield from _rows(self.fetch, request, self.attempts)
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -159,10 +178,11 @@ class _StreamReader(DataSourceStreamReader):
         return {"plan": max(_plans(self.folder), default="")}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return _requests(self.folder, [p for p in _plans(self.folder) if start["plan"] < p <= end["plan"]])
+        return _dealt(_requests(self.folder, [p for p in _plans(self.folder) if start["plan"] < p <= end["plan"]]))
 
-    def read(self, partition: Request) -> Iterator[pa.RecordBatch]:
-        return _rows(self.fetch, partition, self.attempts)
+    def read(self, partition: Requests) -> Iterator[pa.RecordBatch]:
+        for request in partition.requests:
+            yield from _rows(self.fetch, request, self.attempts)
 
 
 def register(spark: SparkSession, name: str, fetch: Fetch) -> None:
@@ -191,6 +211,53 @@ def register(spark: SparkSession, name: str, fetch: Fetch) -> None:
     spark.dataSource.register(Provider)
 
 
+def write_by_symbol(rows: DataFrame, folder: str, ending: str = "parquet") -> None:
+    """Write rows as a provider lands them: Parquet in folders ``symbol=NAME``, or CSV files ``symbol=NAME.csv``.
+
+    Rows come sorted by symbol within their partitions; for CSV, whose names are escaped, all rows of a
+    symbol lie in one. A task writes the files of its symbols itself and a repeated one replaces them:
+    Spark's committer moves every file and sets the rights of each by a process of its own, which is
+    not made for a file a symbol.
+    """
+
+    def opened(symbol: str | None, schema: pa.Schema) -> tuple[pa.NativeFile, pq.ParquetWriter | pacsv.CSVWriter]:
+        files, at = _files(folder)
+        label = "__HIVE_DEFAULT_PARTITION__" if symbol is None else symbol
+        if ending == "csv":
+            out = files.open_output_stream(f"{at}/symbol={quote(label, safe='')}.csv")
+            return out, pacsv.CSVWriter(out, schema)
+        files.create_dir(f"{at}/symbol={label}", recursive=True)
+        out = files.open_output_stream(f"{at}/symbol={label}/part-{TaskContext.get().partitionId():05d}.{ending}")
+        return out, pq.ParquetWriter(out, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbol, out, made = None, None, 0
+        for batch in batches:
+            names = batch.column(batch.schema.get_field_index("symbol"))
+            own = batch.drop_columns(["symbol"])
+            # Where the next row has another symbol; NULL differs from all but NULL.
+            known = pc.fill_null(names, ""), pc.is_null(names)
+            new = [pc.not_equal(c[1:], c[:-1]) for c in known]
+            ends = [*pc.indices_nonzero(pc.or_(*new)).to_pylist(), batch.num_rows - 1] if batch.num_rows else []
+            start = 0
+            for end in ends:
+                if out is None or names[end].as_py() != symbol:
+                    if out is not None:
+                        writer.close(), out.close()
+                    symbol = names[end].as_py()
+                    out, writer = opened(symbol, own.schema)
+                    made += 1
+                writer.write_batch(own.slice(start, end + 1 - start))
+                start = end + 1
+        if out is not None:
+            writer.close(), out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.int64())], names=["files"])
+
+    files, at = _files(folder)
+    files.create_dir(at, recursive=True)
+    rows.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def landed_files(folder: str) -> Fetch:
     """A provider that answers from files landed in folders by symbol (``symbol=NAME``)."""
 

@@ -93,7 +93,7 @@ def fetch_source(spark, sf):
     landed, plans = fresh_path(spark, "landed"), fresh_path(spark, "plans")
     rows = fx.incoming(spark, sf).where("dt IS NOT NULL")
     by_symbol = rows.withColumn("symbol", F.upper("symbol")).repartition("symbol")
-    by_symbol.write.partitionBy("symbol").parquet(landed)
+    provider.write_by_symbol(by_symbol.sortWithinPartitions("symbol"), landed)
     held_since = F.coalesce(F.date_sub("last_update", 200), F.lit(date(1990, 1, 1)))
     wanted = fx.metadata(spark, sf).select("symbol", held_since.alias("after"))
     numbered = with_position(wanted, "symbol").withColumn("request_no", F.floor((F.col("position") - 1) / 5))
