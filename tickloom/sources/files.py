@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickloom.schemas import OHLCV, schema_for
 
@@ -85,7 +85,7 @@ def metadata_csv(spark: SparkSession, path: str) -> DataFrame:
 def price_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     """One table from ``stocks/<symbol>.csv`` and ``etfs/<symbol>.csv`` under ``root``.
 
-    Folders named ``symbol=<symbol>``, as Spark writes them, are read too. Kind
+    Folders named ``symbol=<symbol>``, as Spark writes them, and files named so are read too. Kind
     and symbol come from the path, so the files themselves need no key column;
     their columns are found by header name. Symbols are decoded once from the
     path's own escapes, and again below ``symbol=``, where the writer escaped
@@ -93,7 +93,13 @@ def price_csv_tree(spark: SparkSession, root: str) -> DataFrame:
     """
     schema = StructType.fromDDL("Date date, Open double, High double, Low double, Close double, Volume bigint")
     place = r"/(stocks|etfs)/(symbol=)?([^/]+?)(?:\.csv|/[^/]*)$"
-    rows = spark.read.options(header=True, enforceSchema=False, recursiveFileLookup=True).csv(root)
+    reader = spark.read.options(header=True, enforceSchema=False, recursiveFileLookup=True)
+    # The header comes from one line: to infer it Spark would list every file by a task of its own.
+    lines = spark.read.option("recursiveFileLookup", True).text(root).where("trim(value) <> ''").limit(1).collect()
+    if lines:
+        names = spark.read.csv(spark.sparkContext.parallelize([lines[0].value], 1), header=True).columns
+        reader = reader.schema(StructType([StructField(n, StringType()) for n in names]))
+    rows = reader.csv(root)
     missing = [f.name for f in schema if f.name not in rows.columns]
     if missing:
         raise ValueError(f"no columns {missing} in the header {rows.columns}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import digest
 from tickloom.operators.relational import clean_rows, normalize_prices, union_all
 from tickloom.schemas import OHLCV, PRICE_COLUMNS, schema_for
-from tickloom.sources import buckets, files, ledger
+from tickloom.sources import buckets, files, ledger, provider
 from tickloom.sources import tables as t
 from tickloom.storage import Scratch, fresh_path
 from tickloom.workload import fixtures as fx
@@ -95,10 +95,12 @@ def csv_tree_to_table(spark, sf):
     flagged = named.join(listing(spark, sf).select("symbol", "is_etf"), "symbol")
     flagged = flagged.withColumn("symbol", F.concat("symbol", F.lit(" ^A+%")))
     for kind, etf in (("stocks", False), ("etfs", True)):
-        part = flagged.where(F.col("is_etf") == etf).drop("is_etf").repartitionByRange("symbol", "Date")
-        part.write.partitionBy("symbol").csv(f"{root}/{kind}", header=True)
-    tree = files.price_csv_tree(spark, root)
-    tree.repartitionByRange("kind", "symbol", "trade_date").write.partitionBy("kind").parquet(target)
+        part = flagged.where(F.col("is_etf") == etf).drop("is_etf").repartitionByRange("symbol")
+        provider.write_by_symbol(part.sortWithinPartitions("symbol", "Date"), f"{root}/{kind}", "csv")
+    with Scratch(spark) as scratch:
+        # Ranges are found from a first pass over the rows: each file of the tree is opened once.
+        tree = scratch.stage(files.price_csv_tree(spark, root), "tree-rows")
+        tree.repartitionByRange("kind", "symbol", "trade_date").write.partitionBy("kind").parquet(target)
     return spark.read.parquet(target).select("kind", *PRICE_COLUMNS)
 
 
