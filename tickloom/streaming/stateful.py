@@ -15,9 +15,8 @@ from collections.abc import Iterator
 from datetime import date, datetime, timedelta
 from typing import Any
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,7 +30,7 @@ from tickloom.storage import Scratch
 
 PART = "released_by"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_CHUNK = 10_000  # held rows handed on at once
+_CHUNK = 10_000  # rows of a symbol that a task holds at once
 _EVENT = "key string, request string, last_update date, day date, payload string"
 
 # Tasks get the processor by value, so workers need not have the package.
@@ -55,24 +54,35 @@ class HoldUntilRequested(StatefulProcessor):
         self.request = handle.getValueState("request", "run string, last_update date")
         self.held = handle.getListState("held", "held_on date, day date, payload string")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        # Every call to the state is a message to the JVM, so the request is read once and written once.
         self._expire()
-        for chunk in rows:
-            asked = chunk[chunk["request"].notna()]
-            for name, last in zip(asked["request"], asked["last_update"]):
-                self.request.update((name, None if pd.isna(last) else last))
-            landed = chunk.loc[chunk["request"].isna(), ["day", "payload"]]
-            wanted, last = self._wanted()
-            if wanted:
-                yield self._later(landed, last)
-            elif len(landed):
-                days = [None if pd.isna(d) else d for d in landed["day"]]
-                self.held.appendList([(self.run_date, d, p) for d, p in zip(days, landed["payload"])])
-        wanted, last = self._wanted()
-        if wanted and self.held.exists():
-            for part in self._parts():
-                yield self._later(pd.DataFrame(part, columns=["held_on", "day", "payload"]), last)
-            self.held.clear()
+        now, asked, landed = self.request.get(), False, []
+        for row in rows:
+            if row["request"] is not None:
+                now, asked = (row["request"], row["last_update"]), True
+            else:
+                landed.append((self.run_date, row["day"], row["payload"]))
+            if len(landed) == _CHUNK:
+                yield from self._passed(landed, now)
+                landed = []
+        if asked:
+            self.request.update(now)
+        yield from self._passed(landed, now)
+        if self._is_wanted(now):
+            found = False
+            for row in self.held.get():
+                found = True
+                yield from self._later([row], now[1])
+            if found:
+                self.held.clear()
+
+    def _passed(self, landed: list[tuple], now: Any) -> Iterator[Row]:
+        """The landed rows that are asked for; others are held."""
+        if self._is_wanted(now):
+            yield from self._later(landed, now[1])
+        elif landed:
+            self.held.appendList(landed)
 
     def _parts(self) -> Iterator[list[tuple]]:
         part = []
@@ -92,16 +102,14 @@ class HoldUntilRequested(StatefulProcessor):
             kept = [row for part in self._parts() for row in part if row[0] >= self.hold_from]
             self.held.put(kept) if kept else self.held.clear()
 
-    def _wanted(self) -> tuple[bool, Any]:
-        now = self.request.get() if self.request.exists() else None
-        return now is not None and now[0] == self.run, now and now[1]
+    def _is_wanted(self, now: Any) -> bool:
+        return now is not None and now[0] == self.run
 
     @staticmethod
-    def _later(rows: pd.DataFrame, last: Any) -> pd.DataFrame:
-        if last is not None:
-            later = [not pd.isna(d) and pd.Timestamp(d) > pd.Timestamp(last) for d in rows["day"]]
-            rows = rows.loc[pd.Series(later, index=rows.index, dtype=bool)]
-        return rows[["payload"]]
+    def _later(rows: list[tuple], last: date | None) -> Iterator[Row]:
+        for _, day, payload in rows:
+            if last is None or (day is not None and day > last):
+                yield Row(payload=payload)
 
     def close(self) -> None:
         pass
@@ -145,7 +153,7 @@ def release(
     passed = (
         events.where(F.col("key").isNotNull())
         .groupBy("key")
-        .transformWithStateInPandas(
+        .transformWithState(
             HoldUntilRequested(run, run_date, run_date - hold_for if hold_for is not None else None), "payload string", "Append", "None"
         )
         .select(F.from_json("payload", landing_schema).alias("row"))
