@@ -373,3 +373,12 @@ def test_levels_follow_the_sum_of_squares():
         assert chosen in open_ and change(chosen, size) == min(change(h, size) for h in open_)
         packer.add(packing.Piece(1, 0, np.zeros(size, "<u4"), size))
     assert packer.counts.sum() < 60
+
+
+def test_the_second_tokenizer_is_loaded_when_a_text_needs_it():
+    encode = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = encode("plain words") + encode("")
+    assert plain and "own" not in vars(encode)
+    text = "a<|endoftext|>b" + "x" * 1200
+    assert encode(text) == encode.own.encode(text, add_special_tokens=False).ids and "own" in vars(encode)
+    assert encode("plain words") == plain

@@ -15,6 +15,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,9 @@ from pyspark.sql import DataFrame
 
 from tickloom.llm.common import sliced, texts, travels
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 travels(__name__)
 
 WINDOW = 2048
@@ -50,16 +55,25 @@ class Encoder:
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.own = Tokenizer.from_file(json_path)
-        self.special = self.own.token_to_id(_SPECIAL)
+        self.json_path = json_path
         self.ranks = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
+    @cached_property
+    def own(self) -> Tokenizer:
+        """The file's own library, loaded with the first text that needs it: it takes more memory than the ranks."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
+    @cached_property
+    def special(self) -> int:
+        return self.own.token_to_id(_SPECIAL)
+
     def __call__(self, text: str) -> list[int]:
         if _LONG_RUN.search(text):
             return self.own.encode(text, add_special_tokens=False).ids
