@@ -110,6 +110,30 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_near_misses_meet_in_few_lists_and_no_link_is_lost(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = [
+        (i, " ".join(w if rng.random() < 0.975 else f"x{rng.randrange(10**9)}" for w in base)) for i in range(20)
+    ]
+    # A link across classes: 20 is near to 0 and 21 to 20.
+    for i, of in ((20, 0), (21, 20)):
+        words = rows[of][1].split()
+        words[200 + i] = f"y{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {}
+    real = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, label: seen.setdefault(label, real(df, label)) if label == "mixed" else real(df, label))
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.linked(docs).collect()}
+    assert got == ngram_join.all_links_by_brute_force(spark, rows)
+    entries = seen["mixed"].where("pos >= 0").select("gram", "node", "root")
+    other = entries.toDF("gram", "n", "r")
+    shared = entries.join(other, "gram").where("node > n AND root <> r").count()
+    met = ngram_join._meetings(seen["mixed"], 85)
+    assert 0 < met.count() <= shared / 3
+
+
 # mixing
 
 
@@ -153,6 +177,17 @@ def test_exponent_by_hand(spark):
     assert -(p * math.log(p) + (1 - p) * math.log(1 - p)) / math.log(2) == pytest.approx(0.8, abs=1e-6)
 
 
+def test_passes_of_the_exponent_share_their_code(spark):
+    compiled = spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME()
+    counts = []
+    for most in (1000, 800):
+        totals = spark.createDataFrame([("a", most, float(most)), ("b", 10, float(most))], "_source string, tokens long, most double")
+        before = compiled.getCount()
+        mixing.exponent(totals, mixing.Target(repetitions=3.0))
+        counts.append(compiled.getCount() - before)
+    assert counts[0] <= 6 and counts[1] == 0
+
+
 def test_a_budget_cuts_by_whole_blocks(spark):
     got = mixing.mix(_docs(spark), mixing.Target(repetitions=1.5, budget=6000), blocks=64)
     n = got.groupBy("source").agg(F.sum(F.greatest(F.lit(1), mixing.word_count(F.col("text")))).alias("n"), F.first("weight").alias("w"))

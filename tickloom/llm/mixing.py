@@ -50,17 +50,22 @@ class Target:
 
 
 def _measure(totals: DataFrame, exponents: list[float], target: Target) -> list[float]:
-    """Largest repetition, or entropy, of the mix at each exponent: one pass over the sources."""
+    """Largest repetition, or entropy, of the mix at each exponent: one pass over the sources.
+
+    A source is a row for each exponent, so every pass has the same few sums and
+    runs the code compiled for the first.
+    """
     ratio = F.col("tokens") / F.col("most")
-    sums = []
-    for a in exponents:
-        part = F.pow(ratio, F.lit(a))
-        sums += [F.sum(part), F.sum(part * F.log(part)), F.max(part / ratio), F.min(part / ratio)]
-    row = totals.agg(*sums, F.count(F.lit(1)), F.sum("tokens"), F.max("most")).first()
-    n, tokens, most = row[-3], row[-2], row[-1]
+    part = F.pow(ratio, F.col("a"))
+    rows = (
+        totals.select("tokens", "most", F.posexplode(F.array(*map(F.lit, exponents))).alias("i", "a"))
+        .groupBy("i").agg(
+            F.sum(part), F.sum(part * F.log(part)), F.max(part / ratio), F.min(part / ratio),
+            F.count(F.lit(1)), F.max("most"),
+        )
+    ).collect()
     out = []
-    for i in range(len(exponents)):
-        z, zlog, high, low = row[4 * i : 4 * i + 4]
+    for _, z, zlog, high, low, n, most in sorted(rows):
         if target.entropy is not None:
             # The largest entropy is log(n); less negative is flatter.
             out.append(1.0 - (math.log(z) - zlog / z) / math.log(n) if n > 1 else 0.0)

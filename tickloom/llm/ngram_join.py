@@ -15,7 +15,9 @@ shared passages out of the prefixes.
 Only connected classes are asked for, so pairs within one class need not all be
 compared. First every node is compared with the head of its lists (a star,
 linear in the nodes); then the pairs of a list that still lie in different
-classes. A list whose members are one class makes no pairs.
+classes. A list whose members are one class makes no pairs. A pair is made in
+the first lists it shares only, short lists first, and what it shares is then
+counted once from the lists of both.
 """
 
 from __future__ import annotations
@@ -298,22 +300,35 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _crossing_pairs(
     rows: DataFrame, lists: DataFrame, members: DataFrame, classes: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of a list whose nodes lie in different classes and pass the filters.
-
-    Each such pair has a node outside the list's largest class, so only those
-    are joined with the list.
-    """
+    """Pairs of nodes that share a list, lie in different classes and pass the filters."""
     placed = members.join(classes, "node", "left").select("gid", "node", F.coalesce("root", "node").alias("root"))
     spans = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    lists = lists.drop("groups")
     mixed = (
-        lists.join(spans, "gid").groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .where("lo <> hi").select("gram")
+        lists.join(spans, "gid")
+        .groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("groups"))
+        .where("lo <> hi").select("gram", "groups")
     )
     marks = [F.col("marks")[i].alias(f"m{i}") for i in range(_MARKS)]
     marked = rows.select("gid", "hidden", *marks).where("gid IS NOT NULL").dropDuplicates(["gid"])
-    entries = lists.join(mixed, "gram", "left_semi").join(placed, "gid").join(marked, "gid")
-    columns = ("node", "root", "size", "pos", "hidden", *[f"m{i}" for i in range(_MARKS)])
-    entries = written(entries.select("gram", *columns), "mixed")
+    # Of a group's lists, short ones first: how many are left, this one included.
+    behind = Window.partitionBy("gid").orderBy(F.col("pos") < 0, F.desc("groups"), F.desc("gram"))
+    left = F.when(F.col("pos") < 0, F.col("size")).otherwise(F.row_number().over(behind)).alias("left")
+    entries = lists.join(mixed, "gram").select("gram", "gid", "size", "pos", left)
+    entries = written(entries.join(placed, "gid").join(marked, "gid"), "mixed")
+    pairs = written(_meetings(entries, percent).distinct(), "pairs")
+    return _fitting(pairs, entries, percent)
+
+
+def _meetings(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b, gid_a, gid_b) wherever two entries of a list might be a pair across classes, some pairs more than once.
+
+    Such a pair has a node outside the list's largest class, so only those are
+    joined with the list. Two groups that share enough lists have as many left
+    behind the first of them, so they meet there; in the lists behind it, most of
+    which are longer, they need not meet again.
+    """
+    columns = ("node", "gid", "root", "size", "left", "hidden", *[f"m{i}" for i in range(_MARKS)])
     home = (
         entries.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("home"))
@@ -323,25 +338,35 @@ def _crossing_pairs(
     y = placed.select("gram", "home", *[F.col(c).alias(f"{c}_y") for c in columns])
     # The bitmaps bound what both prefixes share, so hopeless pairs never leave the join.
     common = sum((F.bit_count(F.col(f"m{i}_x").bitwiseAND(F.col(f"m{i}_y"))) for i in range(_MARKS)), F.least("hidden_x", "hidden_y"))
-    likely = _shared_enough(common, F.col("size_x"), F.col("size_y"), percent)
+    most = F.least(common, "left_x", "left_y")
+    likely = _shared_enough(most, F.col("size_x"), F.col("size_y"), percent)
     pairs = x.join(y, "gram").where("root_x <> root_y AND (root_y = home OR node_x > node_y)")
     pairs = pairs.where(_close_in_size(F.col("size_x"), F.col("size_y"), percent) & likely)
     swap = F.col("node_x") < F.col("node_y")
     one, two = (
-        F.struct(*[F.when(swap, F.col(f"{c}_{m}")).otherwise(F.col(f"{c}_{n}")).alias(c) for c in ("node", "size", "pos")])
+        F.struct(*[F.when(swap, F.col(f"{c}_{m}")).otherwise(F.col(f"{c}_{n}")).alias(c) for c in ("node", "gid")])
         for m, n in (("y", "x"), ("x", "y"))
     )
-    counted = (
-        pairs.select(one.alias("a"), two.alias("b"))
-        .groupBy("a.node", "b.node").agg(
-            F.count_if(F.col("a.pos") >= 0).alias("k"), F.min(F.col("a.pos")).alias("p"), F.min(F.col("b.pos")).alias("q"),
-            F.max("a.size").alias("s"), F.max("b.size").alias("t"),
-        ).toDF("a", "b", "k", "p", "q", "s", "t")
+    pairs = pairs.select(one.alias("a"), two.alias("b"))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.gid").alias("gid_a"), F.col("b.gid").alias("gid_b"))
+
+
+def _fitting(pairs: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share enough lists, from the lists of each group, and whose first shared gram stands early enough."""
+    wanted = pairs.select(F.col("gid_a").alias("gid")).union(pairs.select("gid_b")).distinct()
+    listed = (
+        entries.where("pos >= 0").join(wanted, "gid", "left_semi")
+        .groupBy("gid").agg(F.sort_array(F.collect_set(F.struct("pos", "gram"))).alias("l"), F.max("size").alias("size"))
+        .select("gid", "size", F.col("l.gram").alias("grams"), F.col("l.pos").alias("at"))
     )
-    k, p, q, s, t = (F.col(c) for c in "kpqst")
+    one, two = listed.toDF("gid_a", "s", "grams_a", "at_a"), listed.toDF("gid_b", "t", "grams_b", "at_b")
+    met = pairs.join(one, "gid_a", "left").join(two, "gid_b", "left")
+    met = met.withColumn("both", F.array_intersect("grams_a", "grams_b")).withColumn("first", F.get("both", F.lit(0)))
+    p, q = (F.get(f"at_{c}", (F.array_position(f"grams_{c}", F.col("first")) - 1).cast("int")) for c in "ab")
+    s, t = F.col("s"), F.col("t")
+    enough = _shared_enough(F.size("both"), s, t, percent) & _position_allows(s, p, t, q, percent)
     # Members of one group share their whole prefix, of which not every gram is listed.
-    fits = (p < 0) | (_shared_enough(k, s, t, percent) & _position_allows(s, p, t, q, percent))
-    return counted.where(fits).select("a", "b")
+    return met.where((F.col("gid_a") == F.col("gid_b")) | enough).select("a", "b")
 
 
 def _lists(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
