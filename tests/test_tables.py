@@ -5,10 +5,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tickloom.schemas import schema_for
-from tickloom.sources import files, ledger, shape
+from tickloom.sources import by_symbol, files, ledger, shape
 from tickloom.sources import tables as t
 from tickloom.storage import fresh_path, shared_root
 from tickloom.workload.tables import new_namespace
@@ -199,3 +199,82 @@ def test_table_folders_skip_what_is_no_table(spark):
     spark.range(3).write.csv(f"{root}/c")
     spark.range(3).write.parquet(f"{root}/_work")
     assert set(t.table_folders(spark, root)) == {"a", "b"}
+
+
+def loose(spark, *bars):
+    """Bars that may lack a symbol or a day."""
+    return spark.createDataFrame(list(bars), StructType([StructField(f.name, f.dataType) for f in PRICES]))
+
+
+def below(path):
+    """Every file below a folder but the mark of its last append."""
+    return sorted(f.relative_to(path) for f in path.rglob("*") if f.is_file() and f.name.strip(".").split(".")[0] != "_SUCCESS")
+
+
+def test_append_by_symbol_leaves_one_file_a_symbol_and_append(spark, tmp_path):
+    root = tmp_path / "by symbol"
+    days = [date(2001, 1, 2), date(2001, 1, 3), None]
+    bars = [bar(s, d, float(i)) for i, s in enumerate(["A", "B", "B/C", None]) for d in days]
+    for _ in range(2):
+        t.append_by_symbol(loose(spark, *bars), str(root))
+    t.append_by_symbol(frame(spark, bar("A", days[0], 7.0)), str(root))
+    t.append_by_symbol(frame(spark).where("false"), str(root))
+    found = below(root)
+    assert all(f.suffix == ".parquet" for f in found)  # no checksums, which cost as much as the files
+    folders = [f.parent.name for f in found]
+    named = ["symbol=A", "symbol=B", "symbol=B%2FC", "symbol=__HIVE_DEFAULT_PARTITION__"]
+    assert sorted(set(folders)) == named and len(folders) <= 2 * (len(named) + 3) + 1  # a range may cut a symbol
+    assert sorted(f.name for f in root.iterdir()) == ["_SUCCESS", *named]
+    got = files.parquet_or_empty(spark, str(root), PRICES).select(*PRICES.names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, loose(spark, *bars, *bars, bar("A", days[0], 7.0)).collect()))
+
+
+def test_append_by_symbol_names_folders_as_spark_does(spark, tmp_path, monkeypatch):
+    symbols = [chr(c) for c in [*range(1, 128), 0xE4, 0x20AC, 0x1F600]] + ["", None, "A b", "%41", "__HIVE", ".."]
+    rows = loose(spark, *[bar(s, date(2001, 1, 2), float(i)) for i, s in enumerate(symbols)])
+    t.append_by_symbol(rows, str(tmp_path / "ours"))
+    monkeypatch.setattr(t, "mounted", lambda *_: None)
+    t.append_by_symbol(rows, str(tmp_path / "sparks"))
+    ours, sparks = ({f.name for f in (tmp_path / name).glob("symbol=*")} for name in ("ours", "sparks"))
+    assert ours == sparks and len(ours) == len(symbols) - 1
+    got, expected = (files.parquet_or_empty(spark, str(tmp_path / name), PRICES) for name in ("ours", "sparks"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_append_by_symbol_cuts_the_rows_of_a_large_symbol(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(by_symbol, "ROW_GROUP", 100_000)
+    many = spark.range(40_000).selectExpr(
+        "'A' symbol", "date_add(date'1900-01-01', cast(id as int)) trade_date", "id + 0.5D open", "0D high", "0D low", "0D close", "id volume"
+    )
+    t.append_by_symbol(many, str(tmp_path))
+    got = files.parquet_or_empty(spark, str(tmp_path), PRICES).select(*PRICES.names)
+    assert got.exceptAll(many).count() == 0 and got.count() == 40_000
+
+
+def test_failed_append_by_symbol_changes_nothing(spark, tmp_path):
+    path, day = str(tmp_path), date(2001, 1, 2)
+    t.append_by_symbol(frame(spark, bar("A", day)), path)
+    before = below(tmp_path)
+    broken = frame(spark, bar("A", day, 2.0), bar("B", day)).withColumn(
+        "close", F.when(F.col("symbol") == "B", F.raise_error(F.lit("no such bar")).cast("double")).otherwise(F.col("close"))
+    )
+    with pytest.raises(Exception, match="no such bar"):
+        t.append_by_symbol(broken, path)
+    assert below(tmp_path) == before and not list(tmp_path.glob("_append*"))
+    (tmp_path / "symbol=C").write_text("a file where a folder should be")
+    with pytest.raises(Exception, match="symbol=C"):
+        t.append_by_symbol(frame(spark, *[bar(s, day, 2.0) for s in "ABCD"]), path)
+    (tmp_path / "symbol=C").unlink()
+    assert below(tmp_path) == before and not list(tmp_path.glob("_append*"))
+    assert keys(files.parquet_or_empty(spark, path, PRICES)) == [("A", day, 1.0)]
+
+
+def test_moved_files_are_passed_over_when_a_task_is_repeated(tmp_path):
+    source, target = tmp_path / "source", tmp_path / "symbol=A" / "target"
+    for _ in range(2):
+        if not target.exists():
+            source.write_text("rows")
+        by_symbol._move(str(source), str(target))
+        assert target.read_text() == "rows" and not source.exists()
+    with pytest.raises(FileNotFoundError):
+        by_symbol._move(str(source), str(tmp_path / "symbol=B" / "target"))

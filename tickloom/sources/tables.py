@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tickloom.schemas import PRICE_COLUMNS
+from tickloom.sources import by_symbol
 from tickloom.sources.files import empty
-from tickloom.storage import remove_folder
+from tickloom.storage import mounted, remove_folder
 
 MONTH = "trade_month"
 VERSION = "-version-"
@@ -198,15 +199,16 @@ def append_by_symbol(df: DataFrame, path: str) -> None:
     """Append bars to a parquet folder partitioned by symbol.
 
     Sorted ranges keep the number of files near one per symbol and append, and
-    a symbol too large for one task is cut by date.
+    a symbol too large for one task is cut by date. On a mounted file system
+    tasks write and move the files themselves, on any other Spark's writer does.
     """
-    (
-        df.repartitionByRange("symbol", "trade_date")
-        .sortWithinPartitions("symbol", "trade_date")
-        .write.mode("append")
-        .partitionBy("symbol")
-        .parquet(path)
-    )
+    order = ["symbol", "trade_date"]
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    root = mounted(df.sparkSession, path)
+    if root is None:
+        rows.write.mode("append").partitionBy("symbol").parquet(path)
+    else:
+        by_symbol.append(rows, root)
 
 
 def migrate(spark: SparkSession, sources: dict[str, DataFrame], root: str) -> dict[str, str]:

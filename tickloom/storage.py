@@ -35,6 +35,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """What the operating system calls ``path``; None on a file system that only Hadoop reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(at).toUri().getPath() if files.getUri().getScheme() == "file" else None
+
+
 class Scratch:
     """Intermediate rows of one job in the shared folder, deleted when the job ends."""
 
