@@ -129,3 +129,43 @@ def test_signals_have_a_row_for_every_bar_and_explore_reads_the_last(spark):
     assert got[date(2000, 2, 29)].rsi_14 is None and got[date(2000, 2, 29)].is_rising is None
     summary = explore(last, ["A"], date(2000, 1, 1)).first()
     assert summary.last_day == date(2000, 2, 29) and summary.rsi_14 is None
+
+
+def test_many_indicators_are_neither_staged_nor_dealt_anew(spark, monkeypatch):
+    staged, laid = [], []
+    stage, lay = indicator_store.Scratch.stage, indicator_store._laid
+    monkeypatch.setattr(indicator_store, "MANY_ROWS", 1)
+    monkeypatch.setattr(indicator_store.Scratch, "stage", lambda self, df, label: staged.append(label) or stage(self, df, label))
+    monkeypatch.setattr(indicator_store, "_laid", lambda *a: laid.append(lay(*a)) or laid[-1])
+    bars = _bars(spark).cache()
+    recent = F.col("trade_date") >= F.lit(date(1999, 1, 1))
+    prices = price_table(spark, bars.where(~recent))
+    store = IndicatorStore(spark, new_namespace(spark)).create()
+    refresh(store, prices)
+    t.append(t.by_month(bars.where(recent)), prices)
+    refresh(store, prices, date(1999, 1, 1))
+    _same(store.indicators(), ind.indicator_table(bars))
+    assert set(staged) == {"prior-states"} and len(laid) == 2
+    assert all("rangepartitioning" not in d._jdf.queryExecution().executedPlan().toString() for d in laid)
+    assert {len(r.tail) for r in spark.table(store.states).collect()} <= set(range(1, ind.TABLE_LOOKBACK + 1))
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    seen = []
+
+    class Watched:
+        sparkSession = spark
+
+        def __init__(self, df):
+            self.write, self.schema = self, df.schema
+            self.df = df
+
+        def parquet(self, path):
+            seen.append(spark.conf.get(name))
+            self.df.write.parquet(path)
+
+    with indicator_store.Scratch(spark) as scratch:
+        assert scratch.stage(Watched(spark.range(9).repartition(3)), "rows").count() == 9
+    assert seen == ["true"] and spark.conf.get(name) == before

@@ -191,9 +191,15 @@ def indicator_rows(bars: DataFrame, state: DataFrame | None = None, keep_states:
 
     ``state`` (symbol, n, tail, carry) continues series whose earlier bars are
     not in ``bars``; ``keep_states`` adds ``carry``, the smoothing states after
-    each bar.
+    each bar, and ``in_tail``, which is true for the last usable bars of a year,
+    as many as the indicators look back on, and NULL or false for others.
     """
     rows = in_order(bars, OHLCV, TABLE_LOOKBACK, _READ, state)
+    if keep_states:
+        # Marked here, where the bars lie in order, so that the others need not be moved or sorted to find these.
+        ahead = F.lead(F.year("trade_date"), TABLE_LOOKBACK).over(in_era())
+        last = F.coalesce(F.col("_ahead") != F.year("trade_date"), F.lit(True))
+        rows = rows.withColumn("_ahead", ahead).withColumn("in_tail", F.when(F.col("usable"), last)).drop("_ahead")
     rows = rows.withColumn("sma_20", sma_column(SMA_LENGTH))
     rows = _with_bands(rows, middle="sma_20" if SMA_LENGTH == BAND_LENGTH else None)
     rows = _with_moves(_with_stochastic(rows, STOCH_K, STOCH_D, STOCH_SMOOTH))

@@ -18,12 +18,13 @@ from pyspark.sql.types import StructType
 
 from tickloom.functions import indicators as ind
 from tickloom.functions.scan import carry_of
-from tickloom.functions.series import last_of
+from tickloom.functions.series import ERA, is_complete, last_of
 from tickloom.schemas import OHLCV
 from tickloom.sources import tables as t
 from tickloom.storage import Scratch
 
 YEAR = "year"
+MANY_ROWS = 5_000_000  # so many indicators are written by the tasks that compute them
 _BAR = "struct<trade_date: date, open: double, high: double, low: double, close: double, volume: bigint>"
 
 
@@ -78,19 +79,31 @@ def refresh(store: IndicatorStore, prices: str, first_changed: date | None = Non
         else:
             bars = t.prices_from(spark, prices, date(first_changed.year, 1, 1))
             prior = _states_before(store, first_changed.year)
+        year = F.year("trade_date")
+        found = bars.where(is_complete([])).agg(F.min(year).alias("first"), F.max(year).alias("last"), F.count("*").alias("bars")).first()
+        if not found.bars:
+            return 0
         # The states are read while their table is written to below.
         prior = scratch.stage(prior.drop(YEAR), "prior-states")
-        rows = ind.indicator_rows(bars, prior, keep_states=True).withColumn(YEAR, F.year("trade_date"))
-        rows = scratch.stage(rows.repartitionByRange(YEAR, "symbol", "trade_date"), "indicators")
-        years = rows.agg(F.min(YEAR).alias("first"), F.max(YEAR).alias("last")).first()
-        if years.first is None:
-            return 0
-        written = t.overwrite_partitions(ind.named_table(rows, YEAR), store.table)
-        states = year_states(rows.where("usable"), prior, years.first, years.last)
+        rows = ind.indicator_rows(bars, prior, keep_states=True).withColumn(YEAR, year)
+        # Computed twice, whole for the one table and in part for the other: rows kept or dealt anew
+        # between would be several times as large as the bars.
+        written = t.overwrite_partitions(_laid(ind.named_table(rows, YEAR), found.bars), store.table)
+        states = year_states(rows, prior, found.first, found.last)
         t.overwrite_partitions(states.repartitionByRange(YEAR, "symbol"), store.states)
     return written
 
 
+def _laid(table: DataFrame, rows: int) -> DataFrame:
+    """The indicators in the order of their folders, many of them where they were computed.
+
+    These are not moved: a file for each task and year, sorted by symbol. Few are
+    dealt by ranges, as they would lie in as many files.
+    """
+    order = [YEAR, "symbol", "Date"]
+    return table.repartitionByRange(*order) if rows < MANY_ROWS else table.sortWithinPartitions(*order)
+
+
 def _states_before(store: IndicatorStore, year: int) -> DataFrame:
     """The states at the end of the last stored year before ``year``: one folder is read."""
     states = store.spark.table(store.states).where(F.col(YEAR) < year)
@@ -101,14 +114,14 @@ def _states_before(store: IndicatorStore, year: int) -> DataFrame:
 def year_states(rows: DataFrame, prior: DataFrame, first: int, last: int) -> DataFrame:
     """(symbol, n, tail, carry, year): the states of every symbol at the end of each year from first to last.
 
-    ``rows`` are usable ``indicator_rows`` with their states and year, ``prior``
+    ``rows`` are ``indicator_rows`` with their states and year, ``prior``
     the states before them. A symbol without bars in a year carries its state
     on. A symbol gives one row a year, and its arrays hold a few bars of each.
     """
     lookback = ind.TABLE_LOOKBACK
     bar = F.struct("trade_date", *OHLCV)
-    # At most 366 bars of one symbol and year.
-    ends = rows.groupBy("symbol", YEAR).agg(
+    # A year lies in one era, so its last bars are gathered where the bars of the era lie.
+    ends = rows.where("in_tail").groupBy(*ERA, YEAR).agg(
         F.max_by(F.struct("n", "carry"), "trade_date").alias("state"),
         last_of(F.sort_array(F.collect_list(bar)), lookback).alias("tail"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tickloom.schemas import PRICE_COLUMNS
 from tickloom.sources import by_symbol
 from tickloom.sources.files import empty
-from tickloom.storage import mounted, remove_folder
+from tickloom.storage import mounted, remove_folder, shuffles_removed
 
 MONTH = "trade_month"
 VERSION = "-version-"
@@ -134,7 +134,8 @@ def by_month(df: DataFrame) -> DataFrame:
 def append(df: DataFrame, name: str) -> int:
     """Append rows, matched to the table's columns by name. Returns how many."""
     counted, seen = _counted(df)
-    counted.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    with shuffles_removed(df.sparkSession):
+        counted.select(*df.sparkSession.table(name).columns).write.insertInto(name)
     return seen.get["rows"]
 
 
@@ -160,7 +161,8 @@ def overwrite_partitions(df: DataFrame, name: str) -> int:
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        counted.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        with shuffles_removed(spark):
+            counted.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(mode, before)
     return seen.get["rows"]

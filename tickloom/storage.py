@@ -42,6 +42,23 @@ def mounted(spark: SparkSession, path: str) -> str | None:
     return files.makeQualified(at).toUri().getPath() if files.getUri().getScheme() == "file" else None
 
 
+class shuffles_removed:
+    """Shuffle files go when the write that made them has ended, not when the driver next collects its garbage.
+
+    Only for writes: each is planned anew, so none needs the files of another.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.conf, self.name = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __enter__(self) -> None:
+        self.before = self.conf.get(self.name)
+        self.conf.set(self.name, "true")
+
+    def __exit__(self, *_) -> None:
+        self.conf.set(self.name, self.before)
+
+
 class Scratch:
     """Intermediate rows of one job in the shared folder, deleted when the job ends."""
 
@@ -52,7 +69,8 @@ class Scratch:
         """Rows written once, for plans that read them several times."""
         path = fresh_path(self.spark, label)
         self.paths.append(path)
-        df.write.parquet(path)
+        with shuffles_removed(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Scratch:
