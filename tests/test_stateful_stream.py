@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -92,3 +93,64 @@ def test_held_rows_expire(spark, directory, store):
     later = date(2001, 1, 8)
     assert ingest_stream_stateful(store, directory, *args, later, datetime(2001, 1, 8, 18), **hold) == 1
     assert ("B", date(2001, 1, 6), 1.0) in stored(store) and ("B", RUN, 1.0) not in stored(store)
+
+
+class _State:
+    """A value or a list of the state store that counts the calls."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def get(self, *_):
+        self.calls += 1
+        return iter(self.rows) if self.listed else (self.rows[0] if self.rows else None)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, list(rows)
+
+    def update(self, row):
+        self.put([row])
+
+    def appendValue(self, row):
+        self.put([*self.rows, row])
+
+    def clear(self):
+        self.put([])
+
+    def getValueState(self, *_):
+        self.listed = False
+        return self
+
+    def getListState(self, *_):
+        self.listed = True
+        return self
+
+
+def test_a_bucket_of_symbols_takes_a_few_calls_to_the_state():
+    value, held = _State(), _State()
+
+    def event(*row):
+        named = zip(("key", "request", "last_update", "day", "payload"), row)
+        return json.dumps({k: v for k, v in named if v is not None})
+
+    class Handle:
+        getValueState, getListState = value.getValueState, held.getListState
+
+    def batch(run, *rows):
+        hold = stateful.HoldUntilRequested(run, RUN)
+        hold.init(Handle)
+        return sorted(p for r in hold.handleInputRows((0,), iter([(0, event(*row)) for row in rows]), None) for p in r.payload.split("\n"))
+
+    names = [f"S{i:04}" for i in range(2000)]
+    rows = [(s, None, None, day, f"{s}-{day}") for s in names for day in (1, 2, None)]
+    asked = [(s, "first", 1 if s < "S0500" else None, None, None) for s in names[:1000]]
+    want = sorted([f"{s}-2" for s in names[:500]] + [f"{s}-{d}" for s in names[500:1000] for d in (1, 2, None)])
+    # Requests lie among the rows; of symbols that are not asked for all rows are held.
+    assert batch("first", *rows[:3000], *asked, *rows[3000:]) == want
+    assert batch("first", *rows[:3]) == ["S0000-2"] and batch("second", *rows[:3]) == []
+    late = [(s, "second", 1, None, None) for s in (names[0], names[1000], names[1999], "NONE")]
+    assert batch("second", *late) == ["S0000-2", "S1000-2", "S1999-2"]
+    assert batch("second", *late) == []
+    rest = batch("third", *[(s, "third", None, None, None) for s in names])
+    assert rest == sorted(f"{s}-{d}" for s in names[1001:1999] for d in (1, 2, None))
+    assert held.rows == [] and value.calls + held.calls < 30

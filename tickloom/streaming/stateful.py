@@ -1,8 +1,9 @@
 """Ingestion as a stateful stream: no landed row is read twice.
 
 The stream takes in landing files and, before them, the requests of every run
-(symbol, last update). Its state, kept per symbol by Spark's state store, is the
-last request and the landed rows that nobody has asked for yet. A run releases
+(symbol, last update). Its state, kept by Spark's state store for buckets of
+symbols, is the last request of each symbol and the landed rows that nobody has
+asked for yet. A run releases
 what its requests ask for, held rows and new ones, into a queue table; the batch
 part of the run stores the queue and empties it.
 """
@@ -10,6 +11,7 @@ part of the run stores the queue and empties it.
 from __future__ import annotations
 
 import hashlib
+import json
 import sys
 from collections.abc import Iterator
 from datetime import date, datetime, timedelta
@@ -30,7 +32,8 @@ from tickloom.storage import Scratch
 
 PART = "released_by"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_CHUNK = 10_000  # rows of a symbol that a task holds at once
+_CHUNK = 10_000  # landed rows of a bucket that a task holds at once
+BUCKETS = 4096  # of symbols, each a key of the state; a checkpoint is bound to their number
 _EVENT = "key string, request string, last_update date, day date, payload string"
 
 # Tasks get the processor by value, so workers need not have the package.
@@ -38,78 +41,91 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class HoldUntilRequested(StatefulProcessor):
-    """Per symbol: rows pass if the current run asks for them, else they are held.
+    """For each symbol of a bucket: rows pass if the current run asks for them, else they are held.
 
     A request is an event with the run's name and the symbol's last update. Only
     later rows are asked for, all of them if there is no last update. Rows up to
     the last update are dropped once the symbol is requested: no later request
     can ask for them. Rows held since before ``hold_from`` have expired; they go
     when their symbol next has an event.
+
+    Every call to the state is a message to the JVM, and every row in it is
+    converted by itself. So a bucket's requests are one value, and the rows that
+    a micro-batch holds are one entry of a list, as are those that pass: text
+    with a line for each payload, as JSON has no line breaks.
     """
 
     def __init__(self, run: str, run_date: date, hold_from: date | None = None):
         self.run, self.run_date, self.hold_from = run, run_date, hold_from
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.request = handle.getValueState("request", "run string, last_update date")
-        self.held = handle.getListState("held", "held_on date, day date, payload string")
+        self.requests = handle.getValueState("requests", "by_symbol string")
+        self.held = handle.getListState("held", "held_on date, by_symbol string")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        # Every call to the state is a message to the JVM, so the request is read once and written once.
-        self._expire()
-        now, asked, landed = self.request.get(), False, []
-        for row in rows:
-            if row["request"] is not None:
-                now, asked = (row["request"], row["last_update"]), True
+        known = self.requests.get()
+        requests = json.loads(known[0]) if known is not None else {}
+        seen, asked, landed, n = set(), set(), {}, 0
+        for _, text in rows:
+            event = json.loads(text)
+            symbol = event["key"]
+            seen.add(symbol)
+            if "request" in event:
+                requests[symbol] = [event["request"], event.get("last_update")]
+                asked.add(symbol)
             else:
-                landed.append((self.run_date, row["day"], row["payload"]))
-            if len(landed) == _CHUNK:
-                yield from self._passed(landed, now)
-                landed = []
+                landed.setdefault(symbol, []).append([event.get("day"), event["payload"]])
+                n += 1
+            if n == _CHUNK:
+                yield from self._passed(landed, requests)
+                landed, n = {}, 0
         if asked:
-            self.request.update(now)
-        yield from self._passed(landed, now)
-        if self._is_wanted(now):
-            found = False
-            for row in self.held.get():
-                found = True
-                yield from self._later([row], now[1])
-            if found:
-                self.held.clear()
-
-    def _passed(self, landed: list[tuple], now: Any) -> Iterator[Row]:
+            self.requests.update((json.dumps(requests),))
+        yield from self._passed(landed, requests)
+        yield from self._sifted(seen, asked, requests)
+
+    def _passed(self, landed: dict[str, list], requests: dict[str, list]) -> Iterator[Row]:
         """The landed rows that are asked for; others are held."""
-        if self._is_wanted(now):
-            yield from self._later(landed, now[1])
-        elif landed:
-            self.held.appendList(landed)
-
-    def _parts(self) -> Iterator[list[tuple]]:
-        part = []
-        for row in self.held.get():
-            part.append(tuple(row))
-            if len(part) == _CHUNK:
-                yield part
-                part = []
-        if part:
-            yield part
-
-    def _expire(self) -> None:
-        if self.hold_from is None or not self.held.exists():
+        wanted = [symbol for symbol in landed if self._is_wanted(symbol, requests)]
+        passed = [p for symbol in wanted for p in self._later(landed.pop(symbol), requests[symbol][1])]
+        if landed:
+            self.held.appendValue((self.run_date, json.dumps(landed)))
+        if passed:
+            yield Row(payload="\n".join(passed))
+
+    def _sifted(self, seen: set[str], asked: set[str], requests: dict[str, list]) -> Iterator[Row]:
+        """The held rows that are asked for now. They go, as do the expired ones of symbols that had an event."""
+        wanted = {symbol for symbol in asked if self._is_wanted(symbol, requests)}
+        if not wanted and self.hold_from is None:
             return
-        # Rows lie in the order in which they were held, so the first is the oldest.
-        if next(iter(self.held.get()))[0] < self.hold_from:
-            kept = [row for part in self._parts() for row in part if row[0] >= self.hold_from]
+        kept, changed = [], False
+        for held_on, text in self.held.get():
+            by_symbol = json.loads(text)
+            gone = seen if self.hold_from is not None and held_on < self.hold_from else ()
+            passed, rest = [], {}
+            for symbol, rows in by_symbol.items():
+                if symbol in gone:
+                    continue
+                if symbol in wanted:
+                    passed += self._later(rows, requests[symbol][1])
+                else:
+                    rest[symbol] = rows
+            if len(rest) < len(by_symbol):
+                changed = True
+                text = json.dumps(rest)
+            if rest:
+                kept.append((held_on, text))
+            if passed:
+                yield Row(payload="\n".join(passed))
+        if changed:
             self.held.put(kept) if kept else self.held.clear()
 
-    def _is_wanted(self, now: Any) -> bool:
-        return now is not None and now[0] == self.run
+    def _is_wanted(self, symbol: str, requests: dict[str, list]) -> bool:
+        return symbol in requests and requests[symbol][0] == self.run
 
     @staticmethod
-    def _later(rows: list[tuple], last: date | None) -> Iterator[Row]:
-        for _, day, payload in rows:
-            if last is None or (day is not None and day > last):
-                yield Row(payload=payload)
+    def _later(rows: list[list], last: int | None) -> list[str]:
+        return [payload for day, payload in rows if last is None or (day is not None and day > last)]
 
     def close(self) -> None:
         pass
@@ -150,12 +166,18 @@ def release(
         F.to_json(F.struct(*landing_schema.names)).alias("payload"),
     )
     events = landed.unionByName(spark.readStream.schema(_EVENT).parquet(requests))
+    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
+    # Days as numbers: the processor only compares them. One column, as each of a row costs a conversion.
+    numbers = [F.unix_date(c).alias(c) for c in ("last_update", "day")]
+    event = F.to_json(F.struct("key", "request", *numbers, "payload"), {"ignoreNullFields": "true"})
     passed = (
         events.where(F.col("key").isNotNull())
-        .groupBy("key")
+        .select(bucket.alias("bucket"), event.alias("event"))
+        .groupBy("bucket")
         .transformWithState(
             HoldUntilRequested(run, run_date, run_date - hold_for if hold_for is not None else None), "payload string", "Append", "None"
         )
+        .select(F.explode(F.split("payload", "\n")).alias("payload"))
         .select(F.from_json("payload", landing_schema).alias("row"))
         .select("row.*")
     )
